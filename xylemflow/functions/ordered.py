@@ -46,13 +46,44 @@ def previous_value(
         *group,
         F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carried"),
     )
-    joined = rows.join(carried, group, "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
+    condition = F.lit(True)
+    for name in group:
+        condition &= F.col(f"r.{name}").eqNullSafe(F.col(f"c.{name}"))
+    return rows.alias("r").join(carried.alias("c"), condition, "left").select(
+        *[F.col(f"r.{c}") for c in df.columns],
         F.coalesce("_before", "_carried")["v"].alias(output),
     )
 
 
+def running_max_before(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    order: Sequence[str],
+    value: str,
+    output: str,
+    bucket_bits: int = 36,
+) -> DataFrame:
+    """Add ``output`` = largest ``value`` among the rows of the key before this one.
+
+    Bucketed like :func:`previous_value`; null for the first row of a key.
+    """
+    work = df.withColumn("_bucket", F.shiftright(position, bucket_bits))
+    group = [*keys, "_bucket"]
+    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = work.select("*", F.max(value).over(inside).alias("_before"))
+    tops = work.groupBy(*group).agg(F.max(value).alias("_top"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tops.select(*group, F.max("_top").over(earlier).alias("_carried"))
+    condition = F.lit(True)
+    for name in group:
+        condition &= F.col(f"r.{name}").eqNullSafe(F.col(f"c.{name}"))
+    return rows.alias("r").join(carried.alias("c"), condition, "left").select(
+        *[F.col(f"r.{c}") for c in df.columns],
+        F.greatest("_before", "_carried").alias(output),
+    )
+
+
 def global_index(df: DataFrame, order: Sequence[str], output: str = "row_nr") -> DataFrame:
     """Add the 0-based position of each row in the total order of the frame.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from xylemflow.functions import physics
 
 HRM, TMAX = "HRM", "Tmax"
+COMPLETE = "_complete"
 
 REQUIRED = [
     "alpha",
@@ -60,12 +61,15 @@ def apply_dma_peclet(df: DataFrame) -> DataFrame:
     pulse = F.col("parameter_heat_pulse_duration_s")
     peak = F.col("time_to_max_temp_downstream_s")
 
-    velocities = df.withColumns(
+    usable = df.withColumn(COMPLETE, complete)
+    velocities = usable.withColumns(
         {
             "vh_hrm_cm_hr": F.when(
-                complete, physics.heat_ratio_velocity(k, F.col("alpha"), down, up)
+                F.col(COMPLETE), physics.heat_ratio_velocity(k, F.col("alpha"), down, up)
+            ),
+            "vh_tmax_cm_hr": F.when(
+                F.col(COMPLETE), physics.time_to_max_velocity(k, pulse, peak, down)
             ),
-            "vh_tmax_cm_hr": F.when(complete, physics.time_to_max_velocity(k, pulse, peak, down)),
         }
     )
     corrected = velocities.withColumns(
@@ -81,13 +85,10 @@ def apply_dma_peclet(df: DataFrame) -> DataFrame:
         }
     )
     slow = F.col("beta") <= F.lit(1.0)
-    return fluxes.withColumns(
-        {
-            "calculation_method_used": F.when(
-                complete, F.when(slow, F.lit(HRM)).otherwise(F.lit(TMAX))
-            ),
-            "sap_flux_density_j_dma_cm_hr": F.when(
-                complete, F.when(slow, F.col("j_hrm_cm_hr")).otherwise(F.col("j_tmax_cm_hr"))
-            ),
-        }
+    method = F.when(F.col(COMPLETE), F.when(slow, F.lit(HRM)).otherwise(F.lit(TMAX)))
+    chosen = F.when(
+        F.col(COMPLETE), F.when(slow, F.col("j_hrm_cm_hr")).otherwise(F.col("j_tmax_cm_hr"))
     )
+    return fluxes.withColumns(
+        {"calculation_method_used": method, "sap_flux_density_j_dma_cm_hr": chosen}
+    ).drop(COMPLETE)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from xylemflow.functions.ordered import running_max_before
 from xylemflow.functions.text import scientific_name
-from xylemflow.functions.times import within
+from xylemflow.functions.times import micros, within
 
 START, END = "deployment_start_timestamp_utc", "deployment_end_timestamp_utc"
 
@@ -130,69 +131,80 @@ def expand_metadata(deployments: DataFrame, keys: list[str] | None = None) -> Da
     )
 
 
-def enrich_with_metadata(
+def match_deployments(
     observations: DataFrame,
     deployments: DataFrame,
     aliases: DataFrame | None = None,
-    payload: list[str] | None = None,
+    output: str = "deployment_id",
 ) -> DataFrame:
-    """Left interval join: ``start <= timestamp_utc < end`` on logger and address.
+    """Left interval join to an id: ``start <= timestamp_utc < end`` on logger and address.
 
     Rows without a direct match are tried again through a logger alias valid at that time.
-    ``deployments`` is a context frame with metadata keys already expanded; ``payload`` names
-    the columns to attach (all but the address by default). Intervals of one sensor must not
-    overlap; :func:`ambiguous_matches` reports rows for which they do.
+    Only the id is carried, so the rows stay as narrow as they came.
     """
-    if payload is None:
-        payload = [c for c in deployments.columns if c not in ("sdi_address", "timezone")]
-    direct = deployments.select(
+    intervals = deployments.select(
         F.col("datalogger_id").alias("_name"),
-        F.col("sdi_address"),
+        F.col("sdi_address").alias("_address"),
         F.col(START).alias("_from"),
         F.col(END).alias("_until"),
-        F.struct(*payload).alias("_direct"),
+        F.col("deployment_id").alias("_id"),
     )
-    joined = observations.alias("o").join(
-        direct.alias("d"),
-        (F.col("o.logger_id") == F.col("d._name"))
-        & (F.col("o.sdi12_address") == F.col("d.sdi_address"))
-        & within(F.col("o.timestamp_utc"), F.col("d._from"), F.col("d._until")),
-        "left",
-    ).select("o.*", "d._direct")
-    chosen = F.col("_direct")
-    if aliases is not None:
-        renamed = alias_intervals(deployments, aliases, payload)
-        joined = joined.alias("o").join(
-            renamed.alias("r"),
-            F.col("o._direct").isNull()
-            & (F.col("o.logger_id") == F.col("r._name"))
-            & (F.col("o.sdi12_address") == F.col("r.sdi_address"))
-            & within(F.col("o.timestamp_utc"), F.col("r._from"), F.col("r._until")),
-            "left",
-        ).select("o.*", "r._renamed")
-        chosen = F.coalesce("_direct", "_renamed")
-    return joined.withColumn("_match", chosen).select(
-        *[F.col(c) for c in observations.columns],
-        *[F.col("_match")[c].alias(c) for c in payload],
+    matched = _attach_id(observations, intervals, "_direct")
+    if aliases is None:
+        return matched.withColumnRenamed("_direct", output)
+    matched = _attach_id(
+        matched, alias_intervals(intervals, aliases), "_renamed", F.col("o._direct").isNull()
+    )
+    return matched.withColumn(output, F.coalesce("_direct", "_renamed")).drop("_direct", "_renamed")
+
+
+def _attach_id(
+    rows: DataFrame, intervals: DataFrame, output: str, condition: Column | None = None
+) -> DataFrame:
+    covers = (
+        (F.col("o.logger_id") == F.col("i._name"))
+        & (F.col("o.sdi12_address") == F.col("i._address"))
+        & within(F.col("o.timestamp_utc"), F.col("i._from"), F.col("i._until"))
+    )
+    if condition is not None:
+        covers &= condition
+    return rows.alias("o").join(intervals.alias("i"), covers, "left").select(
+        "o.*", F.col("i._id").alias(output)
     )
 
 
-def alias_intervals(deployments: DataFrame, aliases: DataFrame, payload: list[str]) -> DataFrame:
+def alias_intervals(intervals: DataFrame, aliases: DataFrame) -> DataFrame:
     """Deployments reachable under an alias, cut to the time the alias was valid."""
-    cut = (
-        aliases.alias("a")
-        .join(deployments.alias("d"), F.col("a.datalogger_id") == F.col("d.datalogger_id"))
-        .select(
-            F.col("a.alias").alias("_name"),
-            F.col("d.sdi_address").alias("sdi_address"),
-            F.greatest(F.col("a.start_timestamp_utc"), F.col(f"d.{START}")).alias("_from"),
-            F.least(F.col("a.end_timestamp_utc"), F.col(f"d.{END}")).alias("_until"),
-            F.struct(*[F.col(f"d.{c}") for c in payload]).alias("_renamed"),
-        )
+    cut = aliases.join(intervals, F.col("datalogger_id") == F.col("_name")).select(
+        F.col("alias").alias("_name"),
+        "_address",
+        F.greatest("start_timestamp_utc", "_from").alias("_from"),
+        F.least("end_timestamp_utc", "_until").alias("_until"),
+        "_id",
     )
     return cut.where(F.col("_until").isNull() | (F.col("_from") < F.col("_until")))
 
 
+def enrich_with_metadata(
+    observations: DataFrame,
+    deployments: DataFrame,
+    aliases: DataFrame | None = None,
+    payload: list[str] | None = None,
+) -> DataFrame:
+    """Attach the deployment active on the row's logger and address at its UTC time.
+
+    ``deployments`` is a context frame with metadata keys already expanded; ``payload`` names
+    the columns to attach (all but the address by default), null on rows outside every
+    deployment. Intervals of one sensor must not overlap; :func:`ambiguous_matches` reports
+    rows for which they do.
+    """
+    if payload is None:
+        payload = [c for c in deployments.columns if c not in ("sdi_address", "timezone")]
+    matched = match_deployments(observations, deployments, aliases, "_deployment")
+    attached = deployments.select(F.col("deployment_id").alias("_deployment"), *payload)
+    return matched.join(attached, "_deployment", "left").drop("_deployment")
+
+
 def ambiguous_matches(
     observations: DataFrame, deployments: DataFrame, aliases: DataFrame | None = None
 ) -> DataFrame:
@@ -237,18 +249,22 @@ def ambiguous_matches(
 
 
 def _overlapping(intervals: DataFrame) -> DataFrame:
-    """Intervals that share time with another interval of the same name and address."""
+    """Intervals of a name and address in which some time is covered twice.
+
+    An interval that starts before the largest earlier end overlaps; the names concerned are
+    few (none in valid metadata), and all their intervals are returned.
+    """
     far = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
-    by_start = Window.partitionBy("kind", "name", "address").orderBy("start", F.coalesce("end", far))
-    earlier = by_start.rowsBetween(Window.unboundedPreceding, -1)
-    flagged = intervals.select(
-        "*",
-        F.max(F.coalesce("end", far)).over(earlier).alias("_reach"),
-        F.lead("start").over(by_start).alias("_next"),
+    bounded = intervals.withColumn("_end", F.coalesce("end", far))
+    keys = ["kind", "name", "address"]
+    reach = running_max_before(
+        bounded, keys, micros(F.col("start")), ["start", "_end"], "_end", "_reach"
     )
-    return flagged.where(
-        (F.col("_reach") > F.col("start")) | (F.col("_next") < F.coalesce("end", far))
-    ).drop("_reach", "_next")
+    clashing = reach.where(F.col("_reach") > F.col("start")).select(*keys).distinct()
+    condition = F.lit(True)
+    for key in keys:
+        condition &= F.col(f"i.{key}").eqNullSafe(F.col(f"k.{key}"))
+    return intervals.alias("i").join(clashing.alias("k"), condition, "left_semi")
 
 
 def assert_unambiguous(

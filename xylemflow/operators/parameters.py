@@ -81,39 +81,47 @@ def resolve_scopes(
     converted gives null, not the default.
     """
     distinct = scopes.select(*SCOPE_COLUMNS).distinct()
-    matches = override_matches(distinct, overrides)
-    order = F.struct("_rank", "seq")
-    winners = matches.groupBy(*SCOPE_COLUMNS).agg(
-        *[
-            F.min_by(
-                F.struct("value", "_rank"), F.when(F.col("code") == p.code, order)
-            ).alias(p.code)
-            for p in definitions
-        ]
+    kinds = sorted({p.kind for p in definitions})
+    typed = override_matches(distinct, overrides).select(
+        *SCOPE_COLUMNS,
+        "code",
+        F.struct("_rank", "seq").alias("_order"),
+        F.struct(
+            provenance_label(F.col("_rank")).alias("source"),
+            *[json_to_kind(F.col("value"), kind).alias(kind) for kind in kinds],
+        ).alias("_won"),
+    )
+    winners = typed.groupBy(*SCOPE_COLUMNS, "code").agg(F.min_by("_won", "_order").alias("_won"))
+    # One entry per code, so the collected list is bounded by the number of parameters.
+    by_code = winners.groupBy(*SCOPE_COLUMNS).agg(
+        F.map_from_entries(F.collect_list(F.struct("code", "_won"))).alias("_by_code")
     )
-    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"w.{c}")) for c in SCOPE_COLUMNS]
-    condition = same[0]
-    for part in same[1:]:
-        condition &= part
-    joined = distinct.alias("s").join(winners.alias("w"), condition, "left").select(
-        "s.*", *[F.col(f"w.{p.code}").alias(p.code) for p in definitions]
+    joined = distinct.alias("s").join(by_code.alias("w"), same_scope("s", "w"), "left").select(
+        "s.*", "w._by_code"
     )
     columns = []
     for p in definitions:
-        won = F.col(p.code)
+        won = F.try_element_at("_by_code", F.lit(p.code))
+        found = won.isNotNull()
         columns.append(
-            F.when(won.isNull(), default_value(p))
-            .otherwise(json_to_kind(won["value"], p.kind))
-            .alias(p.code)
+            F.when(found, won[p.kind]).otherwise(default_value(p)).alias(p.code)
         )
         columns.append(
-            F.when(won.isNull(), F.lit(SCOPE_LABELS[EVERYWHERE]))
-            .otherwise(provenance_label(won["_rank"]))
+            F.when(found, won["source"])
+            .otherwise(F.lit(SCOPE_LABELS[EVERYWHERE]))
             .alias(p.source_column)
         )
     return joined.select(*SCOPE_COLUMNS, *columns)
 
 
+def same_scope(left: str, right: str) -> Column:
+    """Null-safe equality of all scope ids."""
+    condition = F.lit(True)
+    for c in SCOPE_COLUMNS:
+        condition &= F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return condition
+
+
 def parameter_columns(definitions: Sequence[Parameter] = PARAMETERS) -> list[str]:
     return [name for p in definitions for name in (p.code, p.source_column)]
 
@@ -131,11 +139,7 @@ def resolve_parameters(
     for c in absent:
         source = source.withColumn(c, F.lit(None).cast("string"))
     resolved = resolve_scopes(source, overrides, definitions).alias("p")
-    same = None
-    for c in SCOPE_COLUMNS:
-        part = F.col(f"o.{c}").eqNullSafe(F.col(f"p.{c}"))
-        same = part if same is None else same & part
-    return source.alias("o").join(resolved, same).select(
+    return source.alias("o").join(resolved, same_scope("o", "p")).select(
         *[F.col(f"o.{c}") for c in observations.columns],
         *[F.col(f"p.{c}") for c in parameter_columns(definitions)],
     )
@@ -150,13 +154,3 @@ def with_defaults(
         values[p.code] = default_value(p)
         values[p.source_column] = F.lit(SCOPE_LABELS[EVERYWHERE])
     return df.withColumns(values)
-
-
-def scope_free_values(
-    overrides: DataFrame, definitions: Sequence[Parameter] = PARAMETERS
-) -> DataFrame:
-    """One row: parameters of observations without any scope id."""
-    empty = overrides.sparkSession.range(1).select(
-        *[F.lit(None).cast("string").alias(c) for c in SCOPE_COLUMNS]
-    )
-    return resolve_scopes(empty, overrides, definitions).drop(*SCOPE_COLUMNS)
