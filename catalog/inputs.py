@@ -136,6 +136,147 @@ INPUTS = {
         UNION ALL
         SELECT 600, 'parameter_water_content_g_g', '0.5', NULL, NULL, NULL, NULL, NULL, NULL, '2'
         FROM region WHERE r_regionkey = 2""",
+    # Dimension tables of the deployment context, one deployment per customer.
+    "dim_deployment": """
+        SELECT CAST(c_custkey AS STRING) AS deployment_id, CONCAT('DL', CAST(c_nationkey AS STRING)) AS datalogger_id,
+          CONCAT('S', CAST(c_custkey AS STRING)) AS stem_id, CONCAT('N', CAST(c_custkey % 3 AS STRING)) AS project_id,
+          CAST(c_custkey % 10 AS STRING) AS sdi_address, TIMESTAMP '2024-01-01 00:00:00' AS start_timestamp_utc,
+          CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE NULL END AS end_timestamp_utc,
+          CONCAT('{"height_cm": ', CAST(c_custkey AS STRING), ', "paint": ',
+                 CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'null' END,
+                 CASE WHEN c_custkey % 5 = 0 THEN CONCAT(', "notes": "near ', c_name, '"') ELSE '' END,
+                 ', "tags": ["a","b"]}') AS installation_metadata,
+          c_custkey % 6 <> 5 AS include_in_pipeline
+        FROM customer""",
+    "dim_stem": """
+        SELECT CONCAT('S', CAST(c_custkey AS STRING)) AS stem_id, CONCAT('P', CAST(c_custkey AS STRING)) AS plant_id,
+          'S1' AS code FROM customer""",
+    "dim_plant": """
+        SELECT CONCAT('P', CAST(c_custkey AS STRING)) AS plant_id, CONCAT('L', CAST(c_custkey % 100 AS STRING)) AS plot_id,
+          c_mktsegment AS species_id, c_name AS code FROM customer""",
+    "dim_plot": """
+        SELECT CONCAT('L', CAST(c_custkey AS STRING)) AS plot_id, CONCAT('Z', CAST(c_nationkey AS STRING)) AS zone_id,
+          CONCAT('Plot ', CAST(c_custkey AS STRING)) AS name
+        FROM customer WHERE c_custkey < 100 AND c_custkey % 8 <> 3""",
+    "dim_zone": """
+        SELECT CONCAT('Z', CAST(n_nationkey AS STRING)) AS zone_id, CAST(n_regionkey AS STRING) AS site_id,
+          n_name AS name FROM nation""",
+    "dim_site": """
+        SELECT site_id, CONCAT('SITE', site_id) AS code, name, timezone FROM site""",
+    "dim_species": """
+        SELECT c_mktsegment AS species_id, c_mktsegment AS code,
+          CONCAT('{"binomial": "  gENUS   ', c_mktsegment, ' "}') AS latin_name
+        FROM customer GROUP BY c_mktsegment""",
+    "dim_project": """
+        SELECT CONCAT('N', CAST(r_regionkey AS STRING)) AS project_id, CONCAT('PRJ', CAST(r_regionkey AS STRING)) AS code,
+          r_name AS name FROM region WHERE r_regionkey < 2""",
+    "dim_logger": """
+        SELECT CONCAT('DL', CAST(n_nationkey AS STRING)) AS datalogger_id, CAST(n_nationkey AS STRING) AS code
+        FROM nation""",
+    # Readings with deployment bounds, thresholds and a flux, as the quality rules see them.
+    "graded": """
+        SELECT o.logger_id, o.record, o.sdi12_address, o.thermistor_depth, o.file_hash, o.timestamp_utc,
+          d.deployment_start_timestamp_utc, d.deployment_end_timestamp_utc,
+          CASE WHEN o.record % 13 = 0 THEN NULL ELSE (o.beta * 40.0 - 60.0) / 3.0 END AS sap_flux_density_j_dma_cm_hr,
+          CASE WHEN o.record % 17 = 0 THEN NULL ELSE CAST(40.0 AS DOUBLE) END AS quality_max_flux_cm_hr,
+          CAST(-15.0 AS DOUBLE) AS quality_min_flux_cm_hr, CAST(0.001 AS DOUBLE) AS quality_gap_years,
+          CAST(60.0 AS DOUBLE) AS quality_deployment_start_grace_minutes,
+          CAST(30.0 AS DOUBLE) AS quality_deployment_end_grace_minutes,
+          CAST(5.0 AS DOUBLE) AS quality_future_lead_minutes
+        FROM (SELECT logger_id, record, sdi12_address, thermistor_depth, file_hash, beta, timestamp_utc
+              FROM obs_utc) o
+        LEFT JOIN dep d ON o.logger_id = d.datalogger_id AND o.sdi12_address = d.sdi_address
+          AND o.timestamp_utc >= d.deployment_start_timestamp_utc
+          AND (d.deployment_end_timestamp_utc IS NULL OR o.timestamp_utc < d.deployment_end_timestamp_utc)""",
+    # A finished table, for the summaries and the read path.
+    "fin": """
+        SELECT o.timestamp, o.timestamp_utc, o.logger_id, o.record, o.sdi12_address, o.file_hash,
+          CASE WHEN o.record % 41 = 0 THEN NULL ELSE o.thermistor_depth END AS thermistor_depth,
+          CASE WHEN o.record % 5 = 0 THEN 'fileA+fileB' WHEN o.record % 100 < 50 THEN 'fileA' ELSE 'fileC' END
+            AS file_set_signature,
+          c.deployment_id, c.datalogger_id, c.project_name, c.project_code, c.site_name, c.zone_name, c.plot_name,
+          c.plant_code, c.stem_code, c.species_code, c.species_scientific_name,
+          (o.beta * 40.0 - 60.0) / 3.0 AS sap_flux_density_j_dma_cm_hr,
+          CASE WHEN o.record % 7 = 0 OR o.record % 11 = 0 THEN 'SUSPECT' ELSE NULL END AS quality,
+          CASE WHEN o.record % 77 = 0 THEN 'timestamp_future|record_gap_gt_quality_gap_years'
+               WHEN o.record % 7 = 0 THEN 'timestamp_future'
+               WHEN o.record % 11 = 0 THEN 'timestamp_after_deployment|timestamp_future' ELSE NULL END
+            AS quality_explanation,
+          CASE WHEN o.record % 3 = 0 THEN 'stem_override' WHEN o.record % 3 = 1 THEN 'site_override'
+               ELSE 'default' END AS parameter_source_parameter_wood_density_kg_m3,
+          CASE WHEN o.record % 10 = 0 THEN 'plant_override' ELSE 'default' END
+            AS parameter_source_parameter_water_content_g_g,
+          CASE WHEN o.record % 10 = 1 THEN 'zone_override' ELSE NULL END AS parameter_source_quality_gap_years,
+          CASE WHEN o.record % 4 = 1 THEN 'plot_override' ELSE '' END AS parameter_source_quality_max_flux_cm_hr
+        FROM obs_utc o
+        LEFT JOIN ctx c ON o.logger_id = c.datalogger_id AND o.sdi12_address = c.sdi_address
+          AND o.timestamp_utc >= c.deployment_start_timestamp_utc
+          AND (c.deployment_end_timestamp_utc IS NULL OR o.timestamp_utc < c.deployment_end_timestamp_utc)""",
+    # Raw files: documents as bytes, some already ingested.
+    "raw_doc": """
+        SELECT CONCAT('upload/', source, '/', CAST(doc_id AS STRING), '.dat') AS path, doc_id, text FROM documents""",
+    # Readings in download order, as written to logger files of 400 lines.
+    "toa5_row": """
+        SELECT user_id % 25 AS logger, ts, value,
+          row_number() OVER (PARTITION BY user_id % 25 ORDER BY event_id) - 1 AS rn
+        FROM events""",
+    "toa5_line": """
+        SELECT logger, ts, value, rn, CAST(floor(rn / 400.0) AS BIGINT) AS part, rn % 400 AS line_nr,
+          CONCAT('dl/', CAST(logger AS STRING), '-', CAST(CAST(floor(rn / 400.0) AS BIGINT) AS STRING), '.dat') AS path
+        FROM toa5_row""",
+    # Manifest rows with seeded faults.
+    "add_plant": """
+        SELECT CONCAT('R', CAST(c_nationkey % 5 AS STRING)) AS site_code,
+          CONCAT('NATION_', CAST(c_nationkey AS STRING)) AS zone_name,
+          CASE WHEN c_custkey % 11 = 0 THEN 'PLOT2' ELSE 'PLOT1' END AS plot_name, c_mktsegment AS species_code,
+          CONCAT('PL', CAST(c_custkey % 700 AS STRING)) AS code,
+          CASE WHEN c_custkey % 9 = 0 THEN '{"type": "Polygon", "coordinates": []}'
+               WHEN c_custkey % 9 = 1 THEN NULL WHEN c_custkey % 9 = 2 THEN 'null'
+               WHEN c_custkey % 9 = 3 THEN '{"type": "Point"}'
+               ELSE '{"type": "Point", "coordinates": [1.0, 2.0]}' END AS location
+        FROM customer""",
+    "old_plant": """
+        SELECT CONCAT('R', CAST(s_nationkey % 5 AS STRING)) AS site_code,
+          CONCAT('NATION_', CAST(s_nationkey AS STRING)) AS zone_name, 'PLOT1' AS plot_name,
+          CONCAT('PL', CAST(s_suppkey AS STRING)) AS code FROM supplier""",
+    "old_plot": """
+        SELECT CONCAT('R', CAST(n_regionkey AS STRING)) AS site_code, n_name AS zone_name, 'PLOT1' AS name
+        FROM nation""",
+    "old_species": """
+        SELECT c_mktsegment AS code FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY c_mktsegment""",
+    "old_zone": """
+        SELECT CONCAT('R', CAST(s_nationkey % 5 AS STRING)) AS site_code,
+          CONCAT('Z', CAST(s_suppkey % 40 AS STRING)) AS name FROM supplier
+        GROUP BY CONCAT('R', CAST(s_nationkey % 5 AS STRING)), CONCAT('Z', CAST(s_suppkey % 40 AS STRING))""",
+    "add_override": """
+        SELECT CONCAT('param-', CAST(p_partkey AS STRING)) AS parameter_code,
+          CASE WHEN p_partkey % 3 = 0 THEN CONCAT('Z', CAST(p_size AS STRING)) END AS zone_name,
+          CASE WHEN p_partkey % 3 = 1 THEN CONCAT('PL', CAST(p_size AS STRING)) END AS plant_code,
+          CASE WHEN p_partkey % 4 = 1 THEN 'S1' END AS stem_code, CAST(NULL AS STRING) AS site_code,
+          CAST(NULL AS STRING) AS species_code, CAST(NULL AS STRING) AS plot_name
+        FROM part""",
+    "add_deployment": """
+        SELECT CONCAT('L', CAST(o_custkey AS STRING)) AS datalogger_code,
+          CASE WHEN o_orderkey % 50 = 0 THEN '12' WHEN o_orderkey % 50 = 1 THEN '-'
+               ELSE CAST(o_orderkey % 2 AS STRING) END AS sdi_address,
+          o_orderdate AS start_timestamp_utc,
+          CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN o_orderdate
+               ELSE o_orderdate + INTERVAL '40' DAY END AS end_timestamp_utc, o_orderkey
+        FROM orders""",
+    "stored_object": """
+        SELECT CONCAT('raw-files/', CAST(o_orderkey AS STRING)) AS object_key FROM orders
+        UNION ALL SELECT CONCAT('outputs/', CAST(p_partkey AS STRING), '.parquet') FROM part
+        UNION ALL SELECT CONCAT('repro-cartridges/', CAST(p_partkey AS STRING), '.zip') FROM part
+        UNION ALL SELECT CONCAT('tmp/', CAST(s_suppkey AS STRING)) FROM supplier""",
+    "raw_row": """
+        SELECT CAST(l_orderkey AS STRING) AS file_hash FROM lineitem WHERE l_linenumber = 1""",
+    "output_row": """
+        SELECT CAST(p_partkey AS STRING) AS output_id,
+          CASE WHEN p_partkey % 3 <> 0 THEN CONCAT('outputs/', CAST(p_partkey AS STRING), '.parquet') END
+            AS object_store_path,
+          CASE WHEN p_partkey % 2 = 0 THEN CONCAT('repro-cartridges/', CAST(p_partkey AS STRING), '.zip') END
+            AS reproducibility_cartridge_path
+        FROM part""",
 }
 
 

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from xylemflow.functions import values as V
 from xylemflow.schema import METRIC_COLUMNS
@@ -415,22 +416,29 @@ def _slash_time(text: Column) -> Column:
     return F.when(text.rlike(shape), iso.try_cast("timestamp_ntz"))
 
 
-@F.pandas_udf("array<boolean>")
-def _consecutive(records: pd.Series) -> pd.Series:
-    """Mask of the rows kept when each kept record must follow the last kept one by one."""
+def _consecutive(records: Column) -> Column:
+    """Mask of the rows kept when each kept record must follow the last kept one by one.
 
-    def mask(values: np.ndarray | None) -> list[bool] | None:
-        if values is None:
+    A fold over one file's record numbers, linear in their count.
+    """
+
+    def mask(numbers: np.ndarray | None) -> list[bool] | None:
+        if numbers is None:
             return None
         kept, expected = [], None
-        for value in values:
-            keep = value is not None and value == value and (expected is None or value == expected)
-            kept.append(bool(keep))
+        for number in numbers:
+            known = number is not None and number == number
+            keep = known and (expected is None or number == expected)
+            kept.append(keep)
             if keep:
-                expected = value + 1
+                expected = number + 1
         return kept
 
-    return records.map(mask)
+    # Nested, so that workers need not import this package.
+    def masks(numbers: pd.Series) -> pd.Series:
+        return numbers.map(mask)
+
+    return F.pandas_udf(masks, T.ArrayType(T.BooleanType()))(records)
 
 
 def _typed_rows(files: DataFrame) -> DataFrame:
