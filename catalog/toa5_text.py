@@ -115,7 +115,11 @@ def toa5_files(tables: Tables) -> DataFrame:
     content = F.concat(
         headers, F.lit("\r\n"), F.concat_ws("\r\n", F.transform("body", lambda b: b["line"])), F.lit("\r\n")
     )
-    return identified(files.select("path", content.cast("binary").alias("content")))
+    # Parsing costs far more than its input bytes suggest: spread the files over all cores.
+    spread = files.select("path", content.cast("binary").alias("content")).repartition(
+        tables.spark.sparkContext.defaultParallelism, "path"
+    )
+    return identified(spread)
 
 
 # Readings the parser must find, for the SQL counterpart.

@@ -1,46 +1,47 @@
-"""Heat-pulse sap-flow formulas as column expressions.
+"""Heat-pulse sap-flow formulas as SQL expression text.
 
-Division is ``try_divide``: a zero denominator gives null instead of an error.
+Arguments are column names or expressions. Division is ``try_divide``: a zero denominator
+gives null instead of an error.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+SECONDS_PER_HOUR = "3600D"
+METRES_PER_CM = "0.01D"
 
-SECONDS_PER_HOUR = 3600.0
-METRES_PER_CM = 0.01
 
-
-def heat_ratio_velocity(k: Column, alpha: Column, downstream: Column, upstream: Column) -> Column:
+def heat_ratio_velocity(k: str, alpha: str, downstream: str, upstream: str) -> str:
     """Velocity in cm/h from the log ratio of the temperature rises."""
-    return F.try_divide(F.lit(2.0) * k * alpha, downstream + upstream) * F.lit(SECONDS_PER_HOUR)
+    return f"try_divide(2D * {k} * {alpha}, {downstream} + {upstream}) * {SECONDS_PER_HOUR}"
 
 
-def time_to_max_velocity(k: Column, pulse: Column, peak: Column, downstream: Column) -> Column:
+def time_to_max_velocity(k: str, pulse: str, peak: str, downstream: str) -> str:
     """Velocity in cm/h from the time of the downstream maximum; null where it is undefined."""
-    decay = F.ln(F.lit(1.0) - F.try_divide(pulse, peak))
-    finite = decay.isNotNull() & ~F.isnan(decay) & (F.abs(decay) != F.lit(float("inf")))
-    inside = F.try_divide(F.lit(4.0) * k, pulse) * decay + downstream * downstream
-    velocity = F.try_divide(F.sqrt(inside), peak * (peak - pulse)) * F.lit(SECONDS_PER_HOUR)
-    usable = (peak > pulse) & (peak > F.lit(0.0)) & ~F.isnan(peak)
-    return F.when(usable & finite & (inside > F.lit(0.0)), velocity)
+    decay = f"ln(1D - try_divide({pulse}, {peak}))"
+    inside = f"(try_divide(4D * {k}, {pulse}) * {decay} + {downstream} * {downstream})"
+    return (
+        f"CASE WHEN {peak} > {pulse} AND {peak} > 0D AND NOT isnan({peak})"
+        f" AND NOT isnan({decay}) AND abs({decay}) < double('inf') AND {inside} > 0D"
+        f" THEN try_divide(sqrt({inside}), {peak} * ({peak} - {pulse})) * {SECONDS_PER_HOUR} END"
+    )
 
 
-def wound_corrected(velocity: Column, a: Column, b: Column, c: Column) -> Column:
-    return a * velocity + b * (velocity * velocity) + c * (velocity * velocity * velocity)
+def wound_corrected(v: str, a: str, b: str, c: str) -> str:
+    return f"{a} * {v} + {b} * ({v} * {v}) + {c} * ({v} * {v} * {v})"
 
 
 def flux_density(
-    velocity: Column,
-    wood_density: Column,
-    wood_heat: Column,
-    water_content: Column,
-    water_heat: Column,
-    water_density: Column,
-) -> Column:
+    velocity: str,
+    wood_density: str,
+    wood_heat: str,
+    water_content: str,
+    water_heat: str,
+    water_density: str,
+) -> str:
     """Sap flux density in cm/h from corrected velocity and wood and water properties."""
-    metres = velocity * F.lit(METRES_PER_CM) / F.lit(SECONDS_PER_HOUR)
-    numerator = metres * wood_density * (wood_heat + water_content * water_heat)
-    flux = F.try_divide(numerator, water_density * water_heat)
-    return flux * F.lit(SECONDS_PER_HOUR) / F.lit(METRES_PER_CM)
+    metres = f"{velocity} * {METRES_PER_CM} / {SECONDS_PER_HOUR}"
+    numerator = f"{metres} * {wood_density} * ({wood_heat} + {water_content} * {water_heat})"
+    return (
+        f"try_divide({numerator}, {water_density} * {water_heat})"
+        f" * {SECONDS_PER_HOUR} / {METRES_PER_CM}"
+    )

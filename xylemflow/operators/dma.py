@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.functions import physics
@@ -28,20 +28,18 @@ REQUIRED = [
 ]
 
 
-def _wounded(velocity: Column) -> Column:
-    return physics.wound_corrected(
-        velocity, *[F.col(f"parameter_wound_correction_{k}") for k in "abc"]
-    )
+def _wounded(velocity: str) -> str:
+    return physics.wound_corrected(velocity, *[f"parameter_wound_correction_{k}" for k in "abc"])
 
 
-def _flux(velocity: Column) -> Column:
+def _flux(velocity: str) -> str:
     return physics.flux_density(
         velocity,
-        F.col("parameter_wood_density_kg_m3"),
-        F.col("parameter_wood_specific_heat_j_kg_c"),
-        F.col("parameter_water_content_g_g"),
-        F.col("parameter_water_specific_heat_j_kg_c"),
-        F.col("parameter_water_density_kg_m3"),
+        "parameter_wood_density_kg_m3",
+        "parameter_wood_specific_heat_j_kg_c",
+        "parameter_water_content_g_g",
+        "parameter_water_specific_heat_j_kg_c",
+        "parameter_water_density_kg_m3",
     )
 
 
@@ -49,46 +47,36 @@ def apply_dma_peclet(df: DataFrame) -> DataFrame:
     """Add both velocities, their corrections and fluxes, the method and the chosen flux.
 
     If any required input is null, all eight results are null; only the peak time may be
-    null, which leaves the time-to-maximum branch empty.
+    null, which leaves the time-to-maximum branch empty. One step per line of the
+    calculation, so that no formula is evaluated twice.
     """
-    complete = F.lit(True)
-    for name in REQUIRED:
-        complete &= F.col(name).isNotNull()
-
-    k = F.col("parameter_thermal_diffusivity_k_cm2_s")
-    down = F.col("parameter_probe_distance_downstream_cm")
-    up = F.col("parameter_probe_distance_upstream_cm")
-    pulse = F.col("parameter_heat_pulse_duration_s")
-    peak = F.col("time_to_max_temp_downstream_s")
-
-    usable = df.withColumn(COMPLETE, complete)
-    velocities = usable.withColumns(
+    k = "parameter_thermal_diffusivity_k_cm2_s"
+    down = "parameter_probe_distance_downstream_cm"
+    up = "parameter_probe_distance_upstream_cm"
+    pulse = "parameter_heat_pulse_duration_s"
+    peak = "time_to_max_temp_downstream_s"
+    complete = " AND ".join(f"{name} IS NOT NULL" for name in REQUIRED)
+    hrm = physics.heat_ratio_velocity(k, "alpha", down, up)
+    tmax = physics.time_to_max_velocity(k, pulse, peak, down)
+    steps = [
+        {COMPLETE: complete},
         {
-            "vh_hrm_cm_hr": F.when(
-                F.col(COMPLETE), physics.heat_ratio_velocity(k, F.col("alpha"), down, up)
-            ),
-            "vh_tmax_cm_hr": F.when(
-                F.col(COMPLETE), physics.time_to_max_velocity(k, pulse, peak, down)
-            ),
-        }
-    )
-    corrected = velocities.withColumns(
+            "vh_hrm_cm_hr": f"CASE WHEN {COMPLETE} THEN {hrm} END",
+            "vh_tmax_cm_hr": f"CASE WHEN {COMPLETE} THEN {tmax} END",
+        },
         {
-            "vc_hrm_cm_hr": _wounded(F.col("vh_hrm_cm_hr")),
-            "vc_tmax_cm_hr": _wounded(F.col("vh_tmax_cm_hr")),
-        }
-    )
-    fluxes = corrected.withColumns(
+            "vc_hrm_cm_hr": _wounded("vh_hrm_cm_hr"),
+            "vc_tmax_cm_hr": _wounded("vh_tmax_cm_hr"),
+        },
+        {"j_hrm_cm_hr": _flux("vc_hrm_cm_hr"), "j_tmax_cm_hr": _flux("vc_tmax_cm_hr")},
         {
-            "j_hrm_cm_hr": _flux(F.col("vc_hrm_cm_hr")),
-            "j_tmax_cm_hr": _flux(F.col("vc_tmax_cm_hr")),
-        }
-    )
-    slow = F.col("beta") <= F.lit(1.0)
-    method = F.when(F.col(COMPLETE), F.when(slow, F.lit(HRM)).otherwise(F.lit(TMAX)))
-    chosen = F.when(
-        F.col(COMPLETE), F.when(slow, F.col("j_hrm_cm_hr")).otherwise(F.col("j_tmax_cm_hr"))
-    )
-    return fluxes.withColumns(
-        {"calculation_method_used": method, "sap_flux_density_j_dma_cm_hr": chosen}
-    ).drop(COMPLETE)
+            "calculation_method_used": f"CASE WHEN {COMPLETE} THEN "
+            f"CASE WHEN beta <= 1D THEN '{HRM}' ELSE '{TMAX}' END END",
+            "sap_flux_density_j_dma_cm_hr": f"CASE WHEN {COMPLETE} THEN "
+            "CASE WHEN beta <= 1D THEN j_hrm_cm_hr ELSE j_tmax_cm_hr END END",
+        },
+    ]
+    result = df
+    for step in steps:
+        result = result.withColumns({name: F.expr(text) for name, text in step.items()})
+    return result.drop(COMPLETE)

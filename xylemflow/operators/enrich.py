@@ -142,34 +142,33 @@ def match_deployments(
     Rows without a direct match are tried again through a logger alias valid at that time.
     Only the id is carried, so the rows stay as narrow as they came.
     """
-    intervals = deployments.select(
-        F.col("datalogger_id").alias("_name"),
-        F.col("sdi_address").alias("_address"),
-        F.col(START).alias("_from"),
-        F.col(END).alias("_until"),
-        F.col("deployment_id").alias("_id"),
+    intervals = deployments.selectExpr(
+        "datalogger_id AS _name",
+        "sdi_address AS _address",
+        f"{START} AS _from",
+        f"{END} AS _until",
+        "deployment_id AS _id",
     )
     matched = _attach_id(observations, intervals, "_direct")
     if aliases is None:
         return matched.withColumnRenamed("_direct", output)
     matched = _attach_id(
-        matched, alias_intervals(intervals, aliases), "_renamed", F.col("o._direct").isNull()
+        matched, alias_intervals(intervals, aliases), "_renamed", "o._direct IS NULL"
     )
     return matched.withColumn(output, F.coalesce("_direct", "_renamed")).drop("_direct", "_renamed")
 
 
 def _attach_id(
-    rows: DataFrame, intervals: DataFrame, output: str, condition: Column | None = None
+    rows: DataFrame, intervals: DataFrame, output: str, condition: str | None = None
 ) -> DataFrame:
     covers = (
-        (F.col("o.logger_id") == F.col("i._name"))
-        & (F.col("o.sdi12_address") == F.col("i._address"))
-        & within(F.col("o.timestamp_utc"), F.col("i._from"), F.col("i._until"))
+        "o.logger_id = i._name AND o.sdi12_address = i._address AND o.timestamp_utc >= i._from"
+        " AND (i._until IS NULL OR o.timestamp_utc < i._until)"
     )
     if condition is not None:
-        covers &= condition
-    return rows.alias("o").join(intervals.alias("i"), covers, "left").select(
-        "o.*", F.col("i._id").alias(output)
+        covers += f" AND {condition}"
+    return rows.alias("o").join(intervals.alias("i"), F.expr(covers), "left").selectExpr(
+        "o.*", f"i._id AS {output}"
     )
 
 

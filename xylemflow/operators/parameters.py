@@ -18,53 +18,46 @@ from xylemflow.schema import KIND_TYPES, PARAMETERS, SCOPE_COLUMNS, SCOPE_LABELS
 EVERYWHERE = len(SCOPE_COLUMNS)  # rank of an override without any scope
 
 
-def precedence(columns: Sequence[str] = SCOPE_COLUMNS) -> Column:
+def precedence() -> Column:
     """Rank of the most specific scope id that is set; lower wins."""
-    rank = F.lit(EVERYWHERE)
-    for position in reversed(range(len(columns))):
-        rank = F.when(F.col(columns[position]).isNotNull(), F.lit(position)).otherwise(rank)
-    return rank
+    cases = " ".join(f"WHEN {c} IS NOT NULL THEN {i}" for i, c in enumerate(SCOPE_COLUMNS))
+    return F.expr(f"CASE {cases} ELSE {EVERYWHERE} END")
 
 
-def provenance_label(rank: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(label) for label in SCOPE_LABELS]), rank + 1)
+def provenance_label(rank: str) -> str:
+    labels = ", ".join(f"'{label}'" for label in SCOPE_LABELS)
+    return f"element_at(array({labels}), {rank} + 1)"
 
 
 def ranked_overrides(overrides: DataFrame) -> DataFrame:
     """Overrides keyed by their most specific scope id, first one per code and scope set."""
-    ranked = overrides.select(
-        "code",
-        "value",
-        "seq",
-        *[F.col(c).cast("string").alias(c) for c in SCOPE_COLUMNS],
-        precedence().alias("_rank"),
-        F.coalesce(*[F.col(c).cast("string") for c in SCOPE_COLUMNS], F.lit("*")).alias("_anchor"),
+    ids = [f"CAST({c} AS STRING) AS {c}" for c in SCOPE_COLUMNS]
+    anchor = f"CAST(coalesce({', '.join(SCOPE_COLUMNS)}, '*') AS STRING) AS _anchor"
+    ranked = overrides.selectExpr("code", "value", "seq", *ids, anchor).withColumn(
+        "_rank", precedence()
     )
     return ranked.groupBy("code", "_rank", "_anchor", *SCOPE_COLUMNS).agg(
-        F.min("seq").alias("seq"), F.min_by(F.struct("value"), "seq")["value"].alias("value")
+        F.expr("min(seq) AS seq"), F.expr("min_by(struct(value), seq).value AS value")
     )
 
 
 def override_matches(scopes: DataFrame, overrides: DataFrame) -> DataFrame:
     """All (scope, override) pairs that apply: every scope id the override sets must be equal."""
-    anchors = F.array(
-        *[
-            F.struct(F.lit(i).alias("rank"), F.col(c).cast("string").alias("anchor"))
-            for i, c in enumerate(SCOPE_COLUMNS)
-        ],
-        F.struct(F.lit(EVERYWHERE).alias("rank"), F.lit("*").alias("anchor")),
-    )
-    probes = scopes.select(
-        *SCOPE_COLUMNS, F.explode(F.filter(anchors, lambda a: a["anchor"].isNotNull())).alias("_at")
+    anchors = [
+        f"struct({i} AS rank, CAST({c} AS STRING) AS anchor)" for i, c in enumerate(SCOPE_COLUMNS)
+    ] + [f"struct({EVERYWHERE} AS rank, '*' AS anchor)"]
+    probes = scopes.selectExpr(
+        *SCOPE_COLUMNS,
+        f"inline(filter(array({', '.join(anchors)}), a -> a.anchor IS NOT NULL))",
     )
-    s, o = probes.alias("s"), ranked_overrides(overrides).alias("o")
-    condition = (F.col("s._at.rank") == F.col("o._rank")) & (
-        F.col("s._at.anchor") == F.col("o._anchor")
+    residual = " AND ".join(
+        f"(o.{c} IS NULL OR o.{c} = CAST(s.{c} AS STRING))" for c in SCOPE_COLUMNS
     )
-    for c in SCOPE_COLUMNS:
-        condition &= F.col(f"o.{c}").isNull() | (F.col(f"o.{c}") == F.col(f"s.{c}").cast("string"))
-    return s.join(o, condition).select(
-        *[F.col(f"s.{c}") for c in SCOPE_COLUMNS], "o.code", "o.value", "o.seq", "o._rank"
+    condition = F.expr(f"s.rank = o._rank AND s.anchor = o._anchor AND {residual}")
+    return (
+        probes.alias("s")
+        .join(ranked_overrides(overrides).alias("o"), condition)
+        .selectExpr(*[f"s.{c}" for c in SCOPE_COLUMNS], "o.code", "o.value", "o.seq", "o._rank")
     )
 
 
@@ -85,41 +78,30 @@ def resolve_scopes(
     typed = override_matches(distinct, overrides).select(
         *SCOPE_COLUMNS,
         "code",
-        F.struct("_rank", "seq").alias("_order"),
+        F.expr("struct(_rank, seq) AS _order"),
         F.struct(
-            provenance_label(F.col("_rank")).alias("source"),
+            F.expr(f"{provenance_label('_rank')} AS source"),
             *[json_to_kind(F.col("value"), kind).alias(kind) for kind in kinds],
         ).alias("_won"),
     )
     winners = typed.groupBy(*SCOPE_COLUMNS, "code").agg(F.min_by("_won", "_order").alias("_won"))
     # One entry per code, so the collected list is bounded by the number of parameters.
     by_code = winners.groupBy(*SCOPE_COLUMNS).agg(
-        F.map_from_entries(F.collect_list(F.struct("code", "_won"))).alias("_by_code")
-    )
-    joined = distinct.alias("s").join(by_code.alias("w"), same_scope("s", "w"), "left").select(
-        "s.*", "w._by_code"
+        F.expr("map_from_entries(collect_list(struct(code, _won))) AS _by_code")
     )
+    joined = distinct.alias("s").join(by_code.alias("w"), same_scope("s", "w"), "left")
     columns = []
     for p in definitions:
-        won = F.try_element_at("_by_code", F.lit(p.code))
-        found = won.isNotNull()
-        columns.append(
-            F.when(found, won[p.kind]).otherwise(default_value(p)).alias(p.code)
-        )
-        columns.append(
-            F.when(found, won["source"])
-            .otherwise(F.lit(SCOPE_LABELS[EVERYWHERE]))
-            .alias(p.source_column)
-        )
-    return joined.select(*SCOPE_COLUMNS, *columns)
+        won = f"w._by_code['{p.code}']"
+        fallback = f"CAST('{p.default}' AS {KIND_TYPES[p.kind]})"
+        columns.append(f"CASE WHEN {won} IS NULL THEN {fallback} ELSE {won}.{p.kind} END AS {p.code}")
+        columns.append(f"coalesce({won}.source, '{SCOPE_LABELS[EVERYWHERE]}') AS {p.source_column}")
+    return joined.selectExpr(*[f"s.{c}" for c in SCOPE_COLUMNS], *columns)
 
 
 def same_scope(left: str, right: str) -> Column:
     """Null-safe equality of all scope ids."""
-    condition = F.lit(True)
-    for c in SCOPE_COLUMNS:
-        condition &= F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return condition
+    return F.expr(" AND ".join(f"{left}.{c} <=> {right}.{c}" for c in SCOPE_COLUMNS))
 
 
 def parameter_columns(definitions: Sequence[Parameter] = PARAMETERS) -> list[str]:
@@ -140,8 +122,8 @@ def resolve_parameters(
         source = source.withColumn(c, F.lit(None).cast("string"))
     resolved = resolve_scopes(source, overrides, definitions).alias("p")
     return source.alias("o").join(resolved, same_scope("o", "p")).select(
-        *[F.col(f"o.{c}") for c in observations.columns],
-        *[F.col(f"p.{c}") for c in parameter_columns(definitions)],
+        *[f"o.{c}" for c in observations.columns],
+        *[f"p.{c}" for c in parameter_columns(definitions)],
     )
 
 

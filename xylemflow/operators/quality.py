@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from xylemflow.functions.times import MINUTE_US, YEAR_US, micros
+from xylemflow.functions.times import MINUTE_US, YEAR_US
 from xylemflow.operators.timestamps import PREVIOUS_UTC, attach_previous_utc
 
 SUSPECT = "SUSPECT"
@@ -38,22 +38,26 @@ def earliest_deployments(df: DataFrame) -> DataFrame:
 def record_gap(df: DataFrame) -> DataFrame:
     """Add boolean ``record_gap``: years since the logger's previous record exceed the limit."""
     source = df if PREVIOUS_UTC in df.columns else attach_previous_utc(df)
-    return source.withColumn("record_gap", _gap()).drop(PREVIOUS_UTC)
+    return source.withColumn("record_gap", F.expr(GAP)).drop(PREVIOUS_UTC)
 
 
-def _limit(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0.0))
+def _us(ts: str) -> str:
+    return f"CAST(unix_micros(CAST({ts} AS TIMESTAMP_LTZ)) AS DOUBLE)"
 
 
-def _below(left: Column, right: Column) -> Column:
+def _minutes(name: str) -> str:
+    return f"coalesce({name}, 0D) * {MINUTE_US}D"
+
+
+def _below(left: str, right: str) -> str:
     """``left < right`` that is false for NaN on either side (Spark sorts NaN last)."""
-    return (left < right) & ~F.isnan(left) & ~F.isnan(right)
+    return f"({left} < {right} AND NOT isnan({left}) AND NOT isnan({right}))"
 
 
-def _gap() -> Column:
-    distance = F.abs(micros(F.col("timestamp_utc")) - micros(F.col(PREVIOUS_UTC)))
-    years = distance.cast("double") / F.lit(YEAR_US)
-    return F.coalesce(years > _limit("quality_gap_years"), F.lit(False))
+GAP = (
+    f"coalesce(abs({_us('timestamp_utc')} - {_us(PREVIOUS_UTC)}) / {YEAR_US}D"
+    " > coalesce(quality_gap_years, 0D), false)"
+)
 
 
 def apply_quality_filters(
@@ -67,40 +71,44 @@ def apply_quality_filters(
     """
     columns = [c for c in df.columns if c != PREVIOUS_UTC]
     source = df if PREVIOUS_UTC in df.columns else attach_previous_utc(df)
-
-    ts = micros(F.col("timestamp_utc")).cast("double")
-    start = micros(F.col(START)).cast("double")
-    now_us = F.lit(now).cast("timestamp_ntz")
-    end = micros(F.coalesce(F.col(END), now_us)).cast("double")
-    start_grace = _limit("quality_deployment_start_grace_minutes") * F.lit(MINUTE_US)
-    end_grace = _limit("quality_deployment_end_grace_minutes") * F.lit(MINUTE_US)
-    lead = _limit("quality_future_lead_minutes") * F.lit(MINUTE_US)
-    flux = F.col("sap_flux_density_j_dma_cm_hr")
-    upper, lower = F.col("quality_max_flux_cm_hr"), F.col("quality_min_flux_cm_hr")
-
-    if matched_only:
-        before_first = F.lit(None).cast("string")
-    else:
+    if not matched_only:
         source = source.join(earliest_deployments(df), ["logger_id", "sdi12_address"], "left")
-        first = micros(F.col("_first_start")).cast("double")
-        before_first = F.when(
-            F.col(START).isNull() & _below(ts, first - start_grace), F.lit(BEFORE_FIRST_DEPLOYMENT)
-        )
-
-    reasons = [
-        F.when(_below(ts, start - start_grace), F.lit(BEFORE_DEPLOYMENT)),
-        before_first,
-        F.when(ts > end + end_grace, F.lit(AFTER_DEPLOYMENT)),
-        F.when(ts > micros(now_us).cast("double") + lead, F.lit(FUTURE)),
-        F.when(_gap(), F.lit(RECORD_GAP)),
-        F.when(_below(upper, flux), F.lit(FLUX_ABOVE)),
-        F.when(_below(flux, lower), F.lit(FLUX_BELOW)),
-    ]
-    explained = source.withColumn(
-        "quality_explanation", F.nullif(F.concat_ws(SEPARATOR, *reasons), F.lit(""))
+
+    moment = f"TIMESTAMP_NTZ'{now:%Y-%m-%d %H:%M:%S.%f}'"
+    times = source.withColumns(
+        {
+            "_ts": F.expr(_us("timestamp_utc")),
+            "_begin": F.expr(f"{_us(START)} - {_minutes('quality_deployment_start_grace_minutes')}"),
+            "_finish": F.expr(
+                f"{_us(f'coalesce({END}, {moment})')} + {_minutes('quality_deployment_end_grace_minutes')}"
+            ),
+        }
+    )
+    flux, upper, lower = (
+        "sap_flux_density_j_dma_cm_hr",
+        "quality_max_flux_cm_hr",
+        "quality_min_flux_cm_hr",
+    )
+    rules = {
+        BEFORE_DEPLOYMENT: _below("_ts", "_begin"),
+        BEFORE_FIRST_DEPLOYMENT: None
+        if matched_only
+        else f"{START} IS NULL AND "
+        + _below("_ts", f"({_us('_first_start')} - {_minutes('quality_deployment_start_grace_minutes')})"),
+        AFTER_DEPLOYMENT: "_ts > _finish",
+        FUTURE: f"_ts > {_us(moment)} + {_minutes('quality_future_lead_minutes')}",
+        RECORD_GAP: GAP,
+        FLUX_ABOVE: _below(upper, flux),
+        FLUX_BELOW: _below(flux, lower),
+    }
+    reasons = ", ".join(
+        f"CASE WHEN {rule} THEN '{reason}' END" for reason, rule in rules.items() if rule
+    )
+    explained = times.withColumn(
+        "quality_explanation", F.expr(f"nullif(concat_ws('{SEPARATOR}', {reasons}), '')")
     )
     return explained.select(
         *columns,
-        F.when(F.col("quality_explanation").isNotNull(), F.lit(SUSPECT)).alias("quality"),
+        F.expr(f"CASE WHEN quality_explanation IS NOT NULL THEN '{SUSPECT}' END AS quality"),
         "quality_explanation",
     )

@@ -7,6 +7,7 @@ expressions. Nothing is shuffled; a file is bounded by the binary reader's 2 GB
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,82 +185,70 @@ def tokens(line: Column) -> Column:
     return F.when(~line.contains('"'), plain).when(~hard, unquoted).otherwise(peeled)
 
 
-def _lookup(table: dict[str, Column], key: Column) -> Column:
-    return F.try_element_at(
-        F.create_map(*[part for k, v in table.items() for part in (F.lit(k), v)]), key
-    )
+ROLE_TYPE = (
+    "struct<kind: string, address: string, depth: string, metric: int, step: int, unit: string, "
+    "dialects: array<string>>"
+)
+
+
+def _lookup(table: dict, value_type: str, key: Column) -> Column:
+    """Value of a key in a constant table (folded to one literal by the optimizer)."""
+    constant = F.from_json(F.lit(json.dumps(table)), f"map<string, {value_type}>")
+    return F.try_element_at(constant, key)
 
 
 def _role(
-    kind: str | Column,
-    address: Column | None = None,
+    kind: str,
     depth: str | None = None,
-    metric: int | None = None,
+    metric: str | None = None,
     step: int | None = None,
     unit: str | None = None,
     dialects: str = "all hx legacy table cr200",
-) -> Column:
-    return F.struct(
-        (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
-        (F.lit(None).cast("string") if address is None else address).alias("address"),
-        F.lit(depth).cast("string").alias("depth"),
-        F.lit(metric).cast("int").alias("metric"),
-        F.lit(step).cast("int").alias("step"),
-        F.lit(unit).cast("string").alias("unit"),
-        F.split(F.lit(dialects), " ").alias("dialects"),
-    )
-
-
-def _metric_index(name: str | None) -> int:
-    return IGNORED_METRIC if name is None else METRIC_COLUMNS.index(name)
-
-
-def _with_address(role: Column, address: Column) -> Column:
-    return F.when(role.isNotNull(), role.withField("address", address))
+) -> dict:
+    place = None
+    if kind == "metric":
+        place = IGNORED_METRIC if metric is None else METRIC_COLUMNS.index(metric)
+    return {
+        "kind": kind,
+        "depth": depth,
+        "metric": place,
+        "step": step,
+        "unit": unit,
+        "dialects": dialects.split(),
+    }
 
 
 def column_role(header: Column) -> Column:
     """Meaning of one header cell, with the dialects that accept it; null if none does."""
     name = F.trim(header)
-    logger = _lookup({k: _role(v) for k, v in LOGGER_SPELLINGS.items()}, F.lower(name))
+    logger = _lookup({k: _role(v) for k, v in LOGGER_SPELLINGS.items()}, ROLE_TYPE, F.lower(name))
 
     sensor = r"^S([0-9A-Za-z])_(.*)$"
-    suffix = F.lower(F.regexp_extract(name, sensor, 2))
-    by_suffix = _with_address(
-        _lookup(
-            {
-                k: _role("metric", None, depth, _metric_index(metric), step, unit, "all")
-                for step, (k, (depth, metric, unit)) in enumerate(SENSOR_SUFFIXES.items())
-            },
-            suffix,
-        ),
-        F.regexp_extract(name, sensor, 1),
+    suffixes = {
+        k: _role("metric", depth, metric, step, unit, "all")
+        for step, (k, (depth, metric, unit)) in enumerate(SENSOR_SUFFIXES.items())
+    }
+    by_suffix = _lookup(suffixes, ROLE_TYPE, F.lower(F.regexp_extract(name, sensor, 2))).withField(
+        "address", F.regexp_extract(name, sensor, 1)
     )
 
     trailing = r"^(.*)([0-9A-Za-z])$"
+    bases = {
+        k: _role("metric", depth, metric, dialects=dialects)
+        for k, (depth, metric, dialects) in TABLE_BASES.items()
+    }
+    bases[TOTAL_BASE] = _role("total", dialects="hx legacy table cr200")
+    bases["sdi"] = _role("address", dialects="hx legacy table cr200")
+    bases["sensoraddress"] = _role("address", dialects="legacy table cr200")
     base = F.lower(F.regexp_extract(name, trailing, 1))
-    address = F.regexp_extract(name, trailing, 2)
-    by_base = _with_address(
-        _lookup(
-            {
-                k: _role("metric", None, depth, _metric_index(metric), dialects=dialects)
-                for k, (depth, metric, dialects) in TABLE_BASES.items()
-            }
-            | {TOTAL_BASE: _role("total", dialects="hx legacy table cr200")},
-            base,
-        ),
-        address,
+    # Address columns may carry any ending after their first word.
+    stem = F.when(base.startswith("sdi"), "sdi").when(
+        base.startswith("sensoraddress"), "sensoraddress"
     )
-    return (
-        F.when(logger.isNotNull(), logger)
-        .when(name.rlike(sensor) & by_suffix.isNotNull(), by_suffix)
-        .when(base.startswith("sdi"), _role("address", address, dialects="hx legacy table cr200"))
-        .when(
-            base.startswith("sensoraddress"),
-            _role("address", address, dialects="legacy table cr200"),
-        )
-        .otherwise(by_base)
+    by_base = _lookup(bases, ROLE_TYPE, F.coalesce(stem, base)).withField(
+        "address", F.regexp_extract(name, trailing, 2)
     )
+    return F.coalesce(logger, by_suffix, by_base)
 
 
 def _ends_mid_run(sensors: Column) -> Column:
@@ -748,12 +737,12 @@ def _finish(files: DataFrame) -> DataFrame:
     lines = F.filter(
         F.transform("parser_attempts", lambda a: a["line_index"]), lambda line: line.isNotNull()
     )
-    codes = {d.key: F.lit(d.code) for d in DIALECTS}
+    codes = {d.key: d.code for d in DIALECTS}
     return chosen.select(
         "path",
         "file_hash",
         F.when(parsed, F.lit("Parsed")).otherwise(F.lit("Failed")).alias("status"),
-        _lookup(codes, F.col("winner")).alias("parser"),
+        _lookup(codes, "string", F.col("winner")).alias("parser"),
         "parser_attempts",
         F.when(~parsed, F.get(lines, F.lit(0))).alias("first_error_line"),
         F.when(parsed, _metadata()).alias("file_metadata"),
