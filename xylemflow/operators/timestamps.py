@@ -52,7 +52,8 @@ def record_map(observations: DataFrame, with_head: bool = False) -> DataFrame:
     ]
     if with_head:
         measures.append(F.min(row_rank()).alias("_head"))
-    return keyed.groupBy("logger_id", "record").agg(*measures)
+    # The number comes first: sorts compare it by prefix before they look at the text.
+    return keyed.groupBy("record", "logger_id").agg(*measures)
 
 
 def row_rank() -> Column:
@@ -192,7 +193,7 @@ def correct_timestamps(
         known = previous_value(
             known, ["logger_id"], F.col("record"), ["record"], "timestamp_utc", PREVIOUS_UTC
         )
-    joined = observations.join(known, ["logger_id", "record"])
+    joined = observations.join(known, ["record", "logger_id"])
     if with_previous:
         joined = joined.withColumn(
             PREVIOUS_UTC, F.when(row_rank() == F.col("_head"), F.col(PREVIOUS_UTC))

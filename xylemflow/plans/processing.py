@@ -16,6 +16,7 @@ from xylemflow.operators.parameters import parameter_columns, resolve_scopes
 from xylemflow.operators.quality import apply_quality_filters
 from xylemflow.operators.timestamps import PREVIOUS_UTC, correct_timestamps, local_deployments
 from xylemflow.schema import (
+    CALCULATED_COLUMNS,
     CONTEXT_COLUMNS,
     OVERRIDE_SCHEMA,
     PARAMETERS,
@@ -108,6 +109,13 @@ def resolved_deployments(context: Context) -> DataFrame:
     return context.hold(wide.unionByName(empty))
 
 
+BOUNDS = ["deployment_start_timestamp_utc", "deployment_end_timestamp_utc"]
+
+
+def timed_columns(observations: DataFrame) -> list[str]:
+    return [c for c in observations.columns if c != PREVIOUS_UTC]
+
+
 def run_batch(
     observations: DataFrame, context: Context, now: datetime, matched_only: bool = False
 ) -> BatchResult:
@@ -132,10 +140,19 @@ def run_batch(
         matched = matched.withColumn(
             "_deployment", F.coalesce("_deployment", F.lit(NO_DEPLOYMENT))
         )
-    enriched = matched.join(resolved_deployments(context), "_deployment").drop("_deployment")
+    dimension = resolved_deployments(context)
     if not context.definitions:
-        return BatchResult(enriched.drop(PREVIOUS_UTC), timed.skipped_chunks)
-    finished = apply_quality_filters(apply_dma_peclet(enriched), now, matched_only)
+        finished = matched.join(dimension, "_deployment").drop("_deployment", PREVIOUS_UTC)
+        return BatchResult(finished, timed.skipped_chunks)
+    # Numbers first, so that the formulas run over narrow rows; then the descriptive columns.
+    used = [p.code for p in context.definitions] + BOUNDS
+    described = [c for c in dimension.columns if c not in used]
+    numbered = matched.join(dimension.select("_deployment", *used), "_deployment")
+    graded = apply_quality_filters(apply_dma_peclet(numbered), now, matched_only)
+    finished = graded.join(dimension.select(*described), "_deployment").select(
+        *timed_columns(timed.observations), *dimension.drop("_deployment").columns, *CALCULATED_COLUMNS,
+        "quality", "quality_explanation",
+    )
     return BatchResult(finished, timed.skipped_chunks)
 
 

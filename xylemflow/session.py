@@ -12,6 +12,9 @@ REQUIRED_CONF = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not compile methods above 8000 bytes; the wide final rows would otherwise run
+    # interpreted. Such stages use the per-operator projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
