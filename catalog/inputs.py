@@ -280,8 +280,8 @@ INPUTS = {
 }
 
 
-def with_inputs(body: str) -> str:
-    """Prefix a statement with the inputs it names, in dependency order."""
+def needed_inputs(body: str) -> dict[str, str]:
+    """The inputs a statement names, directly or through others, in dependency order."""
     needed: dict[str, str] = {}
 
     def visit(sql: str) -> None:
@@ -291,6 +291,12 @@ def with_inputs(body: str) -> str:
                 needed[name] = text
 
     visit(body)
+    return needed
+
+
+def with_inputs(body: str) -> str:
+    """Prefix a statement with the inputs it names."""
+    needed = needed_inputs(body)
     if not needed:
         return body
     ctes = ", ".join(f"{name} AS ({text})" for name, text in needed.items())
@@ -303,6 +309,8 @@ def with_inputs(body: str) -> str:
 class Tables:
     """The test tables of one folder as views, and the inputs derived from them."""
 
+    _owner: dict[str, Tables] = {}  # who defined a view last; views are shared by the session
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
@@ -314,11 +322,24 @@ class Tables:
         return self._frames[name]
 
     def sql(self, body: str) -> DataFrame:
-        text = with_inputs(body)
+        """Run a statement over the tables and inputs.
+
+        Inputs become views, not WITH clauses: Spark renumbers the latter in a larger plan,
+        and then no longer recognises a cached part of it.
+        """
+        needed = needed_inputs(body)
+        texts = " ".join([*needed.values(), body])
         for name in TABLES:
-            if re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
-                self.read(name).createOrReplaceTempView(name)
-        return self.spark.sql(text)
+            if re.search(rf"\b(FROM|JOIN)\s+{name}\b", texts):
+                self._view(name, lambda name=name: self.read(name))
+        for name, text in needed.items():
+            self._view(name, lambda text=text: self.spark.sql(text))
+        return self.spark.sql(body)
+
+    def _view(self, name: str, build) -> None:
+        if Tables._owner.get(name) is not self:
+            build().createOrReplaceTempView(name)
+            Tables._owner[name] = self
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.sql(f"SELECT * FROM {name}")

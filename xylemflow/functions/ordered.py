@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from xylemflow.session import cut_lineage
 
 
+def _same(keys: Sequence[str], null_keys: bool) -> Column:
+    """Equality of the keys of ``r`` and ``c``; plain, so that the partitioning is reused."""
+    operator = "<=>" if null_keys else "="
+    return F.expr(" AND ".join(f"r.{k} {operator} c.{k}" for k in keys))
+
+
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
@@ -23,13 +29,14 @@ def previous_value(
     value: str,
     output: str,
     bucket_bits: int = 16,
+    null_keys: bool = False,
 ) -> DataFrame:
     """Add ``output`` = ``value`` of the previous row of the key in ``order``.
 
     ``position`` is a non-null bigint that never decreases along ``order``; rows are unique in
     ``keys + order``. With ``bucket_bits`` bits per bucket a task sorts at most
     ``2**bucket_bits`` distinct positions of one key, however many rows the key has.
-    The first row of a key gets null.
+    The first row of a key gets null. Set ``null_keys`` where a key column may be null.
     """
     work = df.withColumn("_bucket", F.shiftright(position, bucket_bits))
     group = [*keys, "_bucket"]
@@ -46,10 +53,7 @@ def previous_value(
         *group,
         F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carried"),
     )
-    condition = F.lit(True)
-    for name in group:
-        condition &= F.col(f"r.{name}").eqNullSafe(F.col(f"c.{name}"))
-    return rows.alias("r").join(carried.alias("c"), condition, "left").select(
+    return rows.alias("r").join(carried.alias("c"), _same(group, null_keys), "left").select(
         *[F.col(f"r.{c}") for c in df.columns],
         F.coalesce("_before", "_carried")["v"].alias(output),
     )
@@ -63,6 +67,7 @@ def running_max_before(
     value: str,
     output: str,
     bucket_bits: int = 36,
+    null_keys: bool = False,
 ) -> DataFrame:
     """Add ``output`` = largest ``value`` among the rows of the key before this one.
 
@@ -75,10 +80,7 @@ def running_max_before(
     tops = work.groupBy(*group).agg(F.max(value).alias("_top"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = tops.select(*group, F.max("_top").over(earlier).alias("_carried"))
-    condition = F.lit(True)
-    for name in group:
-        condition &= F.col(f"r.{name}").eqNullSafe(F.col(f"c.{name}"))
-    return rows.alias("r").join(carried.alias("c"), condition, "left").select(
+    return rows.alias("r").join(carried.alias("c"), _same(group, null_keys), "left").select(
         *[F.col(f"r.{c}") for c in df.columns],
         F.greatest("_before", "_carried").alias(output),
     )

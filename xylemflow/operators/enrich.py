@@ -257,7 +257,7 @@ def _overlapping(intervals: DataFrame) -> DataFrame:
     bounded = intervals.withColumn("_end", F.coalesce("end", far))
     keys = ["kind", "name", "address"]
     reach = running_max_before(
-        bounded, keys, micros(F.col("start")), ["start", "_end"], "_end", "_reach"
+        bounded, keys, micros(F.col("start")), ["start", "_end"], "_end", "_reach", null_keys=True
     )
     clashing = reach.where(F.col("_reach") > F.col("start")).select(*keys).distinct()
     condition = F.lit(True)

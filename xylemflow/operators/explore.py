@@ -203,6 +203,7 @@ def chunk_boundaries(df: DataFrame) -> DataFrame:
         "_signature",
         "_previous",
         bucket_bits=36,
+        null_keys=True,
     )
     return lagged.where(
         F.col("_previous").isNotNull()

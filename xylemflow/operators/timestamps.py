@@ -188,6 +188,15 @@ def correct_timestamps(
     """
     records = record_map(observations, with_head=with_previous)
     offsets = chunk_offsets(chunk_anchors(records), sites, deployments, aliases)
+    return CorrectedTime(
+        attach_utc(observations, records, offsets, with_previous), skipped_chunks(offsets)
+    )
+
+
+def attach_utc(
+    observations: DataFrame, records: DataFrame, offsets: DataFrame, with_previous: bool = False
+) -> DataFrame:
+    """Join the observations to the UTC time and signature of their record."""
     known = utc_records(records, offsets).drop("timestamp")
     if with_previous:
         known = previous_value(
@@ -201,9 +210,7 @@ def correct_timestamps(
     corrected = joined.withColumn("raw_local_timestamp_often_wrong", F.col("timestamp"))
     tail = ["file_set_signature", "timestamp_utc", "raw_local_timestamp_often_wrong"]
     extra = [PREVIOUS_UTC] if with_previous else []
-    return CorrectedTime(
-        corrected.select(*observations.columns, *tail, *extra), skipped_chunks(offsets)
-    )
+    return corrected.select(*observations.columns, *tail, *extra)
 
 
 def gap_points(df: DataFrame) -> DataFrame:

@@ -14,7 +14,15 @@ from xylemflow.operators.dma import apply_dma_peclet
 from xylemflow.operators.enrich import expand_metadata, match_deployments, metadata_keys
 from xylemflow.operators.parameters import parameter_columns, resolve_scopes
 from xylemflow.operators.quality import apply_quality_filters
-from xylemflow.operators.timestamps import PREVIOUS_UTC, correct_timestamps, local_deployments
+from xylemflow.operators.timestamps import (
+    PREVIOUS_UTC,
+    attach_utc,
+    chunk_anchors,
+    chunk_offsets,
+    local_deployments,
+    record_map,
+    skipped_chunks,
+)
 from xylemflow.schema import (
     CALCULATED_COLUMNS,
     CONTEXT_COLUMNS,
@@ -24,6 +32,7 @@ from xylemflow.schema import (
     Parameter,
 )
 from xylemflow.session import measured
+from xylemflow.sources.tables import stage
 
 STANDARD = "standard_v1_dst_fix"
 
@@ -121,19 +130,20 @@ def run_batch(
 ) -> BatchResult:
     """Observations to the finished table, plus the report of skipped chunks.
 
-    The observations are shuffled once, to meet their UTC time by (logger, record). The
-    deployment join is a broadcast while the resolved dimension is small. ``matched_only``
-    leaves out rows without a deployment, as a published run does; record gaps are still
-    judged against all records of the logger.
+    The thin record map is staged first. The observations themselves are shuffled once, to
+    meet their UTC time by (logger, record); chunk offsets and deployments are measured and
+    broadcast while they are small. ``matched_only`` leaves out rows without a deployment, as
+    a published run does; record gaps are still judged against all records of the logger.
     """
     context = context.held()
     if context.is_empty():
         raise ValueError("no sites or deployments: nothing to process against")
     bounds = context.hold(local_deployments(context.deployments.drop("timezone"), context.sites))
-    timed = correct_timestamps(observations, context.sites, bounds, with_previous=True)
-    matched = match_deployments(
-        timed.observations, context.deployments, context.aliases, "_deployment"
-    )
+    # One thin row per record, written once: chunks, offsets and the join all read it back.
+    records = stage(record_map(observations, with_head=True), "records")
+    offsets = context.hold(chunk_offsets(chunk_anchors(records), context.sites, bounds))
+    timed = attach_utc(observations, records, offsets, with_previous=True)
+    matched = match_deployments(timed, context.deployments, context.aliases, "_deployment")
     if matched_only:
         matched = matched.where(F.col("_deployment").isNotNull())
     else:
@@ -143,17 +153,17 @@ def run_batch(
     dimension = resolved_deployments(context)
     if not context.definitions:
         finished = matched.join(dimension, "_deployment").drop("_deployment", PREVIOUS_UTC)
-        return BatchResult(finished, timed.skipped_chunks)
+        return BatchResult(finished, skipped_chunks(offsets))
     # Numbers first, so that the formulas run over narrow rows; then the descriptive columns.
     used = [p.code for p in context.definitions] + BOUNDS
     described = [c for c in dimension.columns if c not in used]
     numbered = matched.join(dimension.select("_deployment", *used), "_deployment")
     graded = apply_quality_filters(apply_dma_peclet(numbered), now, matched_only)
     finished = graded.join(dimension.select(*described), "_deployment").select(
-        *timed_columns(timed.observations), *dimension.drop("_deployment").columns, *CALCULATED_COLUMNS,
+        *timed_columns(timed), *dimension.drop("_deployment").columns, *CALCULATED_COLUMNS,
         "quality", "quality_explanation",
     )
-    return BatchResult(finished, timed.skipped_chunks)
+    return BatchResult(finished, skipped_chunks(offsets))
 
 
 def unmatched_rows(observations: DataFrame, context: Context) -> DataFrame:
@@ -164,8 +174,11 @@ def unmatched_rows(observations: DataFrame, context: Context) -> DataFrame:
     keys = observations.select(
         "logger_id", "record", "timestamp", "file_hash", "sdi12_address", "thermistor_depth"
     )
-    bounds = local_deployments(context.deployments.drop("timezone"), context.sites)
-    timed = correct_timestamps(keys, context.sites, bounds).observations
+    context = context.held()
+    bounds = context.hold(local_deployments(context.deployments.drop("timezone"), context.sites))
+    records = stage(record_map(keys), "records")
+    offsets = context.hold(chunk_offsets(chunk_anchors(records), context.sites, bounds))
+    timed = attach_utc(keys, records, offsets)
     matched = match_deployments(timed, context.deployments, context.aliases)
     return matched.agg(
         F.count_if(F.col("deployment_id").isNull()).alias("excluded_rows_no_deployment")
