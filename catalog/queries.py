@@ -67,9 +67,7 @@ def six_sql(*names: str) -> str:
 )
 def _toa5_parse(t: Tables) -> DataFrame:
     parsed = toa5.parse_toa5(toa5_files(t))
-    paths = parsed.select("path", "file_hash")
     rows = flatten.flatten_parsed_files(parsed.withColumn("file_hash", F.col("path")))
-    del paths
     return rows.select(
         F.col("file_hash").alias("path"),
         "logger_id",

@@ -24,5 +24,5 @@ def identified(files: DataFrame) -> DataFrame:
 def decoded(files: DataFrame) -> DataFrame:
     """Add ``text``: the content as UTF-8 without a byte-order mark, null where it is not UTF-8."""
     valid = F.is_valid_utf8(F.col("content").cast("string"))
-    text = F.when(valid, F.regexp_replace(F.col("content").cast("string"), "^﻿", ""))
+    text = F.when(valid, F.regexp_replace(F.col("content").cast("string"), "^\ufeff", ""))
     return files.withColumn("text", text)
