@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,15 +28,22 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is configured."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The shared folder that ``spark.checkpoint.dir`` names, set as the context's checkpoint folder.
+
+    Without one, a temporary local folder serves a local master; on a cluster, where executors
+    would each write to their own disk, its absence is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    current = context._jsc.sc().getCheckpointDir()
+    if folder is None and current.isDefined():
+        folder = current.get()
     if folder is None:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="xylemflow-ckpt-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(folder)
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="xylemflow-ckpt-")
+    if not current.isDefined():
+        context.setCheckpointDir(folder)
     return folder
 
 
