@@ -70,7 +70,7 @@ def fingerprints(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """One 62-bit fingerprint for each row of a text buffer."""
     out = np.zeros((len(offsets) - 1, 2), np.int64)
     for low, high in row_slices(offsets, CHUNK):
-        start, end = offsets[low], offsets[high]
+        start, end = int(offsets[low]), int(offsets[high])
         for k, base in enumerate(BASES):
             if end - start <= CHUNK:
                 out[low:high, k] = chunk_hashes(flat[start:end], offsets[low : high + 1] - start, base).astype(np.int64)
