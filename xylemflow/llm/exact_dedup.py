@@ -171,8 +171,10 @@ def copy_groups(docs: DataFrame) -> DataFrame:
         "variant", F.when(F.col("_shared"), F.col("text_sha256")).otherwise(F.lit(""))
     )
     group = [*key, "variant"]
-    groups = told.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_nr")).alias("_last")
+    # Staged, so that the join below has exchanges of its own and AQE may split a large group.
+    groups = staging.table(
+        told.groupBy(*group).agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_nr")).alias("_last")),
+        "groups",
     )
     return told.join(groups, group).select(
         "doc_id",
