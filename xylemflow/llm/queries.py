@@ -36,3 +36,10 @@ def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.exact_dedup import copy_groups
 
     return copy_groups(documents(spark, sf_dir)).drop("row_nr")
+
+
+@query("op4_near_dedup")
+def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.near_dedup import near_components
+
+    return near_components(documents(spark, sf_dir))
