@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from xylemflow.session import checkpoint_dir
 
-#: Files of a finished stage's shuffle go at once, and not when the driver happens to collect garbage.
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffle files go when it is done, and not when the driver happens to
+#: collect garbage; Arrow batches hold fewer rows, since a row may be a long text.
+WRITE_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 class Staging:
@@ -22,21 +26,23 @@ class Staging:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
+        self._written = 0
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}-{len(self._paths)}"
-        before = self.spark.conf.get(SHUFFLE_CLEANUP, None)
-        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        path = f"{self.folder}/{self._written}-{name}"
+        self._written += 1
+        before = {key: self.spark.conf.get(key, None) for key in WRITE_CONF}
+        for key, value in WRITE_CONF.items():
+            self.spark.conf.set(key, value)
         try:
             df.write.mode("errorifexists").parquet(path)
         finally:
-            if before is None:
-                self.spark.conf.unset(SHUFFLE_CLEANUP)
-            else:
-                self.spark.conf.set(SHUFFLE_CLEANUP, before)
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
         staged = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(staged)] = path
         staged._staged_path = path
         return staged
 
