@@ -43,3 +43,19 @@ def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.near_dedup import near_components
 
     return near_components(documents(spark, sf_dir))
+
+
+@query("op9_mixing")
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.mixing import mix_documents
+
+    return mix_documents(documents(spark, sf_dir)).drop("row_nr", "first_slot")
+
+
+@query("op6_packing")
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from xylemflow.llm.packing import pack_documents
+
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
