@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -59,3 +61,18 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.packing import pack_documents
 
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_language_id")
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from xylemflow.llm.language_id import held_out, predict_languages
+
+    found = predict_languages(documents(spark, sf_dir))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
