@@ -76,3 +76,23 @@ def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query(
+    "op5_topk_search",
+    """
+    WITH usable AS (
+      SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+      FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5""",
+)
+def _topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.topk_search import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
