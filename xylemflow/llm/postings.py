@@ -148,6 +148,8 @@ def _shared(table: pa.Table) -> pa.Table:
 
 def _later(table: pa.Table) -> pa.Table:
     hashes, owner = _unpacked(table)
+    if table.num_rows and table["part"][0].as_py() < 0:
+        return _returned(hashes, owner, np.ones(len(hashes)))
     first = np.append(True, hashes[1:] != hashes[:-1]) if len(hashes) else np.zeros(0, bool)
     return _returned(hashes[~first], owner[~first], np.zeros(int((~first).sum())))
 
@@ -158,7 +160,11 @@ def shared_hashes(packed: DataFrame) -> DataFrame:
 
 
 def later_hashes(packed: DataFrame) -> DataFrame:
-    """Of each document, the hashes that a document with a smaller key holds too."""
+    """Of each document, the hashes that a document with a smaller key holds too (weight 0).
+
+    All frequent hashes come back, with weight 1: their ranges are split by document, and the
+    smallest key of each is an aggregate over these rows.
+    """
     return packed.groupBy("part").applyInArrow(_later, RETURNED)
 
 

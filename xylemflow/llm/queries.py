@@ -96,3 +96,10 @@ def _topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.topk_search import top_k
 
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op8_substring_dedup")
+def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir)).drop("kept")
