@@ -31,7 +31,7 @@ from pyspark.sql import Window
 
 from xylemflow.llm import postings as P
 from xylemflow.llm.components import connected_components
-from xylemflow.llm.hashing import binary_column, binary_values, row_slices, set_keys, shingle_sets, text_bytes
+from xylemflow.llm.hashing import binary_values, row_slices, set_keys, shingle_sets, text_bytes
 from xylemflow.llm.staging import Staging
 
 WIDTH, PERCENT = 5, 80
@@ -62,12 +62,12 @@ def _sampled_hashes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[p
 
 
 def _packed(batches: Iterator[pa.RecordBatch], width: int, parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    def documents() -> Iterator[tuple[int, np.ndarray]]:
+    def documents() -> Iterator[tuple[int, np.ndarray, None]]:
         for batch in batches:
             for _, _, sets in _sets(batch.column(0), width):
                 for key, s in zip(set_keys(sets).tolist(), sets):
                     if len(s):
-                        yield key, s
+                        yield key, s, None
 
     return P.pack(documents(), parts, frequent)
 
@@ -83,8 +83,10 @@ def _indexed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
     """
     for batch in batches:
         rows = []
-        for key, n, cells in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            hashes, weights = P.cell_arrays(cells)
+        all_hashes, bounds = binary_values(batch.column(2), np.uint64)
+        all_weights, _ = binary_values(batch.column(3), np.uint32)
+        for key, n, low, high in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bounds[:-1], bounds[1:]):
+            hashes, weights = all_hashes[low:high], all_weights[low:high]
             alone = n - len(hashes)
             q = n - (percent * n + 99) // 100 + 1 - alone
             if q > 0:
@@ -205,9 +207,9 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     packed = texts.mapInArrow(P.mapper(_packed, width, parts, frequent), P.PACKED)
     returned = staging.table(P.shared_hashes(packed), "shared")
     index = staging.table(
-        P.by_document(returned, "doc_key")
+        P.by_document(returned)
         .join(classes.select(F.col("set_key").alias("doc_key"), "n"), "doc_key")
-        .select(F.col("doc_key").alias("set_key"), "n", "cells")
+        .select(F.col("doc_key").alias("set_key"), "n", "hashes", "weights")
         .mapInArrow(P.mapper(_indexed, percent), _INDEXED),
         "index",
     )

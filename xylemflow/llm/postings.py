@@ -21,8 +21,9 @@ from xylemflow.llm.hashing import binary_column, binary_values
 #: Postings that one range holds on average, and those that a task packs together.
 RANGE_POSTINGS, PACK_POSTINGS = 1 << 20, 1 << 21
 
-PACKED = "part int, doc_keys binary, counts binary, hashes binary"
+PACKED = "part int, doc_keys binary, counts binary, hashes binary, positions binary"
 RETURNED = "doc_key long, hashes binary, weights binary"
+LATER = "doc_key long, hashes binary, positions binary"
 
 
 def range_count(postings: int, least: int = 1) -> int:
@@ -59,12 +60,15 @@ def contained(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[np.minimum(np.searchsorted(sorted_set, values), len(sorted_set) - 1)] == values
 
 
-def pack(documents: Iterator[tuple[int, np.ndarray]], parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """``(document key, sorted distinct hashes)`` to rows of :data:`PACKED`.
+def pack(
+    documents: Iterator[tuple[int, np.ndarray, np.ndarray | None]], parts: int, frequent: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """``(document key, hashes, their positions or None)`` to rows of :data:`PACKED`.
 
-    Frequent hashes get negative ranges, by a mixture of hash and document.
+    Frequent hashes get negative ranges, by a mixture of hash and document. Of documents with
+    equal keys a task packs the first.
     """
-    keys, sets, size, seen = [], [], 0, set()
+    keys, sets, places, size, seen = [], [], [], 0, set()
 
     def flush() -> pa.RecordBatch:
         lengths = np.array([len(s) for s in sets], np.int64)
@@ -77,6 +81,7 @@ def pack(documents: Iterator[tuple[int, np.ndarray]], parts: int, frequent: np.n
         part[hot] = -1 - (spread % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part.astype(np.int16 if parts < 1 << 15 else np.int64), kind="stable")
         part, owner, hashes = part[order], owner[order], hashes[order]
+        positions = np.concatenate(places)[order].astype(np.uint32) if places else np.zeros(0, np.uint32)
         cuts = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])))
         run_part = part[cuts]
         runs = np.flatnonzero(np.append(True, run_part[1:] != run_part[:-1]))
@@ -88,11 +93,12 @@ def pack(documents: Iterator[tuple[int, np.ndarray]], parts: int, frequent: np.n
                 binary_column(np.array(keys, np.int64)[owner[cuts]], run_bounds),
                 binary_column(counts, run_bounds),
                 binary_column(hashes, np.append(cuts[runs], len(hashes))),
+                binary_column(positions, np.append(cuts[runs], len(hashes)) if places else np.zeros(len(runs) + 1, np.int64)),
             ],
-            names=["part", "doc_keys", "counts", "hashes"],
+            names=["part", "doc_keys", "counts", "hashes", "positions"],
         )
 
-    for key, hashes in documents:
+    for key, hashes, where in documents:
         if key in seen:
             continue
         if len(seen) >= REMEMBERED_KEYS:
@@ -102,56 +108,62 @@ def pack(documents: Iterator[tuple[int, np.ndarray]], parts: int, frequent: np.n
             piece = hashes[low : low + PACK_POSTINGS]
             keys.append(key)
             sets.append(piece)
+            if where is not None:
+                places.append(where[low : low + PACK_POSTINGS])
             size += len(piece)
             if size >= PACK_POSTINGS:
                 yield flush()
-                keys, sets, size = [], [], 0
+                keys, sets, places, size = [], [], [], 0
     if sets:
         yield flush()
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``(hash, document key)`` postings of a range, sorted by hash, then key."""
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, document keys and positions of a range's postings, sorted by hash, then key."""
     hashes, _ = binary_values(table["hashes"], np.uint64)
     keys, _ = binary_values(table["doc_keys"], np.int64)
     counts, _ = binary_values(table["counts"], np.uint32)
+    positions, _ = binary_values(table["positions"], np.uint32)
     owner = np.repeat(keys, counts)
     order = np.argsort(owner, kind="stable")
     order = order[np.argsort(hashes[order], kind="stable")]
-    hashes, owner = hashes[order], owner[order]
-    if len(hashes):
-        fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))
-        hashes, owner = hashes[fresh], owner[fresh]
-    return hashes, owner
+    return hashes[order], owner[order], positions[order] if len(positions) else positions
 
 
-def _returned(hashes: np.ndarray, owner: np.ndarray, weights: np.ndarray) -> pa.Table:
+def _by_owner(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, names: list[str]) -> pa.Table:
+    """One row for each owner with its values; ``hashes`` may be left out (empty)."""
     order = np.argsort(owner, kind="stable")
-    hashes, owner, weights = hashes[order], owner[order], weights[order]
+    owner, weights = owner[order], weights[order].astype(np.uint32)
     cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
     bounds = np.append(cuts, len(owner))
-    return pa.Table.from_arrays(
-        [pa.array(owner[cuts]), binary_column(hashes, bounds), binary_column(weights.astype(np.uint32), bounds)],
-        names=["doc_key", "hashes", "weights"],
-    )
+    cells = binary_column(hashes[order], bounds) if len(hashes) else binary_column(hashes, np.zeros(len(bounds), np.int64))
+    return pa.Table.from_arrays([pa.array(owner[cuts]), cells, binary_column(weights, bounds)], names=names)
+
+
+def _run_starts(hashes: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    hashes, owner = _unpacked(table)
-    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
-    frequency = np.repeat(np.diff(np.append(starts, len(hashes))), np.diff(np.append(starts, len(hashes))))
+    hashes, owner, _ = _unpacked(table)
+    if len(hashes):
+        fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))
+        hashes, owner = hashes[fresh], owner[fresh]
+    counts = np.diff(np.append(_run_starts(hashes), len(hashes)))
+    frequency = np.repeat(counts, counts)
     if table.num_rows and table["part"][0].as_py() < 0:
         frequency[:] = FREQUENT
     shared = frequency > 1
-    return _returned(hashes[shared], owner[shared], frequency[shared])
+    return _by_owner(owner[shared], hashes[shared], frequency[shared], ["doc_key", "hashes", "weights"])
 
 
 def _later(table: pa.Table) -> pa.Table:
-    hashes, owner = _unpacked(table)
+    hashes, owner, positions = _unpacked(table)
     if table.num_rows and table["part"][0].as_py() < 0:
-        return _returned(hashes, owner, np.ones(len(hashes)))
-    first = np.append(True, hashes[1:] != hashes[:-1]) if len(hashes) else np.zeros(0, bool)
-    return _returned(hashes[~first], owner[~first], np.zeros(int((~first).sum())))
+        return _by_owner(owner, hashes, positions, ["doc_key", "hashes", "positions"])
+    starts = _run_starts(hashes)
+    later = owner > np.repeat(owner[starts], np.diff(np.append(starts, len(hashes))))
+    return _by_owner(owner[later], hashes[:0], positions[later], ["doc_key", "hashes", "positions"])
 
 
 def shared_hashes(packed: DataFrame) -> DataFrame:
@@ -159,25 +171,18 @@ def shared_hashes(packed: DataFrame) -> DataFrame:
     return packed.groupBy("part").applyInArrow(_shared, RETURNED)
 
 
-def later_hashes(packed: DataFrame) -> DataFrame:
-    """Of each document, the hashes that a document with a smaller key holds too (weight 0).
+def later_positions(packed: DataFrame) -> DataFrame:
+    """Of each document, the positions whose hash a document with a smaller key holds too.
 
-    All frequent hashes come back, with weight 1: their ranges are split by document, and the
-    smallest key of each is an aggregate over these rows.
+    Rows with ``hashes`` hold all positions of frequent hashes: their ranges are split by document,
+    and the smallest key of each is an aggregate over these rows.
     """
-    return packed.groupBy("part").applyInArrow(_later, RETURNED)
-
-
-def by_document(returned: DataFrame, key: str | Column = "doc_key") -> DataFrame:
-    """One row per document: ``doc_key, cells`` with all its returned hashes and weights."""
-    return returned.groupBy(key).agg(F.collect_list(F.struct("hashes", "weights")).alias("cells"))
+    return packed.groupBy("part").applyInArrow(_later, LATER)
 
 
-def cell_arrays(cells: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and weights of one document's ``cells``."""
-    hashes = np.concatenate([np.frombuffer(c["hashes"], np.uint64) for c in cells])
-    weights = np.concatenate([np.frombuffer(c["weights"], np.uint32) for c in cells])
-    return hashes, weights
+def by_document(returned: DataFrame) -> DataFrame:
+    """One row per document: ``doc_key, hashes, weights``, the returned cells joined."""
+    return returned.groupBy("doc_key").agg(F.listagg("hashes").alias("hashes"), F.listagg("weights").alias("weights"))
 
 
 def mapper(function: Callable, *arguments) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

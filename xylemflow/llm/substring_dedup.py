@@ -3,14 +3,15 @@
 Only the order of suffixes up to their first 50 bytes matters, so the difference-cover suffix sort
 ends after one naming and never sorts most suffixes:
 
-1. *Sample.* Positions ``p`` with ``p mod 31`` in the perfect difference set {0, 1, 3, 8, 12, 18}
-   are sampled. For any two positions there is a shift below 31 that takes both to sampled ones, so
-   two equal 50-byte strings hold a common sampled prefix of 20 bytes.
-2. *Sort and name.* The samples' 20-byte prefixes are sorted in ranges of their names (hashes).
+1. *Sample.* Positions ``p`` with ``p mod 21`` in the perfect difference set {0, 1, 4, 14, 16} are
+   sampled. For any two positions there is a shift below 21 that takes both to sampled ones, so two
+   equal 50-byte strings hold a common sampled prefix of 30 bytes.
+2. *Sort and name.* The samples' 30-byte prefixes are sorted in ranges of their names (hashes).
    Names of one document only can be in no match; the others return to their documents.
-3. *Merge the rest.* A suffix can match only if a returned sample lies at most 30 bytes behind its
-   start. Those suffixes alone are named by their 50-byte prefixes and sorted.
-4. *Compare neighbours.* In sorted order, each prefix whose predecessor is equal and of a smaller
+3. *Merge the rest.* A suffix can match only if a returned sample lies at most 20 bytes behind its
+   start. Those suffixes alone are named by their 50-byte prefixes and sorted, in :data:`ROUNDS`
+   rounds over ranges of names, so that only a part of them is on disk at a time.
+4. *Compare neighbours.* In sorted order, each prefix that follows an equal one of a smaller
    document is reported to its document, which marks the bytes.
 
 A document equal to one of a smaller ``doc_id`` is removed as a whole beforehand (by SHA-256) and
@@ -31,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.llm import postings as P
-from xylemflow.llm.hashing import WINDOW, binary_values, range_hashes, text_bytes
+from xylemflow.llm.hashing import WINDOW, binary_column, binary_values, range_hashes, text_bytes
 from xylemflow.llm.staging import Staging
 
 LENGTH = 50
-#: A perfect difference set: every difference modulo 31 occurs.
-PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
+#: A perfect difference set: every difference modulo 21 occurs.
+PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 PREFIX = LENGTH - (PERIOD - 1)
+ROUNDS = 3
 
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -68,11 +70,11 @@ def _texts(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    def documents() -> Iterator[tuple[int, np.ndarray]]:
+    def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
                 if len(text) >= LENGTH:
-                    yield key, np.unique(_at(text, _sample_positions(len(text)), PREFIX))
+                    yield key, np.unique(_at(text, _sample_positions(len(text)), PREFIX)), None
 
     return P.pack(documents(), parts, frequent)
 
@@ -87,14 +89,16 @@ def _candidates(text: np.ndarray, names: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(marks)[: len(text) - LENGTH + 1] > 0)
 
 
-def _merged(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    def documents() -> Iterator[tuple[int, np.ndarray]]:
+def _merged(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+    def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         for batch in batches:
-            for key, text, cells in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2)):
-                names, _ = P.cell_arrays(cells.as_py())
-                found = _at(text, _candidates(text, np.unique(names)), LENGTH)
-                if len(found):
-                    yield key, np.unique(found)
+            names, bounds = binary_values(batch.column(2), np.uint64)
+            for key, text, low, high in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), bounds[:-1], bounds[1:]):
+                at = _candidates(text, np.sort(names[low:high]))
+                found = _at(text, at, LENGTH)
+                now = ((found >> np.uint64(32)) * np.uint64(ROUNDS)) >> np.uint64(32) == turn
+                if now.any():
+                    yield key, found[now], at[now]
 
     return P.pack(documents(), parts, frequent)
 
@@ -118,38 +122,47 @@ def _least_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(hashes[first]), pa.array(owner[first])], names=["hash", "doc_id"])
 
 
-def removed_bytes(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    marks = np.zeros(len(text) + 1, np.int32)
-    marks[starts] += 1
-    np.add.at(marks, starts + LENGTH, -1)
-    return np.cumsum(marks)[: len(text)] > 0
+def _frequent_later(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of all positions of frequent strings, those of which a smaller document has the string."""
+    for batch in batches:
+        hashes, bounds = binary_values(batch.column(1), np.uint64)
+        positions, _ = binary_values(batch.column(2), np.uint32)
+        later = owners[np.searchsorted(frequent, hashes)] < np.repeat(batch.column(0).to_numpy(), np.diff(bounds))
+        kept = np.append(0, np.cumsum(later))[bounds]
+        yield pa.RecordBatch.from_arrays([batch.column(0), binary_column(positions[later], kept)], names=["doc_key", "positions"])
 
 
-def _removed(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Decisions and kept text of rows ``doc_id, text, copy, names, cells``."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A document's positions to the borders of the maximal byte runs that their strings cover."""
+    for batch in batches:
+        positions, bounds = binary_values(batch.column(1), np.uint32)
+        borders = []
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            at = np.sort(positions[low:high]).astype(np.int64)
+            cut = np.flatnonzero(np.diff(at) > LENGTH)
+            runs = np.stack([at[np.append(0, cut + 1)], at[np.append(cut, len(at) - 1)] + LENGTH], 1) if len(at) else np.zeros((0, 2), np.int64)
+            borders.append(runs.astype("<i8").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(borders, pa.binary())], names=["doc_key", "runs"])
+
+
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Decisions and kept text of rows ``doc_id, text, copy, runs``."""
     for batch in batches:
         rows, kept = [], []
-        for doc_id, text, copy, names, cells in zip(
-            batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3), batch.column(4)
+        for doc_id, text, copy, runs in zip(
+            batch.column(0).to_pylist(), _texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()
         ):
             n = len(text)
+            borders = np.frombuffer(runs or b"", "<i8").reshape(-1, 2)
             if copy and n >= LENGTH:
-                gone = np.ones(n, bool)
-            elif cells.is_valid and names.is_valid and n >= LENGTH:
-                at = _candidates(text, np.unique(P.cell_arrays(names.as_py())[0]))
-                found = _at(text, at, LENGTH)
-                later, often = P.cell_arrays(cells.as_py())
-                later = np.unique(later[often == 0])
-                hot = P.contained(found, frequent)
-                hit = P.contained(found, later) & ~hot
-                if hot.any():
-                    hit[hot] = owners[np.searchsorted(frequent, found[hot])] < doc_id
-                gone = removed_bytes(text, at[hit])
-            else:
-                gone = np.zeros(n, bool)
-            rest = text[~gone].tobytes()
+                borders = np.array([[0, n]])
+            data, parts, end = text.tobytes(), [], 0
+            for a, b in borders.tolist():
+                parts.append(data[end:a])
+                end = b
+            rest = b"".join([*parts, data[end:]])
             kept.append(rest)
-            rows.append((doc_id, n, int(gone.sum()), int((np.diff(np.append(False, gone).astype(np.int8)) == 1).sum()), hashlib.sha256(rest).hexdigest()))
+            rows.append((doc_id, n, n - len(rest), len(borders), hashlib.sha256(rest).hexdigest()))
         columns = list(zip(*rows)) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays(
             [*(pa.array(columns[i], pa.int64()) for i in range(4)), pa.array(columns[4], pa.string()), pa.array(kept, pa.binary())],
@@ -179,30 +192,42 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     packed = named.mapInArrow(P.mapper(_sampled, parts, frequent), P.PACKED)
     names = staging.table(P.shared_hashes(packed), "names")
     of_class = staging.table(
-        classes.select(key.alias("doc_key"), "sha", "least_id").join(P.by_document(names), "doc_key").select("sha", "least_id", "cells"), "class-names"
+        classes.select(key.alias("doc_key"), "sha", "least_id").join(P.by_document(names), "doc_key").select("sha", F.col("least_id").alias("doc_id"), F.col("hashes").alias("names")),
+        "class-names",
     )
     staging.drop(names)
 
     often = P.frequent_hashes(sample.mapInArrow(P.mapper(_all_strings, LENGTH, False), "hash long"))
     keyed = source.withColumn("sha", digest)
-    with_names = keyed.join(of_class.withColumnRenamed("least_id", "doc_id"), ["sha", "doc_id"]).select("doc_id", "text", "cells")
-    merged = with_names.mapInArrow(P.mapper(_merged, parts, often), P.PACKED)
-    later = staging.table(P.later_hashes(merged), "later")
-    hot = later.where(F.expr("substring(weights, 1, 1) = X'01'")).select("doc_key", "hashes").mapInArrow(_least_owners, "hash long, doc_id long")
+    with_names = keyed.join(of_class, ["sha", "doc_id"]).select("doc_id", "text", "names")
+    rounds = [
+        staging.table(P.later_positions(with_names.mapInArrow(P.mapper(_merged, parts, often, turn), P.PACKED)), "later") for turn in range(ROUNDS)
+    ]
+    staging.drop(of_class)
+    later = rounds[0]
+    for other in rounds[1:]:
+        later = later.unionByName(other)
+    hot = later.where(F.octet_length("hashes") > 0)
     # At most the frequent strings of the bounded sample.
-    owner_of = {int(np.int64(r["hash"])): r["doc_id"] for r in hot.groupBy("hash").agg(F.min("doc_id").alias("doc_id")).collect()}
-    owners = np.array([owner_of.get(int(h), np.iinfo(np.int64).max) for h in often.view(np.int64)], np.int64)
+    least_owners = hot.select("doc_key", "hashes").mapInArrow(_least_owners, "hash long, doc_id long").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
+    owner_of = {r["hash"]: r["doc_id"] for r in least_owners.collect()}
+    owners = np.array([owner_of.get(h, 0) for h in often.view(np.int64).tolist()], np.int64)
+    positions = later.where(F.octet_length("hashes") == 0).select("doc_key", "positions").unionByName(
+        hot.mapInArrow(P.mapper(_frequent_later, often, owners), "doc_key long, positions binary")
+    )
+    joined = positions.groupBy("doc_key").agg(F.listagg("positions").alias("positions"))
+    runs = staging.table(joined.mapInArrow(_runs, "doc_key long, runs binary"), "runs")
+    staging.drop(*rounds)
 
-    repeats = P.by_document(later).select(F.col("doc_key").alias("least_id"), F.col("cells").alias("later"))
     decided = (
         thin.where("doc_id IS NOT NULL").select("sha", "doc_id").distinct()
         .join(classes.select("sha", "least_id"), "sha")
-        .withColumn("copy", F.col("doc_id") > F.col("least_id"))
-        .select("sha", "doc_id", "copy", F.when(~F.col("copy"), F.col("least_id")).alias("least_id"))
-        .join(of_class.select("sha", F.col("least_id"), F.col("cells").alias("names")), ["sha", "least_id"], "left")
-        .join(repeats, "least_id", "left")
-        .select("sha", "doc_id", "copy", "names", "later")
+        .select("sha", "doc_id", (F.col("doc_id") > F.col("least_id")).alias("copy"))
+        .join(runs, F.col("doc_id") == F.col("doc_key"), "left")
+        .where("copy OR runs IS NOT NULL")
+        .select("sha", "doc_id", "copy", "runs")
+    )
+    final = keyed.join(staging.table(decided, "decided"), ["sha", "doc_id"], "left").select(
+        "doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "runs"
     )
-    staged = staging.table(decided, "decided")
-    final = keyed.join(staged, ["sha", "doc_id"], "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "names", "later")
-    return final.mapInArrow(P.mapper(_removed, often, owners), REMOVED + ", kept binary")
+    return final.mapInArrow(_removed, REMOVED + ", kept binary")
