@@ -103,3 +103,47 @@ def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.substring_dedup import remove_repeats
 
     return remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+@query("op2_private_data")
+def _private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.private_data import digests, find_private_data
+
+    return digests(find_private_data(documents(spark, sf_dir)))
+
+
+@query(
+    "op7_line_dedup",
+    """
+    WITH line AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_nr FROM documents),
+    hashed AS (SELECT *, CAST('0x' || substring(md5(line), 1, 12) AS BIGINT) AS h FROM line),
+    marked AS (
+      SELECT *, CASE WHEN (h % 4 + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY line_nr), 0) % 4 * 31) % 4 = 0 THEN 1 ELSE 0 END AS last
+      FROM hashed),
+    numbered AS (
+      SELECT *, coalesce(sum(last) OVER (PARTITION BY doc_id ORDER BY line_nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+      FROM marked),
+    chunks AS (
+      SELECT doc_id, chunk, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY line_nr) AS chunk_text FROM numbered GROUP BY doc_id, chunk),
+    placed AS (
+      SELECT *, n_lines >= 2 AND row_number() OVER (PARTITION BY n_lines >= 2, chunk_text ORDER BY doc_id, chunk) > 1 AS gone FROM chunks)
+    SELECT doc_id, CAST(sum(n_lines) AS BIGINT) AS n_lines, CAST(coalesce(sum(n_lines) FILTER (gone), 0) AS BIGINT) AS n_removed,
+      count(*) FILTER (gone) AS n_chunks,
+      sha256(coalesce(string_agg(chunk_text, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
+    FROM placed GROUP BY doc_id""",
+)
+def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from xylemflow.llm.line_dedup import remove_repeated_chunks
+
+    return remove_repeated_chunks(documents(spark, sf_dir)).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query("op1_license_scan")
+def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir))
