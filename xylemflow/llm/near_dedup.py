@@ -205,7 +205,7 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     parts = P.range_count(postings, int(spark.conf.get("spark.sql.shuffle.partitions")))
     frequent = P.frequent_hashes(P.bounded_sample(source, P.SAMPLE_DOCUMENTS).select("text").mapInArrow(P.mapper(_sampled_hashes, width), "hash long"))
     packed = texts.mapInArrow(P.mapper(_packed, width, parts, frequent), P.PACKED)
-    returned = staging.table(P.shared_hashes(packed), "shared")
+    returned = staging.table(P.shared_hashes(packed, parts), "shared")
     index = staging.table(
         P.by_document(returned)
         .join(classes.select(F.col("set_key").alias("doc_key"), "n"), "doc_key")

@@ -16,14 +16,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from xylemflow.llm.hashing import binary_column, binary_values
+from xylemflow.llm.hashing import binary_column, binary_values, mix
 
 #: Postings that one range holds on average, and those that a task packs together.
 RANGE_POSTINGS, PACK_POSTINGS = 1 << 20, 1 << 21
 
 PACKED = "part int, doc_keys binary, counts binary, hashes binary, positions binary"
-RETURNED = "doc_key long, hashes binary, weights binary"
-LATER = "doc_key long, hashes binary, positions binary"
+#: What a range sends back: one row per bucket of documents, with the values of many of them.
+RETURNED = "bucket int, doc_keys binary, counts binary, hashes binary, weights binary"
+BY_DOCUMENT = "doc_key long, hashes binary, weights binary"
+#: The bits of a hash that coarse postings keep, in six bytes.
+COARSE = np.uint64(0xFFFFFFFFFFFF0000)
 
 
 def range_count(postings: int, least: int = 1) -> int:
@@ -60,13 +63,17 @@ def contained(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[np.minimum(np.searchsorted(sorted_set, values), len(sorted_set) - 1)] == values
 
 
+def _coarse_column(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return binary_column(np.ascontiguousarray(hashes.view(np.uint16).reshape(-1, 4)[:, 1:]).ravel(), 3 * bounds)
+
+
 def pack(
-    documents: Iterator[tuple[int, np.ndarray, np.ndarray | None]], parts: int, frequent: np.ndarray
+    documents: Iterator[tuple[int, np.ndarray, np.ndarray | None]], parts: int, frequent: np.ndarray, coarse: bool = False
 ) -> Iterator[pa.RecordBatch]:
     """``(document key, hashes, their positions or None)`` to rows of :data:`PACKED`.
 
     Frequent hashes get negative ranges, by a mixture of hash and document. Of documents with
-    equal keys a task packs the first.
+    equal keys a task packs the first. Coarse postings drop the low bits of the hashes.
     """
     keys, sets, places, size, seen = [], [], [], 0, set()
 
@@ -92,7 +99,7 @@ def pack(
                 pa.array(run_part[runs].astype(np.int32)),
                 binary_column(np.array(keys, np.int64)[owner[cuts]], run_bounds),
                 binary_column(counts, run_bounds),
-                binary_column(hashes, np.append(cuts[runs], len(hashes))),
+                _coarse_column(hashes, np.append(cuts[runs], len(hashes))) if coarse else binary_column(hashes, np.append(cuts[runs], len(hashes))),
                 binary_column(positions, np.append(cuts[runs], len(hashes)) if places else np.zeros(len(runs) + 1, np.int64)),
             ],
             names=["part", "doc_keys", "counts", "hashes", "positions"],
@@ -118,9 +125,15 @@ def pack(
         yield flush()
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(table: pa.Table, coarse: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, document keys and positions of a range's postings, sorted by hash, then key."""
-    hashes, _ = binary_values(table["hashes"], np.uint64)
+    if coarse:
+        short, _ = binary_values(table["hashes"], np.uint16)
+        wide = np.zeros((len(short) // 3, 4), np.uint16)
+        wide[:, 1:] = short.reshape(-1, 3)
+        hashes = wide.ravel().view(np.uint64)
+    else:
+        hashes, _ = binary_values(table["hashes"], np.uint64)
     keys, _ = binary_values(table["doc_keys"], np.int64)
     counts, _ = binary_values(table["counts"], np.uint32)
     positions, _ = binary_values(table["positions"], np.uint32)
@@ -130,22 +143,40 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes[order], owner[order], positions[order] if len(positions) else positions
 
 
-def _by_owner(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, names: list[str]) -> pa.Table:
-    """One row for each owner with its values; ``hashes`` may be left out (empty)."""
-    order = np.argsort(owner, kind="stable")
-    owner, weights = owner[order], weights[order].astype(np.uint32)
-    cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
-    bounds = np.append(cuts, len(owner))
-    cells = binary_column(hashes[order], bounds) if len(hashes) else binary_column(hashes, np.zeros(len(bounds), np.int64))
-    return pa.Table.from_arrays([pa.array(owner[cuts]), cells, binary_column(weights, bounds)], names=names)
+def returned_rows(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, buckets: int) -> pa.Table:
+    """Values by document, in rows of :data:`RETURNED`; ``hashes`` may be left out (empty)."""
+    bucket = (mix(owner.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((owner, bucket))
+    bucket, owner, weights = bucket[order], owner[order], weights[order].astype(np.uint32)
+    cuts = _run_starts(owner)
+    rows = _run_starts(bucket[cuts])
+    row_bounds = np.append(rows, len(cuts))
+    value_bounds = np.append(cuts[rows], len(owner))
+    cells = binary_column(hashes[order], value_bounds) if len(hashes) else binary_column(hashes, np.zeros(len(value_bounds), np.int64))
+    return pa.Table.from_arrays(
+        [
+            pa.array(bucket[cuts][rows]), binary_column(owner[cuts], row_bounds),
+            binary_column(np.diff(np.append(cuts, len(owner))).astype(np.uint32), row_bounds), cells, binary_column(weights, value_bounds),
+        ],
+        names=["bucket", "doc_keys", "counts", "hashes", "weights"],
+    )
+
+
+def returned_values(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document keys, hashes and weights of rows of :data:`RETURNED`."""
+    keys, _ = binary_values(table.column("doc_keys"), np.int64)
+    counts, _ = binary_values(table.column("counts"), np.uint32)
+    hashes, _ = binary_values(table.column("hashes"), np.uint64)
+    weights, _ = binary_values(table.column("weights"), np.uint32)
+    return np.repeat(keys, counts), hashes, weights
 
 
 def _run_starts(hashes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    hashes, owner, _ = _unpacked(table)
+def _shared(table: pa.Table, buckets: int, coarse: bool) -> pa.Table:
+    hashes, owner, _ = _unpacked(table, coarse)
     if len(hashes):
         fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))
         hashes, owner = hashes[fresh], owner[fresh]
@@ -154,35 +185,44 @@ def _shared(table: pa.Table) -> pa.Table:
     if table.num_rows and table["part"][0].as_py() < 0:
         frequency[:] = FREQUENT
     shared = frequency > 1
-    return _by_owner(owner[shared], hashes[shared], frequency[shared], ["doc_key", "hashes", "weights"])
+    return returned_rows(owner[shared], hashes[shared], frequency[shared], buckets)
 
 
-def _later(table: pa.Table) -> pa.Table:
+def _later(table: pa.Table, buckets: int) -> pa.Table:
     hashes, owner, positions = _unpacked(table)
     if table.num_rows and table["part"][0].as_py() < 0:
-        return _by_owner(owner, hashes, positions, ["doc_key", "hashes", "positions"])
+        return returned_rows(owner, hashes, positions, buckets)
     starts = _run_starts(hashes)
     later = owner > np.repeat(owner[starts], np.diff(np.append(starts, len(hashes))))
-    return _by_owner(owner[later], hashes[:0], positions[later], ["doc_key", "hashes", "positions"])
+    return returned_rows(owner[later], hashes[:0], positions[later], buckets)
+
+
+def _documents(table: pa.Table) -> pa.Table:
+    owner, hashes, weights = returned_values(table)
+    order = np.argsort(owner, kind="stable")
+    cuts = _run_starts(owner[order])
+    bounds = np.append(cuts, len(owner))
+    cells = binary_column(hashes[order], bounds) if len(hashes) else binary_column(hashes, np.zeros(len(bounds), np.int64))
+    return pa.Table.from_arrays([pa.array(owner[order][cuts]), cells, binary_column(weights[order], bounds)], names=["doc_key", "hashes", "weights"])
 
 
-def shared_hashes(packed: DataFrame) -> DataFrame:
+def shared_hashes(packed: DataFrame, parts: int, coarse: bool = False) -> DataFrame:
     """Of each document, the hashes that another holds too, with the number of their documents."""
-    return packed.groupBy("part").applyInArrow(_shared, RETURNED)
+    return packed.groupBy("part").applyInArrow(lambda table: _shared(table, parts, coarse), RETURNED)
 
 
-def later_positions(packed: DataFrame) -> DataFrame:
-    """Of each document, the positions whose hash a document with a smaller key holds too.
+def later_positions(packed: DataFrame, parts: int) -> DataFrame:
+    """Of each document, the positions (as weights) whose hash one with a smaller key holds too.
 
     Rows with ``hashes`` hold all positions of frequent hashes: their ranges are split by document,
     and the smallest key of each is an aggregate over these rows.
     """
-    return packed.groupBy("part").applyInArrow(_later, LATER)
+    return packed.groupBy("part").applyInArrow(lambda table: _later(table, parts), RETURNED)
 
 
 def by_document(returned: DataFrame) -> DataFrame:
-    """One row per document: ``doc_key, hashes, weights``, the returned cells joined."""
-    return returned.groupBy("doc_key").agg(F.listagg("hashes").alias("hashes"), F.listagg("weights").alias("weights"))
+    """One row per document: ``doc_key, hashes, weights``, what all ranges returned."""
+    return returned.groupBy("bucket").applyInArrow(_documents, BY_DOCUMENT)
 
 
 def mapper(function: Callable, *arguments) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

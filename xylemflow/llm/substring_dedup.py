@@ -14,6 +14,8 @@ ends after one naming and never sorts most suffixes:
 4. *Compare neighbours.* In sorted order, each prefix that follows an equal one of a smaller
    document is reported to its document, which marks the bytes.
 
+Sample names drop the low bits of their hashes; a chance agreement there only adds work.
+
 A document equal to one of a smaller ``doc_id`` is removed as a whole beforehand (by SHA-256) and
 does not take part. Names are 64-bit hashes.
 
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.llm import postings as P
-from xylemflow.llm.hashing import WINDOW, binary_column, binary_values, range_hashes, text_bytes
+from xylemflow.llm.hashing import WINDOW, binary_values, range_hashes, text_bytes
 from xylemflow.llm.staging import Staging
 
 LENGTH = 50
@@ -74,15 +76,15 @@ def _sampled(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
                 if len(text) >= LENGTH:
-                    yield key, np.unique(_at(text, _sample_positions(len(text)), PREFIX)), None
+                    yield key, np.unique(_at(text, _sample_positions(len(text)), PREFIX) & P.COARSE), None
 
-    return P.pack(documents(), parts, frequent)
+    return P.pack(documents(), parts, frequent, coarse=True)
 
 
 def _candidates(text: np.ndarray, names: np.ndarray) -> np.ndarray:
     """Starts of 50-byte strings that have a sample with one of the sorted names close behind."""
     positions = _sample_positions(len(text))
-    hits = positions[P.contained(_at(text, positions, PREFIX), names)]
+    hits = positions[P.contained(_at(text, positions, PREFIX) & P.COARSE, names)]
     marks = np.zeros(len(text) + 1, np.int32)
     np.add.at(marks, np.maximum(hits - (PERIOD - 1), 0), 1)
     np.add.at(marks, hits + 1, -1)
@@ -114,28 +116,25 @@ def _all_strings(batches: Iterator[pa.RecordBatch], length: int, sampled_only: b
 def _least_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch, the smallest document of each frequent string."""
     for batch in batches:
-        hashes, bounds = binary_values(batch.column(1), np.int64)
-        owner = np.repeat(batch.column(0).to_numpy(), np.diff(bounds))
+        owner, hashes, _ = P.returned_values(batch)
         order = np.lexsort((owner, hashes))
-        hashes, owner = hashes[order], owner[order]
+        hashes, owner = hashes[order].view(np.int64), owner[order]
         first = np.append(True, hashes[1:] != hashes[:-1]) if len(hashes) else np.zeros(0, bool)
         yield pa.RecordBatch.from_arrays([pa.array(hashes[first]), pa.array(owner[first])], names=["hash", "doc_id"])
 
 
-def _frequent_later(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _frequent_later(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, owners: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """Of all positions of frequent strings, those of which a smaller document has the string."""
     for batch in batches:
-        hashes, bounds = binary_values(batch.column(1), np.uint64)
-        positions, _ = binary_values(batch.column(2), np.uint32)
-        later = owners[np.searchsorted(frequent, hashes)] < np.repeat(batch.column(0).to_numpy(), np.diff(bounds))
-        kept = np.append(0, np.cumsum(later))[bounds]
-        yield pa.RecordBatch.from_arrays([batch.column(0), binary_column(positions[later], kept)], names=["doc_key", "positions"])
+        owner, hashes, positions = P.returned_values(batch)
+        later = owners[np.searchsorted(frequent, hashes)] < owner
+        yield from P.returned_rows(owner[later], hashes[:0], positions[later], parts).to_batches()
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A document's positions to the borders of the maximal byte runs that their strings cover."""
     for batch in batches:
-        positions, bounds = binary_values(batch.column(1), np.uint32)
+        positions, bounds = binary_values(batch.column(2), np.uint32)
         borders = []
         for low, high in zip(bounds[:-1], bounds[1:]):
             at = np.sort(positions[low:high]).astype(np.int64)
@@ -186,11 +185,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     sample = P.bounded_sample(source, P.SAMPLE_DOCUMENTS).select("text")
-    frequent = P.frequent_hashes(sample.mapInArrow(P.mapper(_all_strings, PREFIX, True), "hash long"))
+    frequent = np.unique(P.frequent_hashes(sample.mapInArrow(P.mapper(_all_strings, PREFIX, True), "hash long")) & P.COARSE)
     parts = P.range_count(total * len(COVER) // PERIOD, least)
     named = source.where("doc_id IS NOT NULL").select(digest.alias("sha"), "text").select(key.alias("key"), "text")
     packed = named.mapInArrow(P.mapper(_sampled, parts, frequent), P.PACKED)
-    names = staging.table(P.shared_hashes(packed), "names")
+    names = staging.table(P.shared_hashes(packed, parts, coarse=True), "names")
     of_class = staging.table(
         classes.select(key.alias("doc_key"), "sha", "least_id").join(P.by_document(names), "doc_key").select("sha", F.col("least_id").alias("doc_id"), F.col("hashes").alias("names")),
         "class-names",
@@ -201,7 +200,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     keyed = source.withColumn("sha", digest)
     with_names = keyed.join(of_class, ["sha", "doc_id"]).select("doc_id", "text", "names")
     rounds = [
-        staging.table(P.later_positions(with_names.mapInArrow(P.mapper(_merged, parts, often, turn), P.PACKED)), "later") for turn in range(ROUNDS)
+        staging.table(P.later_positions(with_names.mapInArrow(P.mapper(_merged, parts, often, turn), P.PACKED), parts), "later") for turn in range(ROUNDS)
     ]
     staging.drop(of_class)
     later = rounds[0]
@@ -209,14 +208,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         later = later.unionByName(other)
     hot = later.where(F.octet_length("hashes") > 0)
     # At most the frequent strings of the bounded sample.
-    least_owners = hot.select("doc_key", "hashes").mapInArrow(_least_owners, "hash long, doc_id long").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
+    least_owners = hot.mapInArrow(_least_owners, "hash long, doc_id long").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
     owner_of = {r["hash"]: r["doc_id"] for r in least_owners.collect()}
     owners = np.array([owner_of.get(h, 0) for h in often.view(np.int64).tolist()], np.int64)
-    positions = later.where(F.octet_length("hashes") == 0).select("doc_key", "positions").unionByName(
-        hot.mapInArrow(P.mapper(_frequent_later, often, owners), "doc_key long, positions binary")
-    )
-    joined = positions.groupBy("doc_key").agg(F.listagg("positions").alias("positions"))
-    runs = staging.table(joined.mapInArrow(_runs, "doc_key long, runs binary"), "runs")
+    plain = later.where(F.octet_length("hashes") == 0).unionByName(hot.mapInArrow(P.mapper(_frequent_later, often, owners, parts), P.RETURNED))
+    runs = staging.table(P.by_document(plain).mapInArrow(_runs, "doc_key long, runs binary"), "runs")
     staging.drop(*rounds)
 
     decided = (
