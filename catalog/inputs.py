@@ -269,7 +269,7 @@ INPUTS = {
         UNION ALL SELECT CONCAT('repro-cartridges/', CAST(p_partkey AS STRING), '.zip') FROM part
         UNION ALL SELECT CONCAT('tmp/', CAST(s_suppkey AS STRING)) FROM supplier""",
     "raw_row": """
-        SELECT CAST(l_orderkey AS STRING) AS file_hash FROM lineitem WHERE l_linenumber = 1""",
+        SELECT DISTINCT CAST(l_orderkey AS STRING) AS file_hash FROM lineitem""",
     "output_row": """
         SELECT CAST(p_partkey AS STRING) AS output_id,
           CASE WHEN p_partkey % 3 <> 0 THEN CONCAT('outputs/', CAST(p_partkey AS STRING), '.parquet') END

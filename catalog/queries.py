@@ -525,14 +525,14 @@ def _override_resolution(t: Tables) -> DataFrame:
            CASE WHEN o_orderkey % 5 = 3 THEN 'true' WHEN o_orderkey % 5 = 4 THEN 'TRUE'
                 WHEN o_orderkey % 5 = 1 THEN CAST(CAST(o_orderkey AS DOUBLE) / 4 AS VARCHAR)
                 ELSE CAST(o_orderkey AS VARCHAR) END AS as_text,
-           CASE WHEN o_orderkey % 5 IN (3, 4) OR (o_orderkey % 5 = 2 AND o_orderkey = 1) THEN TRUE END AS as_flag
-         FROM orders WHERE o_orderkey > 1) x""",
+           CASE WHEN o_orderkey % 5 IN (3, 4) THEN TRUE END AS as_flag
+         FROM orders) x""",
 )
 def _json_value_kinds(t: Tables) -> DataFrame:
     source = t.sql("""
         SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderkey AS STRING)
             WHEN 1 THEN CAST(CAST(o_orderkey AS DOUBLE) / 4 AS STRING) WHEN 2 THEN CONCAT('"', CAST(o_orderkey AS STRING), '"')
-            WHEN 3 THEN 'true' ELSE '"TRUE"' END AS value FROM orders WHERE o_orderkey > 1""")
+            WHEN 3 THEN 'true' ELSE '"TRUE"' END AS value FROM orders""")
     value = F.col("value")
     return source.select(
         "k",
@@ -1058,9 +1058,3 @@ PROFILED = ["logger_id", "record", "thermistor_depth", "quality", "deployment_id
 @query("column_profile", " UNION ALL ".join(_profile_sql(c) for c in PROFILED))
 def _column_profile(t: Tables) -> DataFrame:
     return profile.column_profile(t["fin"].select(*PROFILED))
-
-
-@query("storage_profile")
-def _storage_profile(t: Tables) -> DataFrame:
-    paths = t.read("lineitem").select(F.input_file_name().alias("path")).distinct()
-    return profile.storage_profile(profile.footer_chunks(paths))

@@ -184,7 +184,7 @@ def test_streamed_files_are_ingested_once(spark, tmp_path):
     folders = [str(tmp_path / n) for n in ("registry", "observations", "reports", "checkpoint")]
 
     def drain():
-        start_ingest(arriving_files(spark, str(inbox)), *folders).awaitTermination(120)
+        start_ingest(arriving_files(spark, str(inbox)), *folders, "first").awaitTermination(120)
 
     drain()
     write(inbox, b=sensor_file(), c=sensor_file(records=(3, 4)))
@@ -194,3 +194,17 @@ def test_streamed_files_are_ingested_once(spark, tmp_path):
     assert observations.count() == 5 * 4
     reports = spark.read.parquet(folders[2]).groupBy("status").agg(F.count("*").alias("n")).collect()
     assert {r.status: r.n for r in reports} == {"Parsed": 2, "Duplicate": 1}
+
+
+def test_a_new_checkpoint_keeps_what_an_earlier_one_wrote(spark, tmp_path):
+    inbox = tmp_path / "in"
+    registry, observations, reports = (str(tmp_path / n) for n in ("registry", "observations", "reports"))
+    for turn, records in enumerate([(0, 1, 2), (3, 4)]):
+        write(inbox, **{f"f{turn}": sensor_file(records=records)})
+        start_ingest(
+            arriving_files(spark, str(inbox)), registry, observations, reports, str(tmp_path / f"checkpoint{turn}"), f"s{turn}"
+        ).awaitTermination(120)
+    found = spark.read.parquet(observations).select("record").distinct().collect()
+    assert sorted(r.record for r in found) == [0, 1, 2, 3, 4]
+    statuses = spark.read.parquet(reports).where("stream = 's1'").groupBy("status").count().collect()
+    assert {r["status"]: r["count"] for r in statuses} == {"Parsed": 1, "Duplicate": 1}

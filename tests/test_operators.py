@@ -285,3 +285,16 @@ def test_downsample_keeps_small_frames_whole(spark):
     df = spark.createDataFrame([(at("2024-01-01"), i) for i in range(10)], "timestamp timestamp_ntz, record bigint")
     assert explore.downsampled(df, 10).count() == 10
     assert explore.downsampled(df, 4).count() == 4  # stride 3: rows 0, 3, 6, 9
+
+
+def test_unknown_site_is_an_error(spark):
+    from xylemflow.operators.timestamps import local_deployments
+
+    sites = spark.createDataFrame([("s", "UTC")], "site_id string, timezone string")
+    deployments = spark.createDataFrame(
+        [("L", "gone", "d", at("2024-01-01"), None)],
+        "datalogger_id string, site_id string, deployment_id string, "
+        "deployment_start_timestamp_utc timestamp_ntz, deployment_end_timestamp_utc timestamp_ntz",
+    )
+    with pytest.raises(Exception, match="site not found: gone"):
+        local_deployments(deployments, sites).collect()

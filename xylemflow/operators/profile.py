@@ -1,21 +1,10 @@
-"""Column profile of a table, and of the footers of its Parquet files."""
+"""Column profile of a table."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_SHARE = 0.05
-FOOTER_SCHEMA = (
-    "path string, column_name string, physical_type string, logical_type string, "
-    "has_dictionary boolean, encodings array<string>, compressed_size bigint, "
-    "uncompressed_size bigint, row_count bigint, null_count bigint"
-)
-
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Rows, nulls, null rate, minimum and maximum (as text) of every column, in one scan."""
@@ -39,83 +28,3 @@ def column_profile(df: DataFrame) -> DataFrame:
         for i, name in enumerate(df.columns)
     ]
     return wide.select(F.inline(F.array(*entries)))
-
-
-def footer_chunks(paths: DataFrame) -> DataFrame:
-    """Column-chunk metadata of the Parquet files named in ``path``; only footers are read."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        for batch in batches:
-            rows = []
-            for path in batch.column("path").to_pylist():
-                store, inner = fs.FileSystem.from_uri(path)
-                with store.open_input_file(inner) as handle:
-                    meta = pq.ParquetFile(handle).metadata
-                for group in range(meta.num_row_groups):
-                    part = meta.row_group(group)
-                    for i in range(part.num_columns):
-                        chunk, leaf = part.column(i), meta.schema.column(i)
-                        logical = str(leaf.logical_type)
-                        rows.append(
-                            {
-                                "path": path,
-                                "column_name": chunk.path_in_schema,
-                                "physical_type": chunk.physical_type,
-                                "logical_type": None if logical == "None" else logical,
-                                "has_dictionary": chunk.dictionary_page_offset is not None,
-                                "encodings": [str(e) for e in chunk.encodings],
-                                "compressed_size": chunk.total_compressed_size,
-                                "uncompressed_size": chunk.total_uncompressed_size,
-                                "row_count": part.num_rows,
-                                "null_count": chunk.statistics.null_count if chunk.statistics else None,
-                            }
-                        )
-            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-
-    return paths.select("path").mapInArrow(read, FOOTER_SCHEMA)
-
-
-_ARROW = pa.schema(
-    [
-        ("path", pa.string()),
-        ("column_name", pa.string()),
-        ("physical_type", pa.string()),
-        ("logical_type", pa.string()),
-        ("has_dictionary", pa.bool_()),
-        ("encodings", pa.list_(pa.string())),
-        ("compressed_size", pa.int64()),
-        ("uncompressed_size", pa.int64()),
-        ("row_count", pa.int64()),
-        ("null_count", pa.int64()),
-    ]
-)
-
-
-def storage_profile(chunks: DataFrame) -> DataFrame:
-    """Per column: sizes, ratio, share of the total and whether it is heavy, largest first."""
-    columns = chunks.groupBy("column_name").agg(
-        F.first("physical_type").alias("physical_type"),
-        F.first("logical_type").alias("logical_type"),
-        F.bool_or("has_dictionary").alias("has_dictionary"),
-        F.array_join(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("encodings")))), ", "
-        ).alias("encodings"),
-        F.sum("compressed_size").alias("compressed_size"),
-        F.sum("uncompressed_size").alias("uncompressed_size"),
-        F.sum("row_count").alias("row_count"),
-        F.sum("null_count").alias("null_count"),
-    )
-    # One row per column of the table, so a single window partition stays small.
-    total = F.sum("compressed_size").over(Window.partitionBy())
-    share = F.try_divide(F.col("compressed_size").cast("double"), total)
-    return (
-        columns.select(
-            *columns.columns,
-            F.try_divide(F.col("compressed_size").cast("double"), F.col("uncompressed_size")).alias("ratio"),
-            share.alias("share"),
-            F.coalesce(share >= HEAVY_SHARE, F.lit(False)).alias("heavy"),
-        )
-        .orderBy(F.desc("compressed_size"), "column_name")
-    )

@@ -70,8 +70,11 @@ def chunk_anchors(records: DataFrame) -> DataFrame:
 
 
 def local_deployments(deployments: DataFrame, sites: DataFrame) -> DataFrame:
-    """Deployment bounds in the wall-clock time of their site."""
-    zoned = deployments.join(sites.select("site_id", "timezone"), "site_id")
+    """Deployment bounds in the wall-clock time of their site; an unknown site is an error."""
+    missing = F.raise_error(F.concat(F.lit("site not found: "), F.coalesce(F.col("site_id").cast("string"), F.lit("null"))))
+    zoned = deployments.join(sites.select("site_id", "timezone"), "site_id", "left").withColumn(
+        "timezone", F.coalesce("timezone", missing)
+    )
     return zoned.select(
         "datalogger_id",
         "site_id",
@@ -202,7 +205,10 @@ def attach_utc(
         known = previous_value(
             known, ["logger_id"], F.col("record"), ["record"], "timestamp_utc", PREVIOUS_UTC
         )
-    joined = observations.join(known, ["record", "logger_id"])
+    # The join keys depend on the check, so that it fires even where the other side is empty.
+    missing = F.raise_error(F.lit("observation without record"))
+    checked = observations.withColumn("record", F.coalesce("record", missing.cast(observations.schema["record"].dataType)))
+    joined = checked.join(known, ["record", "logger_id"])
     if with_previous:
         joined = joined.withColumn(
             PREVIOUS_UTC, F.when(row_rank() == F.col("_head"), F.col(PREVIOUS_UTC))

@@ -135,6 +135,12 @@ def run_transaction(
     good = parsed_files(parsed)
     if good.isEmpty() or context.is_empty():
         if not dry_run:
+            # The bytes are kept before the hashes make them duplicates for ever.
+            tables.raw_copies(files, reports).write.mode("append").parquet(store.raw)
+            receipt = summaries.ingestion_summary(reports).withColumns(
+                {"pipeline": F.lit(STANDARD), "status": F.lit(SKIPPED), "run_id": F.lit(run_id)}
+            )
+            tables.write_sidecar(receipt, store.receipt(run_id))
             tables.append_hashes(store.hashes, good, run_id)
         return Outcome(run_id, ACCEPTED, SKIPPED, reports)
 
