@@ -4,7 +4,7 @@ A document gives full sequences, a body of whole units (64 tokens) and a tail be
 bodies are a cutting-stock problem over the histogram of their unit counts, at most 63 classes:
 a linear program over patterns, whose columns a knapsack dynamic program prices, rounded down to
 whole patterns. Patterns are given to the documents of each class by rank. Tails, and bodies that
-rounding left over, are laid end to end and cut at sequence borders.
+rounding left over or that only patterns with room hold, are laid end to end and cut at sequence borders.
 
 Defined results: a null or empty text is the end token alone; repeated rows are packed one by one;
 an empty table gives no pieces.
@@ -145,10 +145,12 @@ def plan_pieces(lengths: DataFrame, staging: Staging, capacity: int = CAPACITY,
     )
     # The histogram has at most capacity / unit rows, whatever the corpus holds.
     demand = {int(r["units"]): int(r["count"]) for r in shaped.where("units > 0").groupBy("units").count().collect()}
-    given, sequences = _assignments(cutting_stock(demand, capacity // unit))
-    patterns = spark.createDataFrame(given, "units long, low long, high long, each long, sequence long, at long")
+    # A pattern that leaves room would be padded; its bodies do better end to end.
+    patterns = [(n, p) for n, p in cutting_stock(demand, capacity // unit) if sum(s * k for s, k in p.items()) == capacity // unit]
+    given, sequences = _assignments(patterns)
+    table = spark.createDataFrame(given, "units long, low long, high long, each long, sequence long, at long")
     ranked = _running(shaped, "units", "bucket", ["row_nr"], "one", "rank")
-    placed = ranked.join(F.broadcast(patterns), "units", "left").where("low IS NULL OR (rank >= low AND rank < high)")
+    placed = ranked.join(F.broadcast(table), "units", "left").where("low IS NULL OR (rank >= low AND rank < high)")
     placed = placed.select("row_nr", (F.col("sequence") + F.floor((F.col("rank") - F.col("low")) / F.col("each"))).alias("body_sequence"),
                            (unit * (F.col("at") + (F.col("rank") - F.col("low")) % F.col("each") * F.col("units"))).alias("body_offset"))
     laid = staging.table(
