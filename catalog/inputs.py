@@ -173,6 +173,17 @@ INPUTS = {
     "dim_logger": """
         SELECT CONCAT('DL', CAST(n_nationkey AS STRING)) AS datalogger_id, CAST(n_nationkey AS STRING) AS code
         FROM nation""",
+    # Stored aliases and overrides that name their logger and parameter by id; some ids are unknown.
+    "dim_alias": """
+        SELECT CONCAT('A', CAST(o_orderkey AS STRING)) AS alias, CONCAT('DL', CAST(o_custkey % 27 AS STRING)) AS datalogger_id,
+          o_orderdate AS start_timestamp_utc,
+          CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate + INTERVAL '30' DAY END AS end_timestamp_utc
+        FROM orders""",
+    "dim_parameter": """
+        SELECT CONCAT('PM', CAST(r_regionkey AS STRING)) AS parameter_id, CONCAT('parameter_', lower(r_name)) AS code FROM region""",
+    "dim_override": """
+        SELECT p_partkey AS seq, CONCAT('PM', CAST(p_partkey % 6 AS STRING)) AS parameter_id,
+          CAST(p_size AS STRING) AS value, CONCAT('S', CAST(p_partkey % 7 AS STRING)) AS site_id FROM part""",
     # Readings with deployment bounds, thresholds and a flux, as the quality rules see them.
     "graded": """
         SELECT o.logger_id, o.record, o.sdi12_address, o.thermistor_depth, o.file_hash, o.timestamp_utc,

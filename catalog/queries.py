@@ -394,6 +394,24 @@ def _deployment_context(t: Tables) -> DataFrame:
     return enrich.deployment_context(t["dim_deployment"], *dims).drop("installation_metadata")
 
 
+@query(
+    "alias_codes",
+    """SELECT a.alias, l.code AS datalogger_id, a.start_timestamp_utc, a.end_timestamp_utc
+       FROM dim_alias a JOIN dim_logger l ON l.datalogger_id = a.datalogger_id""",
+)
+def _alias_codes(t: Tables) -> DataFrame:
+    return enrich.alias_context(t["dim_alias"], t["dim_logger"])
+
+
+@query(
+    "override_codes",
+    """SELECT p.code, o.seq, o.value, o.site_id
+       FROM dim_override o JOIN dim_parameter p ON p.parameter_id = o.parameter_id""",
+)
+def _override_codes(t: Tables) -> DataFrame:
+    return enrich.override_context(t["dim_override"], t["dim_parameter"])
+
+
 @query(
     "temporal_enrichment",
     f"""SELECT o.logger_id, o.record, o.file_hash, o.timestamp_utc, {', '.join('x.' + c for c in CONTEXT_COLUMNS)}
@@ -940,6 +958,19 @@ def _explorer_downsample(t: Tables) -> DataFrame:
     return explore.downsampled(narrow, 1000).select("logger_id", "record", "file_hash", "row_nr")
 
 
+@query(
+    "explorer_points",
+    f"""WITH chosen AS (SELECT * FROM fin WHERE sdi12_address = '1' AND timestamp >= TIMESTAMP '2024-01-05 00:00:00'),
+        numbered AS (SELECT *, row_number() OVER (ORDER BY {', '.join(c + ' NULLS FIRST' for c in explore.FILE_ORDER)}) - 1 AS row_nr,
+          count(*) OVER () AS total FROM chosen)
+        SELECT {', '.join(explore.PLOT_COLUMNS)} FROM numbered
+        WHERE total <= 50 OR row_nr % CAST(ceil(total / 50.0) AS BIGINT) = 0""",
+)
+def _explorer_points(t: Tables) -> DataFrame:
+    chosen = explore.Selection(stem={"sdi12_address": "1"}, start=datetime(2024, 1, 5))
+    return explore.explore(t["fin"], chosen, 50).points
+
+
 @query(
     "depth_options",
     """SELECT DISTINCT coalesce(thermistor_depth, 'Unknown depth') AS label, thermistor_depth AS value FROM fin""",

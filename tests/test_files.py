@@ -178,6 +178,26 @@ def test_transaction_publishes_once(spark, tmp_path):
     assert [(r.output_id, r.is_latest) for r in outputs] == [("r1", True)]
 
 
+def test_overlapping_deployments_fail_the_run_with_a_receipt(spark, tmp_path):
+    inbox = tmp_path / "in"
+    write(inbox, a=sensor_file())
+    files = rawfiles.scan_raw_files(spark, str(inbox)).select("path", "file_hash", "content")
+    store = Store(str(tmp_path / "store"))
+    plain = context(spark)
+    twice = plain.deployments.unionByName(plain.deployments.withColumn("deployment_id", F.lit("other")))
+    failed = run_transaction(spark, files, Context(plain.sites, twice), store, datetime(2024, 6, 1), run_id="r1")
+    assert (failed.outcome, failed.status) == ("REJECTED", "Failed") and "ambiguous deployment" in failed.error
+    receipt = spark.read.json(store.receipt("r1")).first()
+    assert receipt.status == "Failed" and "ambiguous deployment" in receipt.error
+    assert not (tmp_path / "store" / "registry").exists()
+
+
+def test_empty_request_is_refused(spark, tmp_path):
+    files = spark.createDataFrame([], "path string, file_hash string, content string")
+    with pytest.raises(ValueError, match="at least one file"):
+        run_transaction(spark, files, context(spark), Store(str(tmp_path / "store")), datetime(2024, 6, 1))
+
+
 def test_streamed_files_are_ingested_once(spark, tmp_path):
     inbox = tmp_path / "in"
     write(inbox, a=sensor_file())

@@ -259,6 +259,8 @@ def test_ambiguous_deployments_are_reported(spark):
     assert [(r.timestamp_utc, r.matches) for r in found] == [(at("2024-02-15"), 2)]
     with pytest.raises(ValueError, match="ambiguous deployment"):
         enrich.assert_unambiguous(obs, dep)
+    assert {r.name for r in enrich.overlapping_intervals(dep).collect()} == {"L"}
+    assert enrich.overlapping_intervals(dep.where("deployment_id = 'd1'")).isEmpty()
 
 
 def test_manifest_accepts_children_of_added_parents_and_refuses_touching_intervals(spark):

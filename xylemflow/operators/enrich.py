@@ -212,6 +212,23 @@ def ambiguous_matches(
     Only intervals that overlap another one of the same name are joined, so for valid
     metadata the interval side is empty and the query is a scan.
     """
+    clashes = overlapping_intervals(deployments, aliases)
+    points = observations.select("logger_id", "sdi12_address", "timestamp_utc").distinct()
+    matched = points.join(
+        clashes,
+        (F.col("logger_id") == F.col("name"))
+        & (F.col("address").isNull() | (F.col("sdi12_address") == F.col("address")))
+        & within(F.col("timestamp_utc"), F.col("start"), F.col("end")),
+    )
+    return (
+        matched.groupBy("kind", "logger_id", "sdi12_address", "timestamp_utc")
+        .agg(F.count(F.lit(1)).alias("matches"))
+        .where(F.col("matches") > 1)
+    )
+
+
+def overlapping_intervals(deployments: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """``name, address, start, end, kind`` of deployments and aliases that overlap another one."""
     clashes = _overlapping(
         deployments.select(
             F.col("datalogger_id").alias("name"),
@@ -233,18 +250,7 @@ def ambiguous_matches(
                 )
             )
         )
-    points = observations.select("logger_id", "sdi12_address", "timestamp_utc").distinct()
-    matched = points.join(
-        clashes,
-        (F.col("logger_id") == F.col("name"))
-        & (F.col("address").isNull() | (F.col("sdi12_address") == F.col("address")))
-        & within(F.col("timestamp_utc"), F.col("start"), F.col("end")),
-    )
-    return (
-        matched.groupBy("kind", "logger_id", "sdi12_address", "timestamp_utc")
-        .agg(F.count(F.lit(1)).alias("matches"))
-        .where(F.col("matches") > 1)
-    )
+    return clashes
 
 
 def _overlapping(intervals: DataFrame) -> DataFrame:

@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.operators.dma import apply_dma_peclet
-from xylemflow.operators.enrich import expand_metadata, match_deployments, metadata_keys
+from xylemflow.operators.enrich import (
+    assert_unambiguous,
+    expand_metadata,
+    match_deployments,
+    metadata_keys,
+    overlapping_intervals,
+)
 from xylemflow.operators.parameters import parameter_columns, resolve_scopes
 from xylemflow.operators.quality import apply_quality_filters
 from xylemflow.operators.timestamps import (
@@ -134,6 +140,9 @@ def run_batch(
     meet their UTC time by (logger, record); chunk offsets and deployments are measured and
     broadcast while they are small. ``matched_only`` leaves out rows without a deployment, as
     a published run does; record gaps are still judged against all records of the logger.
+
+    An observation that falls into two deployments or two alias intervals fails the run. Only the
+    metadata is searched for overlaps; the observations are looked at if there are any.
     """
     context = context.held()
     if context.is_empty():
@@ -143,6 +152,8 @@ def run_batch(
     records = stage(record_map(observations, with_head=True), "records")
     offsets = context.hold(chunk_offsets(chunk_anchors(records), context.sites, bounds))
     timed = attach_utc(observations, records, offsets, with_previous=True)
+    if not overlapping_intervals(context.deployments, context.aliases).isEmpty():
+        assert_unambiguous(timed, context.deployments, context.aliases)
     matched = match_deployments(timed, context.deployments, context.aliases, "_deployment")
     if matched_only:
         matched = matched.where(F.col("_deployment").isNotNull())

@@ -112,8 +112,11 @@ def run_transaction(
     """Process the never-seen files of a batch and publish one output table.
 
     A dry run writes nothing below the store. Hashes are remembered only when the run is
-    accepted, so a failed run can be repeated.
+    accepted, so a failed run can be repeated. A failed run leaves a receipt that names its
+    cause. A request without files and metadata is an error.
     """
+    if not manifest and files.isEmpty():
+        raise ValueError("a transaction needs at least one file or metadata entry")
     run_id = run_id or uuid.uuid4().hex
     history = tables.read_or_empty(spark, store.hashes, tables.REGISTRY_SCHEMA)
     if manifest:
@@ -157,6 +160,11 @@ def run_transaction(
         summary = run_summary(finished, result.skipped_chunks, unmatched_rows(observations, context))
         summary = tables.stage(summary, "summary")
     except Exception as error:  # the receipt of a failed run names the cause
+        if not dry_run:
+            receipt = summaries.ingestion_summary(reports).withColumns(
+                {"pipeline": F.lit(STANDARD), "status": F.lit(FAILED), "run_id": F.lit(run_id), "error": F.lit(str(error))}
+            )
+            tables.write_sidecar(receipt, store.receipt(run_id))
         return Outcome(run_id, REJECTED, FAILED, reports, error=str(error))
     finally:
         context.release()
