@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.llm.postings import mapper
+from xylemflow.llm.tokens import spans
 
 UNKNOWN = "und"
 #: Bounds of the training sample: documents per language, sequences per document, words of each.
@@ -32,6 +33,8 @@ TRAIN_DOCUMENTS, TRAIN_SEQUENCES, TRAIN_WORDS = 400, 6, 32
 FEATURES = 1 << 17
 EPOCHS, BATCH, RATE, DECAY = 6, 128, 0.25, 1e-6
 STRETCH, SLICE_WORDS, CACHE_WORDS = 64, 200_000, 300_000
+#: Stretches that forward-backward takes at a time.
+STRETCHES = 4096
 FOLDS = 5
 
 
@@ -200,23 +203,28 @@ class Labeller:
         """Indices of the words of each text that have letters."""
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        split = [split_words(t) for t in texts]
         new: list[str] = []
-        for words in split:
-            for raw in set(words).difference(self.index):
-                word = letters(raw)
-                if word and word not in self.by_letters:
-                    self.by_letters[word] = len(self.potentials) + len(new)
-                    new.append(word)
-                self.index[raw] = self.by_letters[word] if word else -1
+        found = []
+        for text in texts:
+            parts = [np.zeros(0, np.int64)]
+            for span in spans(text):
+                words = span.split(" ")
+                for raw in set(words).difference(self.index):
+                    word = letters(raw)
+                    if word and word not in self.by_letters:
+                        self.by_letters[word] = len(self.potentials) + len(new)
+                        new.append(word)
+                    self.index[raw] = self.by_letters[word] if word else -1
+                at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+                parts.append(at[at >= 0])
+            found.append(np.concatenate(parts))
         if new:
             features = [word_features(w, self.model.lexicon) for w in new]
             ids = np.concatenate([np.array(f) for f in features])
             widths = np.array([len(f) for f in features])
             score = np.add.reduceat(self.model.weights[ids], np.cumsum(widths) - widths)
             self.potentials = np.concatenate([self.potentials, np.exp(np.maximum(score - score.max(1, keepdims=True), -30))])
-        found = [np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)) for words in split]
-        return [x[x >= 0] for x in found]
+        return found
 
     def document_scores(self, texts: list[str]) -> np.ndarray:
         """Mean posterior of each language over the words of each text; zeros without letters."""
@@ -230,11 +238,11 @@ class Labeller:
         padded = np.full((len(owner), STRETCH), -1)
         row = np.repeat(np.cumsum(stretches) - stretches, lengths) + np.concatenate([np.arange(n) // STRETCH for n in lengths])
         padded[row, np.concatenate([np.arange(n) % STRETCH for n in lengths])] = np.concatenate(words)
-        mask = padded >= 0
-        emission = self.potentials[np.maximum(padded, 0)]
-        posterior, _, _ = _posteriors(emission, mask, self.transition)
-        sums = (posterior * mask[:, :, None]).sum(1)
-        np.add.at(out, owner, sums)
+        for low in range(0, len(padded), STRETCHES):
+            at = padded[low : low + STRETCHES]
+            mask = at >= 0
+            posterior, _, _ = _posteriors(self.potentials[np.maximum(at, 0)], mask, self.transition)
+            np.add.at(out, owner[low : low + STRETCHES], (posterior * mask[:, :, None]).sum(1))
         return out / np.maximum(lengths, 1)[:, None]
 
 
