@@ -208,6 +208,18 @@ def test_private_data(spark, tmp_path):
     assert clean[18] == LONG
 
 
+def test_terms_are_counted_and_marked_over_whole_texts(spark, tmp_path):
+    far = " ".join(f"filler{i}" for i in range(60))
+    texts = [f"zorblatt{'x' * i} quixotic {i} {' '.join(far.split()[: 40 + i])} commonword unique{i} near secret@host.example" for i in range(4)]
+    texts += ["nothing but quixotic here", *[f"commonword in text {i}" for i in range(60)]]
+    got = {r.doc_id: r for r in private_data.find_private_data(docs_of(spark, texts, tmp_path)).collect()}
+    marked = [{texts[i][s.start : s.end] for s in got[3 * i].spans or () if s.kind == 4} for i in range(len(texts))]
+    assert all("quixotic" in marked[i] for i in range(5)), "far from the entity, and in a text without it"
+    assert not any("commonword" in m for m in marked)
+    whole = {w for t in texts for w in re.findall(r"\w+", t)}
+    assert all(m <= whole and not m & {"secret", "host", "example"} for m in marked)
+
+
 def test_line_chunks(spark, tmp_path):
     block = "\n".join(f"line number {i}" for i in range(40))
     got = {r.doc_id: r for r in line_dedup.remove_repeated_chunks(docs_of(spark, [*EDGES, block, "new\n" + block, None], tmp_path)).collect()}

@@ -1,14 +1,18 @@
 """Personal data, and the terms that disclose it, by DataFrame functions only.
 
-Base spans are e-mail and IP addresses, payment-card and phone numbers. Around them the method
-estimates disclosure: for an entity ``e`` and a term ``t`` of its context, the share of the
-information content of ``e`` that ``t`` gives away is ``PMI(e; t) / IC(e)``, from the distinct
-contexts of the whole corpus that hold ``e``, ``t`` and both. A term seen with the entity in
-:data:`SUPPORT` contexts or more whose share reaches :data:`DISCLOSURE` gets a ``term`` span; in
-sanitised texts terms without digits are generalised to their class and others are removed.
-
-Defined results: a null text is empty; repeated rows are found one by one, and their equal contexts
-count once; all positions are code points, ends exclusive.
+Base spans are e-mail and IP addresses, payment-card and phone numbers. The method estimates
+disclosure over the whole corpus: for an entity ``e`` and a term ``t``, the share of the information
+content of ``e`` that ``t`` gives away is ``PMI(e; t) / IC(e)``, from the numbers of distinct texts
+that hold ``e``, ``t`` and both, with or without an entity. A term that shares :data:`SUPPORT` texts
+or more with the entity and whose share reaches :data:`DISCLOSURE` gets a ``term`` span wherever it
+stands; in sanitised texts terms without digits are generalised to their class and others are
+removed. Terms are whole words; a word that a base span touches is none.
+
+The pairs of one text are counted only for entities of :data:`SUPPORT` texts or more and terms rare
+enough to reach the share with them, so that no pair is lost.
+
+Defined results: a null text is empty; repeated rows are found one by one, and equal texts count
+once; all positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -28,8 +32,10 @@ PATTERNS = (
     r"[0-9](?:[\x20-]?[0-9])++",
     r"\+[0-9][\x20().0-9-]+[0-9]",
 )
-TERM = r"[\p{L}\p{N}]{4,}+"
-REACH, SUPPORT, DISCLOSURE = 80, 3, 0.8
+#: Stands for letters and digits of base spans while words are cut.
+MASK = "\ue000"
+TERM = rf"[\p{{L}}\p{{N}}{MASK}]{{4,}}+"
+SUPPORT, DISCLOSURE = 3, 0.8
 
 
 def _cells(text: Column, pattern: str) -> Column:
@@ -65,72 +71,118 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
-def _disclosing_terms(entities: DataFrame, staging: Staging) -> DataFrame:
-    """``row_nr, kind, start, end`` of the terms that give an entity of their context away."""
-    clipped = entities.select(
-        "row_nr", "entity",
-        F.greatest(F.col("start") - REACH, F.lit(0)).alias("from"),
-        F.expr(f"substring(text, greatest(start - {REACH}, 0) + 1, start - greatest(start - {REACH}, 0))").alias("left"),
-        F.expr(f"substring(text, end + 1, {REACH})").alias("right"), "end",
-    )
-    sides = clipped.select("row_nr", "entity", F.xxhash64("left", "entity", "right").alias("context"), F.inline(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("from").alias("base"), F.col("left").alias("part")),
-        F.struct(F.lit(1).alias("side"), F.col("end").alias("base"), F.col("right").alias("part")))))
-    keys = ["row_nr", "entity", "context", "side", "base"]
-    cells = sides.select(*keys, F.posexplode(_cells(F.col("part"), TERM)).alias("nr", "cell")).select(*keys, "nr", "cell.gap", "cell.value")
-    terms = staging.table(
-        _positions(cells, keys).select("row_nr", "entity", "context", F.xxhash64(F.lower("value")).alias("term"), F.col("value").alias("word"),
-                                       (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("end")).alias("end")),
-        "terms",
-    )
-    met = terms.select("entity", "term", "context").distinct()
-    both = met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    of_entity = entities.select("entity", context_of()).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    of_term = met.select("term", "context").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = entities.select(context_of()).distinct().count()
-    share = F.log(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / F.log(F.lit(float(total)) / F.col("n_entity"))
-    disclosing = both.join(of_entity, "entity").join(of_term, "term").where((F.col("n_entity") < total) & (share >= DISCLOSURE))
-    return terms.join(disclosing.select("entity", "term"), ["entity", "term"]).select("row_nr", F.lit(4).alias("kind"), "start", "end").distinct()
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with the letters and digits of its sorted spans masked; lengths stay."""
+
+    def step(done: Column, s: Column) -> Column:
+        start = F.greatest(s["start"], done["at"])
+        cut = F.substring(text, done["at"].cast("int") + 1, (start - done["at"]).cast("int"))
+        inner = F.substring(text, start.cast("int") + 1, (s["end"] - start).cast("int"))
+        moved = F.struct(s["end"].alias("at"), F.concat(done["out"], cut, F.regexp_replace(inner, r"[\p{L}\p{N}]", MASK)).alias("out"))
+        return F.when(s["end"] > done["at"], moved).otherwise(done)
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, start, step, lambda d: F.concat(d["out"], F.substring(text, d["at"].cast("int") + 1, F.length(text))))
+
+
+def _term(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
+
+
+def _term_spans(text: Column, terms: Column) -> Column:
+    """Places of the words of a masked text that are among ``terms``."""
+
+    def step(done: Column, cell: Column) -> Column:
+        start = done["at"] + cell["gap"]
+        end = start + F.coalesce(F.length(cell["value"]), F.lit(0))
+        hit = cell["value"].isNotNull() & ~F.contains(cell["value"], F.lit(MASK)) & F.array_contains(terms, _term(cell["value"]))
+        span = F.array(F.struct(F.lit(4).alias("kind"), start.alias("start"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(hit, F.concat(done["out"], span)).otherwise(done["out"]).alias("out"))
 
+    none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
+    return F.aggregate(_cells(text, TERM), F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), step, lambda d: d["out"])
 
-def context_of() -> Column:
-    return F.expr(
-        f"xxhash64(substring(text, greatest(start - {REACH}, 0) + 1, start - greatest(start - {REACH}, 0)), entity, substring(text, end + 1, {REACH}))"
-    ).alias("context")
+
+def _disclosing_terms(scanned: DataFrame, plain: DataFrame, base: DataFrame, staging: Staging) -> DataFrame:
+    """``row_nr, kind, start, end`` of the terms that give an entity away, wherever they stand.
+
+    ``plain`` holds ``row_nr, text`` of the rows whose ``kinds`` are null in ``scanned``.
+    """
+    spans = base.groupBy("row_nr").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("found"))
+    clear = F.translate("text", MASK, " ")
+    masked = staging.table(
+        scanned.where("kinds IS NOT NULL").select("row_nr", clear.alias("text")).join(spans, "row_nr", "left")
+        .select("row_nr", F.when(F.col("found").isNull(), F.col("text")).otherwise(_masked(F.col("text"), F.col("found"))).alias("text")),
+        "masked",
+    )
+    texts = plain.select("row_nr", clear.alias("text")).unionByName(masked)
+    words = F.filter(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))), lambda w: ~F.contains(w, F.lit(MASK)))
+    bags = staging.table(texts.select("row_nr", F.array_distinct(F.transform(words, _term)).alias("terms")), "bags")
+
+    keyed = scanned.select("row_nr", "text_key")
+    groups = keyed.groupBy("text_key").agg(F.min("row_nr").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    copies = staging.table(keyed.join(groups, "text_key").where("row_nr <> first").select("row_nr"), "copies")
+    total = scanned.count() - copies.count()
+    seen = base.select("row_nr", F.xxhash64("kind", F.lower("value")).alias("entity")).distinct().join(copies, "row_nr", "left_anti")
+    of_entity = staging.table(
+        seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity").between(SUPPORT, total - 1)), "entities"
+    )
+    # A share of DISCLOSURE needs n_term <= total^(1 - DISCLOSURE) * n_entity^DISCLOSURE, since n_both <= n_entity.
+    reach = lambda n: F.pow(F.lit(float(total)), F.lit(1 - DISCLOSURE)) * F.pow(n, F.lit(DISCLOSURE)) * (1 + 1e-9)
+    most = of_entity.agg(reach(F.max("n_entity"))).first()[0] or 0.0
+    counted = bags.join(copies, "row_nr", "left_anti")
+    of_term = staging.table(
+        counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(F.col("n_term").between(SUPPORT, most)), "term-counts"
+    )
+    holders = staging.table(seen.join(of_entity, "entity"), "holders")
+    near = counted.join(holders.select("row_nr").distinct(), "row_nr", "left_semi").select("row_nr", F.explode("terms").alias("term")).join(of_term, "term")
+    both = (
+        near.join(holders, "row_nr").where(F.col("n_term") <= reach(F.col("n_entity")))
+        .groupBy("entity", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= SUPPORT)
+    )
+    share = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term"))) / F.log(F.lit(float(total)) / F.col("n_entity"))
+    disclosing = staging.table(both.where(share >= DISCLOSURE).select("term").distinct(), "disclosing")
+    wanted = staging.table(
+        bags.select("row_nr", F.explode("terms").alias("term")).join(disclosing, "term").groupBy("row_nr").agg(F.collect_list("term").alias("terms")), "wanted"
+    )
+    staging.drop(bags, copies, of_entity, of_term, holders, disclosing)
+    found = texts.join(wanted, "row_nr").select("row_nr", F.inline(_term_spans(F.col("text"), F.col("terms"))))
+    spans = staging.table(found, "term-spans")
+    staging.drop(masked, wanted)
+    return spans
 
 
 def find_private_data(docs: DataFrame) -> DataFrame:
     """``row_nr, doc_id, base, spans`` of every row of ``docs``: arrays of ``kind, start, end``.
 
-    ``kind`` counts :data:`KINDS`; ``base`` is null where a text has none, ``spans`` holds all.
+    ``kind`` counts :data:`KINDS`; ``base`` is null or empty where a text has none, ``spans`` holds all.
+    ``docs`` must be a plain scan.
     """
     staging = Staging(docs.sparkSession, "private-data")
     source = docs.select(
         F.monotonically_increasing_id().alias("row_nr"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    ).withColumn("text_key", F.md5(F.col("text").cast("binary")))
     signs = ("@", ".", "", "+")
     kinds = [
         F.struct(F.lit(k).alias("kind"), F.when(F.contains("text", F.lit(sign)) & F.col("text").rlike("[0-9]" if k else "@"), _cells(F.col("text"), p)).alias("cells"))
         for k, (sign, p) in enumerate(zip(signs, PATTERNS))
     ]
-    some = F.exists("kinds", lambda k: F.size(k["cells"]) > 1)
+    searched = source.withColumn("kinds", F.array(*kinds))
+    some = F.coalesce(F.exists("kinds", lambda k: F.size(k["cells"]) > 1), F.lit(False))
     scanned = staging.table(
-        source.select("row_nr", "doc_id", "text", F.array(*kinds).alias("kinds")).select("row_nr", "doc_id", F.when(some, F.col("text")).alias("text"), F.when(some, F.col("kinds")).alias("kinds")),
-        "scanned",
+        searched.select("row_nr", "doc_id", F.when(some, F.col("text")).alias("text"), "text_key", F.when(some, F.col("kinds")).alias("kinds")), "scanned"
     )
+    plain = searched.where(~some).select("row_nr", "text")
     cells = scanned.where("kinds IS NOT NULL").select("row_nr", F.inline("kinds")).select("row_nr", "kind", F.posexplode("cells").alias("nr", "cell")).select(
         "row_nr", "kind", "nr", "cell.gap", "cell.value"
     )
     base = staging.table(_positions(cells, ["row_nr", "kind"]).where(_holds()), "base")
-    entities = staging.table(
-        base.join(scanned.select("row_nr", "text"), "row_nr").select("row_nr", "kind", "start", "end", F.xxhash64("kind", F.lower("value")).alias("entity"), "text"), "entities"
-    )
-    added = _disclosing_terms(entities, staging)
+    added = _disclosing_terms(scanned, plain, base, staging)
     spans = base.select("row_nr", "kind", "start", "end").unionByName(added)
     span = F.struct("kind", "start", "end")
     of_row = spans.groupBy("row_nr").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     return scanned.join(of_row, "row_nr", "left").select(
-        "row_nr", "doc_id", "text", F.filter("spans", lambda s: s["kind"] < 4).alias("base"), "spans"
+        "row_nr", "doc_id", F.filter("spans", lambda s: s["kind"] < 4).alias("base"), "spans"
     )
 
 
@@ -147,19 +199,20 @@ def digests(found: DataFrame) -> DataFrame:
 
 def sanitised_texts(docs: DataFrame) -> DataFrame:
     """``docs`` with each span's text replaced by its class, terms with digits removed; ``docs`` a plain scan."""
-    found = find_private_data(docs).where("spans IS NOT NULL").select(F.col("row_nr").alias("_span_row"), F.col("spans").alias("_spans"), F.col("text").alias("_found_text"))
+    found = find_private_data(docs).where("spans IS NOT NULL").select(F.col("row_nr").alias("_span_row"), F.col("spans").alias("_spans"))
+    own = F.coalesce("text", F.lit(""))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     by_place = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
 
     def step(done: Column, s: Column) -> Column:
-        cut = F.substring("_found_text", done["at"].cast("int") + 1, (s["start"] - done["at"]).cast("int"))
-        inner = F.substring("_found_text", s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
+        cut = F.substring(own, done["at"].cast("int") + 1, (s["start"] - done["at"]).cast("int"))
+        inner = F.substring(own, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
         sign = F.when((s["kind"] == 4) & inner.rlike("[0-9]"), F.lit("")).otherwise(F.get(names, s["kind"]))
         moved = F.struct(s["end"].alias("at"), F.concat(done["out"], cut, sign).alias("out"))
         return F.when(s["start"] >= done["at"], moved).otherwise(done)
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    text = F.aggregate(by_place, start, step, lambda d: F.concat(d["out"], F.substring("_found_text", d["at"].cast("int") + 1, F.length("_found_text"))))
+    text = F.aggregate(by_place, start, step, lambda d: F.concat(d["out"], F.substring(own, d["at"].cast("int") + 1, F.length(own))))
     joined = docs.withColumn("_docs_row", F.monotonically_increasing_id()).join(found, F.col("_docs_row") == F.col("_span_row"), "left")
     values = {"text": F.when(F.col("_spans").isNull(), F.col("text")).otherwise(text)}
     return joined.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
