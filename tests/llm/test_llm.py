@@ -193,6 +193,18 @@ def test_unknown_language(edges):
     assert got[12][0] == "en"
 
 
+def test_all_letters_of_texts_without_blanks_count():
+    random = np.random.default_rng(6)
+    make = lambda letters, n: ["".join(random.choice(list(letters), 6)) for _ in range(n)]
+    model = language_id.fit([(lang, make(abc, 32)) for lang, abc in (("a", "abcdef"), ("z", "uvwxyz")) for _ in range(40)])
+    first, rest = make("abcdef", 10), make("uvwxyz", 200)
+    for joint in ("", "\xa0", "\u3000", "_", "/"):
+        shares = language_id.Labeller(model).document_scores([joint.join(first + rest), joint.join(first), "short " + joint.join(first + rest)])
+        assert [model.languages[k] for k in shares.argmax(1)] == ["z", "a", "z"] and shares[0].max() > 0.85
+    assert language_id.words_of("Don't\xa0stop/now_1 cafe\u0301") == ["don", "t", "stop", "now", "cafe"]
+    assert "".join(language_id.words_of("\u4e2d" * 1000)) == "\u4e2d" * 1000
+
+
 def test_private_data(spark, tmp_path):
     texts = [*EDGES, "é mail a.b@c.de_x@y.org, 1.2.3.4.5 and 300.1.1.1 🙂 4111 1111 1111 1111 +1 (555) 123-4567 +1 22"]
     texts += [f"call agent{i} zorblatt of {w} at secret@host.example now" for i, w in enumerate(("blue house", "red barn", "old mill"))]

@@ -6,6 +6,10 @@ short word sequences from a bounded sample of labelled documents; some are splic
 documents of different languages, so that switches are seen. Inference runs forward-backward over
 stretches of :data:`STRETCH` words of the whole text, many at a time, and sums the posteriors.
 
+A word is a run of letters; marks and format characters in it are dropped, and everything else ends
+it. Runs of more than :data:`PIECE` letters, as in scripts without blanks, are cut into consecutive
+words of about equal length, so that all their letters count.
+
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text if
 nothing is labelled; ties go to the smaller language; a row with a null ``doc_id`` is predicted, is
 not held out and is never learned from. Only ``text`` is an input of a prediction.
@@ -14,10 +18,12 @@ not held out and is never learned from. Only ``text`` is an input of a predictio
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +39,8 @@ TRAIN_DOCUMENTS, TRAIN_SEQUENCES, TRAIN_WORDS = 400, 6, 32
 FEATURES = 1 << 17
 EPOCHS, BATCH, RATE, DECAY = 6, 128, 0.25, 1e-6
 STRETCH, SLICE_WORDS, CACHE_WORDS = 64, 200_000, 300_000
+#: Letters of the longest word, and of the longest text between blanks whose words are cached.
+PIECE, CACHE_LETTERS = 16, 64
 #: Stretches that forward-backward takes at a time.
 STRETCHES = 4096
 FOLDS = 5
@@ -42,19 +50,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def letters(word: str) -> str:
-    """The word's letters in lower case."""
-    low = word.lower()
-    return low if low.isalpha() else "".join(c for c in low if c.isalpha())
+class _Letters(dict):
+    """Code points of letters to themselves, of marks and format characters to none, others to a blank."""
+
+    def __missing__(self, code: int) -> int | None:
+        kind = unicodedata.category(chr(code))
+        self[code] = code if chr(code).isalpha() else None if kind[0] == "M" or kind == "Cf" else 32
+        return self[code]
+
 
+_LETTERS = _Letters()
 
-def split_words(text: str) -> list[str]:
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+def words_of(text: str) -> list[str]:
+    """Words of a text in lower case, none longer than :data:`PIECE`."""
+    out = []
+    for run in text.lower().translate(_LETTERS).split():
+        if len(run) <= PIECE:
+            out.append(run)
+        else:
+            size = -(-len(run) // -(-len(run) // PIECE))
+            out += [run[i : i + size] for i in range(0, len(run), size)]
+    return out
 
 
 def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Hashed affixes, n-grams, word and lexicon entry of a lower-case word."""
-    edged = f"^{word[:40]}$"
+    edged = f"^{word}$"
     names = {edged, "w" + word}
     names.update(edged[i : i + n] for n in (2, 3, 4) for i in range(len(edged) - n + 1))
     names.update("p" + word[:n] for n in (1, 2, 3))
@@ -100,7 +122,7 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         rows = []
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = [w for w in map(letters, split_words(text or "")) if w]
+            words = words_of(text or "")
             step = max(TRAIN_WORDS, len(words) // TRAIN_SEQUENCES)
             rows += [(lang, " ".join(words[a : a + TRAIN_WORDS])) for a in range(0, len(words), step)][:TRAIN_SEQUENCES]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["lang", "words"])
@@ -196,12 +218,28 @@ class Labeller:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {"": -1}
+        self.several: list[list[int]] = []
         self.by_letters: dict[str, int] = {}
         self.potentials = np.ones((0, len(self.model.languages)), np.float32)
 
+    def _place(self, raw: str, new: list[str]) -> int:
+        """The index of a text of one word, -1 for none, and -2 or less, a place in ``several``, for more.
+
+        Words not seen before are added to ``new``.
+        """
+        found = words_of(raw)
+        for word in found:
+            if word not in self.by_letters:
+                self.by_letters[word] = len(self.potentials) + len(new)
+                new.append(word)
+        if len(found) < 2:
+            return self.by_letters[found[0]] if found else -1
+        self.several.append([self.by_letters[w] for w in found])
+        return -1 - len(self.several)
+
     def look_up(self, texts: list[str]) -> list[np.ndarray]:
-        """Indices of the words of each text that have letters."""
-        if len(self.index) > CACHE_WORDS:
+        """Indices of the words of each text."""
+        if len(self.index) + len(self.by_letters) > 2 * CACHE_WORDS:
             self.clear()
         new: list[str] = []
         found = []
@@ -209,13 +247,16 @@ class Labeller:
             parts = [np.zeros(0, np.int64)]
             for span in spans(text):
                 words = span.split(" ")
-                for raw in set(words).difference(self.index):
-                    word = letters(raw)
-                    if word and word not in self.by_letters:
-                        self.by_letters[word] = len(self.potentials) + len(new)
-                        new.append(word)
-                    self.index[raw] = self.by_letters[word] if word else -1
-                at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+                fresh = set(words).difference(self.index)
+                self.index.update((raw, self._place(raw, new)) for raw in fresh if len(raw) <= CACHE_LETTERS)
+                kept = len(self.several)
+                long = {raw: self._place(raw, new) for raw in fresh if len(raw) > CACHE_LETTERS}
+                index = ChainMap(self.index, long) if long else self.index
+                at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+                if (at < -1).any():
+                    many = [self.several[-2 - k] if k < -1 else (k,) for k in at.tolist()]
+                    at = np.fromiter(chain.from_iterable(many), np.int64, sum(map(len, many)))
+                del self.several[kept:]
                 parts.append(at[at >= 0])
             found.append(np.concatenate(parts))
         if new:
