@@ -249,6 +249,20 @@ def test_licence_notices(spark, tmp_path):
     assert all(got[3 * i].n_notices == 0 for i in range(len(EDGES)))
 
 
+def test_wrapped_and_enclosed_notices(spark, tmp_path):
+    corpus = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40).collect()]
+    model = licenses.fit(sorted(line for t in corpus for line in t.split("\n") if "icense" not in line))
+    header = licenses.TEMPLATES["BSD"][1].split()
+    prose = " ".join(f"word{i}" for i in range(400))
+    lesser = "This library is free software; you can\nredistribute it and/or modify it under the\nterms of the GNU Lesser General Public License\nas published by the Free Software Foundation."
+    texts = ["# " + " ".join(header[:10]) + "\n# " + " ".join(header[10:]), f"\u00e9 {prose} Released under the MIT License. {prose}", lesser, prose]
+    got = [r for _, r in sorted((r.doc_id, r) for r in licenses.scan_licenses(docs_of(spark, texts, tmp_path), model).collect())]
+    assert [r.families for r in got] == ["BSD", "MIT", "LGPL", ""]
+    assert got[0].spans == f"BSD:2:{len(texts[0])}" and got[2].spans == f"LGPL:0:{len(lesser)}"
+    _, start, end = got[1].spans.split(":")
+    assert texts[1][int(start) : int(end)] == "Released under the MIT License."
+
+
 def test_top_k_edges(spark, tmp_path):
     random = np.random.default_rng(4)
     same = [0.5] * 8

@@ -7,12 +7,18 @@ the least confidence of a family are calibrated on damaged notices and corpus li
 fit. A predicted family is confirmed when the paragraph holds enough of the word three-grams of one of
 its templates; confident predictions without such a template count as ``unknown``.
 
+Notices that are wrapped over lines or stand inside longer ones are found by their templates alone:
+the words of the whole text, without those of punctuation only, are searched for windows that hold
+enough of the three-grams of a template. Such a window takes the place of unconfirmed lines it meets.
+
 Defined results: null or empty texts have no notice; words are split at white space, A-Z as a-z;
 repeated rows are scanned one by one; spans are in code points.
 """
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +90,8 @@ FEATURES, GRAMS = 1 << 18, 3
 DAMAGED, SAMPLE_DOCUMENTS, SAMPLE_LINES, EPOCHS, RATE = 40, 1000, 20_000, 12, 0.5
 #: Share of a template's three-grams that confirms it, and share of kept-out corpus lines that may pass.
 COVER, FALSE_SHARE = 0.6, 0.001
+#: Longest window of a notice, in three-grams of its template.
+STRETCHED = 1.5
 #: Words of the shortest notice that no template confirms.
 LEAST_WORDS = 3
 
@@ -205,6 +213,85 @@ def confirm(line: str, family: str, grams: dict[str, list[np.ndarray]]) -> str:
     return best if cover[best] >= COVER else UNKNOWN
 
 
+_WORD, _SIGN = re.compile(r"[^ \t-\r]+"), re.compile(r"[^\W_]")
+_LOW = str.maketrans({c: c + 32 for c in range(65, 91)})
+
+
+def _word_grams(words: list[str]) -> list[tuple[str, ...]]:
+    return [tuple(words[i : i + GRAMS]) for i in range(len(words) - GRAMS + 1)]
+
+
+_NOTICES = [(name, set(_word_grams(t.translate(_LOW).split()))) for name, notices in TEMPLATES.items() for t in notices]
+_HOLDERS = {gram: [k for k, (_, own) in enumerate(_NOTICES) if gram in own] for _, grams in _NOTICES for gram in grams}
+_ALL_GRAMS = np.unique(np.concatenate([_three_grams(t) for notices in TEMPLATES.values() for t in notices]))
+
+
+def _with_grams(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each row holds a three-gram of some template."""
+    out = np.zeros(len(offsets) - 1, bool)
+    for a, b in row_slices(offsets):
+        words, bounds = word_hashes(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        count = max(0, len(words) - 2)
+        grams = mix(words[:count] * np.uint64(7) + words[1 : 1 + count] * np.uint64(11) + words[2 : 2 + count])
+        at = np.flatnonzero(contained(grams, _ALL_GRAMS))
+        out[a + np.searchsorted(bounds, at, "right") - 1] = True
+    return out
+
+
+def windows(text: str) -> list[tuple[int, int, str]]:
+    """``start, end, family`` of the windows of a text that hold enough of a template, in order."""
+    words = [m for m in _WORD.finditer(text) if _SIGN.search(m.group())]
+    grams = _word_grams([m.group().translate(_LOW) for m in words])
+    hits = defaultdict(list)
+    for i, gram in enumerate(grams):
+        for k in _HOLDERS.get(gram, ()):
+            hits[k].append(i)
+    found = []
+    for k, at in hits.items():
+        family, own = _NOTICES[k]
+        for n, first in enumerate(at):
+            seen, last = set(), first
+            for i in at[n:]:
+                if i - first >= STRETCHED * len(own):
+                    break
+                if grams[i] not in seen:
+                    seen.add(grams[i])
+                    last = i
+            if len(seen) >= COVER * len(own):
+                found.append((-len(seen) / len(own), -len(seen), first, last + GRAMS, family))
+    owner, kept = [-1] * len(words), []
+    for _, _, first, end, family in sorted(found):
+        met = set(owner[first:end]) - {-1}
+        if not met:
+            kept.append([first, end, family])
+            met = {len(kept) - 1}
+        if len(met) == 1 and kept[k := met.pop()][2] == family:
+            kept[k][:2] = min(first, kept[k][0]), max(end, kept[k][1])
+            owner[first:end] = [k] * (end - first)
+    return sorted((words[first].start(), words[end - 1].end(), family) for first, end, family in kept)
+
+
+def _merged(lines: list[tuple[int, int, str]], blocks: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Notices of lines and of windows, both in order; a confirmed line holds the windows of its family."""
+    kept, low = [], 0
+    taken: set[int] = set()
+    for a, b, family in lines:
+        while low < len(blocks) and blocks[low][1] <= a:
+            low += 1
+        near = low
+        replaced = False
+        while near < len(blocks) and blocks[near][0] < b:
+            start, end, other = blocks[near]
+            if other == family and a <= start and end <= b:
+                taken.add(near)
+            elif family == UNKNOWN or (other == family and start <= a and b <= end):
+                replaced = True
+            near += 1
+        if not replaced:
+            kept.append((a, b, family))
+    return sorted(kept + [block for k, block in enumerate(blocks) if k not in taken])
+
+
 def _scanned(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         flat, offsets = text_bytes(batch.column(1))
@@ -218,8 +305,9 @@ def _scanned(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.Reco
         rows = []
         hits = np.flatnonzero(licensed >= model["least"])
         owner = np.searchsorted(firsts, hits, "right") - 1
+        candidates = _with_grams(flat, offsets)
         for row, doc_id in enumerate(batch.column(0).to_pylist()):
-            spans, families, score = [], set(), 0.0
+            found, score = [], 0.0
             for line in hits[np.searchsorted(owner, row) : np.searchsorted(owner, row, "right")]:
                 a, b = int(lines[line]), int(lines[line + 1])
                 text = flat[a:b].tobytes().decode().rstrip("\n")
@@ -227,9 +315,18 @@ def _scanned(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.Reco
                 family = confirm(text, CLASSES[likely[line]], model["grams"])
                 if family == UNKNOWN and len(text.split()) < LEAST_WORDS:
                     continue
-                families.add(family)
                 score = max(score, float(licensed[line]))
-                spans.append(f"{family}:{start}:{start + len(text)}")
+                found.append((start, start + len(text), family))
+            if candidates[row]:
+                text = flat[offsets[row] : offsets[row + 1]].tobytes().decode()
+                blocks = windows(text)
+                found = _merged(found, blocks)
+                if blocks:
+                    ids, bounds = _of_lines([text[a:b] for a, b, _ in blocks])
+                    shares = _softmax(class_scores(ids, bounds, model["weights"], model["bias"]) / model["temperature"])
+                    score = max(score, float(1 - shares[:, 0].min()))
+            families = {family for _, _, family in found}
+            spans = [f"{family}:{a}:{b}" for a, b, family in found]
             rows.append((doc_id, int(firsts[row + 1] - firsts[row]), len(spans), ",".join(sorted(families)), score, ",".join(spans)))
         columns = list(zip(*rows)) if rows else [[]] * 6
         types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.string())
