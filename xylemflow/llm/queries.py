@@ -147,3 +147,30 @@ def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.licenses import scan_licenses
 
     return scan_licenses(documents(spark, sf_dir))
+
+
+@query(
+    "op13_lexical_search",
+    r"""
+    WITH found AS (
+      SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term),
+    doc AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+    total AS (SELECT count(*) AS all_n, CAST(sum(n) AS BIGINT) AS all_l FROM doc),
+    weight AS (
+      SELECT term, CAST(floor(1000 * ln(CAST(2 * all_n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM tf, total GROUP BY term, all_n),
+    asked AS (
+      SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    scored AS (
+      SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * all_n) // all_l))))) AS BIGINT) AS score
+      FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN doc USING (doc_id), total GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
+)
+def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.lexical_search import search
+
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
