@@ -174,3 +174,32 @@ def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.lexical_search import search
 
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query(
+    "op12_embedding_dedup",
+    """
+    WITH RECURSIVE usable AS (
+      SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+    link AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+    reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+    least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+    counted AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN least USING (vec_id) LEFT JOIN counted USING (vec_id)""",
+)
+def _embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.embedding_dedup import near_copies
+
+    return near_copies(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op11_whitening")
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from xylemflow.llm.whitening import whiten
+
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
