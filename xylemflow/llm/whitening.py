@@ -214,7 +214,7 @@ def feast(matrix: np.ndarray, low: float, high: float, count: int) -> tuple[np.n
     block = np.random.default_rng(SEED).standard_normal((n, size))
     best = None
     for _ in range(ROUNDS):
-        projected = np.zeros((n, size))
+        projected = np.zeros((n, block.shape[1]))
         for k, (z, factor) in enumerate(zip(shifts, factors)):
             solved = inverses[k] @ block if inverses else np.linalg.solve(z * np.eye(n) - matrix, block)
             projected += (factor * solved).real
