@@ -288,6 +288,66 @@ INPUTS = {
           CASE WHEN p_partkey % 2 = 0 THEN CONCAT('repro-cartridges/', CAST(p_partkey AS STRING), '.zip') END
             AS reproducibility_cartridge_path
         FROM part""",
+    # A whole manifest with faults of every kind; each entity grows with a table.
+    "m_projects": """
+        SELECT CASE WHEN c_custkey % 40 = 0 THEN '' ELSE CONCAT('PRJ', CAST(c_custkey % 400 AS STRING)) END AS code FROM customer""",
+    "m_sites": """
+        SELECT CONCAT('S', CAST(s_suppkey AS STRING)) AS code,
+          CASE WHEN s_suppkey % 7 = 0 THEN 'Mars/Base' WHEN s_suppkey % 7 = 1 THEN NULL ELSE 'Europe/Paris' END AS timezone,
+          CASE WHEN s_suppkey % 5 = 0 THEN '{"type": "Point", "coordinates": [1, 2]}' END AS boundary FROM supplier""",
+    "m_zones": """
+        SELECT CONCAT('S', CAST(p_partkey % 150 AS STRING)) AS site_code, CONCAT('Z', CAST(p_size AS STRING)) AS name FROM part""",
+    "m_plots": """
+        SELECT CONCAT('S', CAST(p_partkey % 150 AS STRING)) AS site_code, CONCAT('Z', CAST(p_size % 30 AS STRING)) AS zone_name,
+          CONCAT('L', CAST(p_partkey AS STRING)) AS name FROM part""",
+    "m_species": """
+        SELECT CONCAT('SP', CAST(s_suppkey % 90 AS STRING)) AS code FROM supplier""",
+    "m_plants": """
+        SELECT CONCAT('S', CAST(p_partkey % 150 AS STRING)) AS site_code, CONCAT('Z', CAST(p_size % 30 AS STRING)) AS zone_name,
+          CONCAT('L', CAST(p_partkey AS STRING)) AS plot_name, CONCAT('SP', CAST(p_partkey % 120 AS STRING)) AS species_code,
+          CONCAT('PL', CAST(p_partkey % 1500 AS STRING)) AS code FROM part""",
+    "m_stems": """
+        SELECT CONCAT('PL', CAST(p_partkey % 1600 AS STRING)) AS plant_code, CONCAT('ST', CAST(p_size % 3 AS STRING)) AS code FROM part""",
+    "m_datalogger_types": """
+        SELECT CONCAT('T', CAST(r_regionkey % 4 AS STRING)) AS code FROM region""",
+    "m_dataloggers": """
+        SELECT CONCAT('T', CAST(c_custkey % 6 AS STRING)) AS datalogger_type_code, CONCAT('D', CAST(c_custkey % 900 AS STRING)) AS code FROM customer""",
+    "m_datalogger_aliases": """
+        SELECT CONCAT('D', CAST(o_custkey AS STRING)) AS datalogger_code,
+          CASE WHEN o_orderkey % 60 = 0 THEN '' ELSE CONCAT('A', CAST(o_orderkey % 3000 AS STRING)) END AS alias,
+          o_orderdate AS start_timestamp_utc,
+          CASE WHEN o_orderkey % 11 = 0 THEN o_orderdate ELSE o_orderdate + INTERVAL '9' DAY END AS end_timestamp_utc FROM orders""",
+    "m_sensor_types": """
+        SELECT n_name AS code FROM nation UNION ALL SELECT n_name FROM nation WHERE n_regionkey = 2""",
+    "m_sensor_thermistor_pairs": """
+        SELECT CASE WHEN n_nationkey % 4 = 0 THEN 'nothing' ELSE n_name END AS sensor_type_code, CONCAT('pair', CAST(n_nationkey AS STRING)) AS name
+        FROM nation UNION ALL SELECT n_name, CONCAT('pair', CAST(n_nationkey AS STRING)) FROM nation WHERE n_nationkey % 4 = 1""",
+    "m_deployments": """
+        SELECT CONCAT('PRJ', CAST(o_custkey % 500 AS STRING)) AS project_code, CONCAT('PL', CAST(o_custkey % 1700 AS STRING)) AS plant_code,
+          CONCAT('ST', CAST(o_orderkey % 4 AS STRING)) AS stem_code, CONCAT('D', CAST(o_custkey % 1000 AS STRING)) AS datalogger_code,
+          CASE WHEN o_orderkey % 20 = 0 THEN 'nothing' ELSE 'FRANCE' END AS sensor_type_code,
+          CASE WHEN o_orderkey % 31 = 0 THEN '12' ELSE CAST(o_orderkey % 10 AS STRING) END AS sdi_address,
+          o_orderdate AS start_timestamp_utc,
+          CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderdate + INTERVAL '40' DAY END AS end_timestamp_utc FROM orders""",
+    "m_parameter_overrides": """
+        SELECT CASE WHEN p_partkey % 9 = 0 THEN 'unknown' ELSE 'parameter_wood_density_kg_m3' END AS parameter_code,
+          CASE WHEN p_partkey % 2 = 0 THEN CONCAT('S', CAST(p_partkey % 200 AS STRING)) END AS site_code,
+          CASE WHEN p_partkey % 3 = 0 THEN CONCAT('SP', CAST(p_partkey % 100 AS STRING)) END AS species_code,
+          CASE WHEN p_partkey % 5 = 0 THEN CONCAT('Z', CAST(p_size AS STRING)) END AS zone_name,
+          CASE WHEN p_partkey % 7 = 0 THEN CONCAT('L', CAST(p_partkey AS STRING)) END AS plot_name,
+          CASE WHEN p_partkey % 11 = 0 THEN CONCAT('PL', CAST(p_partkey % 1600 AS STRING)) END AS plant_code,
+          CASE WHEN p_partkey % 13 < 2 THEN CONCAT('ST', CAST(p_size % 4 AS STRING)) END AS stem_code FROM part""",
+    "old_projects": """
+        SELECT CONCAT('PRJ', CAST(r_regionkey AS STRING)) AS code FROM region""",
+    "old_parameters": """
+        SELECT 'parameter_wood_density_kg_m3' AS code FROM region WHERE r_regionkey = 0""",
+    "old_deployments": """
+        SELECT CONCAT('D', CAST(s_suppkey AS STRING)) AS datalogger_code, '1' AS sdi_address, TIMESTAMP '1995-01-01 00:00:00' AS start_timestamp_utc,
+          TIMESTAMP '1995-06-01 00:00:00' AS end_timestamp_utc FROM supplier""",
+    # Metadata and deployments of a transaction that brings its own: one logger a nation, number 7 not deployed.
+    "tx_logger": """
+        SELECT n_nationkey AS n, n_regionkey, n_name, CASE WHEN n_nationkey % 5 = 0 THEN CAST(n_nationkey AS STRING)
+          ELSE CAST(n_nationkey + 100 AS STRING) END AS code FROM nation""",
 }
 
 

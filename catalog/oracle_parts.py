@@ -157,3 +157,81 @@ FINISHED = f"""{TIME_CTES}, corrected AS ({CORRECTED}), picks AS ({PICKS}),
       LEFT JOIN picks p5 ON p5.dep_key = e.dep_key AND p5.code = 'quality_gap_years'),
     fluxed AS ({dma('params', 'parameter_wood_density_kg_m3', 'parameter_wound_correction_a', 'parameter_water_content_g_g')}),
     finished AS ({quality('fluxed')})"""
+
+
+# --- A whole manifest ---------------------------------------------------------------------
+
+
+def _manifest_sql() -> str:
+    """Violations of the manifest inputs ``m_*`` against the stored ``old_*``."""
+    key = lambda columns: "CONCAT(" + ", '/', ".join(f"coalesce({c}, '')" for c in columns) + ")" if len(columns) > 1 else f"coalesce({columns[0]}, '')"
+    keys = {
+        "projects": ["code"], "sites": ["code"], "zones": ["site_code", "name"], "plots": ["site_code", "zone_name", "name"], "species": ["code"],
+        "plants": ["site_code", "zone_name", "plot_name", "code"], "stems": ["plant_code", "code"], "datalogger_types": ["code"], "dataloggers": ["code"],
+        "datalogger_aliases": ["alias"], "sensor_types": ["code"], "sensor_thermistor_pairs": ["sensor_type_code", "name"],
+        "deployments": ["datalogger_code", "sdi_address"], "parameter_overrides": ["parameter_code"],
+    }
+    found = []
+
+    def fault(entity: str, text: str, condition: str) -> None:
+        found.append(f"SELECT '{entity}' AS entity, {key(keys[entity])} AS key, '{text}' AS violation FROM m_{entity} x WHERE {condition}")
+
+    everything = lambda e: f"(SELECT {', '.join(keys[e])} FROM m_{e}" + (f" UNION ALL SELECT {', '.join(keys[e])} FROM old_{e})" if e == "projects" else ")")
+
+    def parent(entity: str, of: str, columns: dict[str, str], optional: bool = False, unique: bool = False) -> None:
+        source = "old_parameters" if of == "parameters" else everything(of)
+        same = " AND ".join(f"p.{theirs} = x.{own}" for own, theirs in columns.items())
+        given = f"x.{list(columns)[-1]} IS NOT NULL AND " if optional else ""
+        fault(entity, f"missing {of}", f"{given}NOT EXISTS (SELECT 1 FROM {source} p WHERE {same})")
+        if unique:
+            names = list(columns.values())
+            shared = f"SELECT {', '.join(names)} FROM (SELECT DISTINCT * FROM {source}) u GROUP BY {', '.join(names)} HAVING count(*) > 1"
+            fault(entity, f"ambiguous {of}", f"EXISTS (SELECT 1 FROM ({shared}) p WHERE {same})")
+
+    parent("zones", "sites", {"site_code": "code"})
+    parent("plots", "sites", {"site_code": "code"})
+    parent("plots", "zones", {"site_code": "site_code", "zone_name": "name"})
+    parent("plants", "plots", {"site_code": "site_code", "zone_name": "zone_name", "plot_name": "name"})
+    parent("plants", "species", {"species_code": "code"})
+    parent("stems", "plants", {"plant_code": "code"}, unique=True)
+    parent("dataloggers", "datalogger_types", {"datalogger_type_code": "code"})
+    parent("datalogger_aliases", "dataloggers", {"datalogger_code": "code"})
+    parent("sensor_thermistor_pairs", "sensor_types", {"sensor_type_code": "code"})
+    parent("deployments", "projects", {"project_code": "code"})
+    parent("deployments", "plants", {"plant_code": "code"}, unique=True)
+    parent("deployments", "stems", {"plant_code": "plant_code", "stem_code": "code"})
+    parent("deployments", "dataloggers", {"datalogger_code": "code"})
+    parent("deployments", "sensor_types", {"sensor_type_code": "code"})
+    parent("parameter_overrides", "parameters", {"parameter_code": "code"})
+    parent("parameter_overrides", "sites", {"site_code": "code"}, optional=True)
+    parent("parameter_overrides", "species", {"species_code": "code"}, optional=True)
+    parent("parameter_overrides", "zones", {"zone_name": "name"}, optional=True, unique=True)
+    parent("parameter_overrides", "plots", {"plot_name": "name"}, optional=True, unique=True)
+    parent("parameter_overrides", "plants", {"plant_code": "code"}, optional=True, unique=True)
+    parent("parameter_overrides", "stems", {"plant_code": "plant_code", "stem_code": "code"}, optional=True)
+    for entity, columns in keys.items():
+        if entity not in ("datalogger_aliases", "deployments", "parameter_overrides"):
+            new = f"SELECT {', '.join(columns)} FROM m_{entity}"
+            held = f"SELECT {', '.join(columns)} FROM {everything(entity)} a GROUP BY {', '.join(columns)} HAVING count(*) > 1"
+            found.append(f"SELECT '{entity}', {key(columns)}, 'already exists' FROM ({held} INTERSECT {new}) x")
+    for entity in ("datalogger_aliases", "deployments"):
+        columns = ", ".join(keys[entity])
+        rows = f"SELECT {columns}, start_timestamp_utc AS s, end_timestamp_utc AS e FROM m_{entity}"
+        if entity == "deployments":
+            rows += f" UNION ALL SELECT {columns}, start_timestamp_utc, end_timestamp_utc FROM old_deployments"
+        reach = (
+            f"SELECT *, max(coalesce(e, TIMESTAMP '9999-12-31')) OVER (PARTITION BY {columns} ORDER BY s, coalesce(e, TIMESTAMP '9999-12-31')"
+            f" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM ({rows}) r"
+        )
+        found.append(f"SELECT '{entity}', {key(keys[entity])}, 'overlaps or touches' FROM ({reach}) x WHERE reach >= s")
+        fault(entity, "end not after start", "end_timestamp_utc <= start_timestamp_utc")
+    fault("projects", "empty code", "code = ''")
+    fault("datalogger_aliases", "empty alias", "alias = ''")
+    fault("sites", "invalid timezone", "timezone IS NULL OR timezone = 'Mars/Base'")
+    fault("sites", "boundary is not a Polygon", "boundary IS NOT NULL")
+    fault("deployments", "invalid SDI-12 address", "sdi_address = '12'")
+    fault("parameter_overrides", "stem without plant", "stem_code IS NOT NULL AND plant_code IS NULL")
+    return "SELECT entity, key, violation, count(*) AS n FROM (" + " UNION ALL ".join(found) + ") v GROUP BY entity, key, violation"
+
+
+MANIFEST_SQL = _manifest_sql()

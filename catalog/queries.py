@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -30,6 +31,7 @@ from xylemflow.operators import (
 )
 from xylemflow.plans import ingest, processing, transaction
 from xylemflow.schema import CONTEXT_COLUMNS, PARAMETERS
+from xylemflow.session import checkpoint_dir
 from xylemflow.sources import rawfiles, tables, toa5
 
 NOW = datetime(2024, 1, 28)
@@ -686,9 +688,7 @@ def _run_report(t: Tables) -> DataFrame:
     context = run_context(t)
     result = processing.run_batch(t["obs"], context, NOW, matched_only=True)
     finished = tables.stage(result.observations, "run-report")
-    report = transaction.run_summary(
-        finished, result.skipped_chunks, processing.unmatched_rows(t["obs"], context)
-    )
+    report = transaction.run_summary(finished, result.skipped_chunks, result.excluded_rows(finished))
     return report.select(
         "total_rows", "suspect_rows", "good_rows", six("suspect_ratio"), "logger_count", "sensor_count",
         "excluded_rows_no_deployment", "skipped_chunk_count", "skipped_record_count",
@@ -890,6 +890,14 @@ def _metadata_summary(t: Tables) -> DataFrame:
     )
 
 
+@query("manifest_violations", P.MANIFEST_SQL)
+def _manifest_violations(t: Tables) -> DataFrame:
+    adds = {entity: t[f"m_{entity}"] for entity in manifest.ENTITIES}
+    existing = {"projects": t["old_projects"], "parameters": t["old_parameters"], "deployments": t["old_deployments"]}
+    found = manifest.validate_manifest(adds, existing)
+    return found.groupBy("entity", "key", "violation").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "manifest_ids",
     """SELECT a.code, a.plot_name, sha256(CONCAT('plants', chr(31), site_code, chr(31), zone_name, chr(31), plot_name,
@@ -1089,3 +1097,86 @@ PROFILED = ["logger_id", "record", "thermistor_depth", "quality", "deployment_id
 @query("column_profile", " UNION ALL ".join(_profile_sql(c) for c in PROFILED))
 def _column_profile(t: Tables) -> DataFrame:
     return profile.column_profile(t["fin"].select(*PROFILED))
+
+
+# --- Transactions -------------------------------------------------------------------------
+
+
+def _own_metadata(t: Tables) -> manifest.Frames:
+    """A manifest with all that the logger files of the test tables need."""
+    code = lambda text: t.sql(f"SELECT DISTINCT {text} AS code FROM tx_logger")
+    zoned = "CONCAT('S', CAST(n_regionkey AS STRING)) AS site_code"
+    plant = "CONCAT('P', CAST(n AS STRING)) AS plant_code"
+    return {
+        "projects": code("'PRJ'"),
+        "sites": t.sql("SELECT DISTINCT CONCAT('S', CAST(n_regionkey AS STRING)) AS code, 'UTC' AS timezone FROM tx_logger"),
+        "zones": t.sql(f"SELECT {zoned}, n_name AS name FROM tx_logger"),
+        "plots": t.sql(f"SELECT {zoned}, n_name AS zone_name, 'plot' AS name FROM tx_logger"),
+        "species": code("CONCAT('SP', CAST(n_regionkey AS STRING))"),
+        "plants": t.sql(
+            f"SELECT {zoned}, n_name AS zone_name, 'plot' AS plot_name, CONCAT('SP', CAST(n_regionkey AS STRING)) AS species_code,"
+            " CONCAT('P', CAST(n AS STRING)) AS code FROM tx_logger"
+        ),
+        "stems": t.sql(f"SELECT {plant}, 'ST' AS code FROM tx_logger"),
+        "datalogger_types": code("'CR300'"),
+        "dataloggers": t.sql("SELECT 'CR300' AS datalogger_type_code, code FROM tx_logger"),
+        "sensor_types": code("'probe'"),
+        "deployments": t.sql(
+            f"SELECT 'PRJ' AS project_code, {plant}, 'ST' AS stem_code, code AS datalogger_code, 'probe' AS sensor_type_code, '0' AS sdi_address,"
+            " TIMESTAMP_NTZ '2023-12-30 00:00:00' AS start_timestamp_utc FROM tx_logger WHERE n <> 7"
+        ),
+    }
+
+
+def _transaction(t: Tables, files: DataFrame) -> transaction.Store:
+    """A store of its own in the shared checkpoint folder, after one accepted run."""
+    store = transaction.Store(f"{checkpoint_dir(t.spark)}/store-{uuid.uuid4().hex}")
+    done = transaction.run_transaction(t.spark, files, None, store, NOW, manifest=_own_metadata(t), run_id="r")
+    if done.outcome != "ACCEPTED":
+        raise RuntimeError(f"the run was refused: {done.error}")
+    return store
+
+
+@query(
+    "transaction_outputs",
+    f"""SELECT x.logger_id, x.thermistor_depth, CONCAT('S', CAST(l.n_regionkey AS VARCHAR)) AS site_code, l.n_name AS zone_name,
+          CONCAT('P', CAST(l.n AS VARCHAR)) AS plant_code, CONCAT('SP', CAST(l.n_regionkey AS VARCHAR)) AS species_code,
+          count(*) AS n_rows, min(x.timestamp) AS first_utc, max(x.timestamp) AS last_utc
+        FROM ({EXPECTED_SQL}) x JOIN tx_logger l ON l.code = x.logger_id WHERE l.n <> 7 GROUP BY 1, 2, 3, 4, 5, 6""",
+)
+def _transaction_outputs(t: Tables) -> DataFrame:
+    store = _transaction(t, toa5_files(t))
+    outputs = transaction.published_outputs(t.spark, store).where("is_latest")
+    latest = outputs.first().output_id
+    rows = tables.scan_observations(t.spark, store.output(latest))
+    return rows.groupBy("logger_id", "thermistor_depth", "site_code", "zone_name", "plant_code", "species_code").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("timestamp_utc").alias("first_utc"), F.max("timestamp_utc").alias("last_utc")
+    )
+
+
+@query(
+    "transaction_receipt",
+    f"""{BATCH_SQL.replace("path LIKE 'dl/2%'", "FALSE")}
+        SELECT path, status, CAST(attempts AS INTEGER) AS attempts, first_error_line FROM everything""",
+)
+def _transaction_receipt(t: Tables) -> DataFrame:
+    files, _ = _mixed_batch(t)
+    store = _transaction(t, files)
+    entries = receipts.receipt_files(transaction.stored_receipts(t.spark, store))
+    return entries.select("path", "status", F.size("parser_attempts").alias("attempts"), "first_error_line")
+
+
+@query(
+    "published_layout",
+    "SELECT count(*) AS n_rows, count(DISTINCT logger_id) AS n_loggers, CAST(0 AS BIGINT) AS out_of_order FROM fin",
+)
+def _published_layout(t: Tables) -> DataFrame:
+    path = f"{checkpoint_dir(t.spark)}/layout-{uuid.uuid4().hex}"
+    tables.write_observations(tables.stage(t["fin"], "layout"), path)
+    rows = t.spark.read.parquet(path).select("logger_id", "timestamp_utc", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    # Each row meets the one before it in its file by position, so no file is gathered in one task.
+    later = rows.select("file", (F.col("at") - 1).alias("at"), F.col("logger_id").alias("next_logger"), F.col("timestamp_utc").alias("next_utc"))
+    broken = rows.join(later, ["file", "at"]).where("logger_id > next_logger OR (logger_id = next_logger AND timestamp_utc > next_utc)")
+    return summaries.side_by_side(
+        rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("logger_id").alias("n_loggers")), broken.agg(F.count(F.lit(1)).alias("out_of_order"))
+    )

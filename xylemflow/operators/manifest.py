@@ -257,24 +257,112 @@ def scalar_faults(entity: str, adds: Frames) -> DataFrame | None:
     )
 
 
+def _lookups(entity: str) -> list[tuple[str, ...]]:
+    """The sets of columns by which other entities name a row of this one."""
+    return sorted({tuple(p.columns.values()) for spec in ENTITIES.values() for p in spec.parents if p.entity == entity})
+
+
+def _lookup_name(entity: str, columns: tuple[str, ...]) -> str:
+    return f"{entity}({', '.join(columns)})"
+
+
+def _joined(columns: tuple[str, ...]) -> Column:
+    """Several values as one text that keeps them apart; null if any is null."""
+    texts = [F.col(c).cast("string") for c in columns]
+    known = texts[0].isNotNull()
+    for text in texts[1:]:
+        known &= text.isNotNull()
+    return F.when(known, F.to_json(F.array(*texts)))
+
+
+def _nodes(entity: str, rows: DataFrame, new: bool) -> DataFrame:
+    """``lookup, name, identity, label, is_new``: a row under its own key and each name it goes by."""
+    spec = ENTITIES.get(entity)
+    key = spec.key if spec else ("code",)
+    identity = F.to_json(F.array(*[F.col(c).cast("string") for c in key]), {"ignoreNullFields": "false"})
+    names = [(_lookup_name(entity, columns), _joined(columns)) for columns in _lookups(entity)]
+    if spec and spec.unique:
+        names.append((entity, identity))
+    if not names:
+        return rows.select(*(F.lit(None).cast("string").alias(c) for c in ("lookup", "name", "identity", "label")), F.lit(new).alias("is_new")).limit(0)
+    listed = F.array(*[F.struct(F.lit(lookup).alias("lookup"), name.alias("name")) for lookup, name in names])
+    return rows.select(F.inline(listed), identity.alias("identity"), _key(key).alias("label"), F.lit(new).alias("is_new"))
+
+
+def _references(entity: str, rows: DataFrame) -> DataFrame | None:
+    """``entity, key, lookup, name, parent, must_be_unique``: an edge per row and parent it names."""
+    parents = ENTITIES[entity].parents
+    if not parents:
+        return None
+    edges = [
+        F.when(
+            F.col(list(parent.columns)[-1]).isNotNull() | F.lit(not parent.optional),
+            F.struct(
+                F.lit(_lookup_name(parent.entity, tuple(parent.columns.values()))).alias("lookup"),
+                _joined(tuple(parent.columns)).alias("name"),
+                F.lit(parent.entity).alias("parent"),
+                F.lit(parent.must_be_unique).alias("must_be_unique"),
+            ),
+        )
+        for parent in parents
+    ]
+    return rows.select(
+        F.lit(entity).alias("entity"), _key(ENTITIES[entity].key).alias("key"), F.inline(F.filter(F.array(*edges), lambda e: e.isNotNull()))
+    )
+
+
+def key_violations(adds: Frames, existing: Frames) -> DataFrame:
+    """Parents that are missing or ambiguous and keys that exist, of all entities together.
+
+    All rows go into one frame of names and all references into one frame of edges; one aggregate
+    counts what goes by a name and one join brings the edges to it.
+    """
+    nodes = [_nodes(e, frames[e], new) for frames, new in ((existing, False), (adds, True)) for e in frames]
+    held = _union(nodes).where(F.col("name").isNotNull()).groupBy("lookup", "name").agg(
+        F.count(F.lit(1)).alias("n"), F.max("is_new").alias("is_new"), F.min("label").alias("label"),
+        (F.min("identity") != F.max("identity")).alias("shared"),
+    )
+    again = held.where("n > 1 AND is_new").where(F.col("lookup").isin(*[e for e, spec in ENTITIES.items() if spec.unique]))
+    repeated = again.select(F.col("lookup").alias("entity"), F.col("label").alias("key"), F.lit("already exists").alias("violation"))
+    edges = _union([e for e in (_references(entity, adds[entity]) for entity in adds) if e is not None])
+    if edges is None:
+        return repeated
+    met = edges.join(held.select("lookup", "name", "shared"), ["lookup", "name"], "left")
+    fault = F.when(F.col("shared").isNull(), F.concat(F.lit("missing "), F.col("parent"))).when(
+        F.col("must_be_unique") & F.col("shared"), F.concat(F.lit("ambiguous "), F.col("parent"))
+    )
+    return met.select("entity", "key", fault.alias("violation")).where(F.col("violation").isNotNull()).unionByName(repeated)
+
+
+def period_violations(adds: Frames, existing: Frames) -> DataFrame | None:
+    """Periods of a key that overlap or touch, of all entities that have some, in one ordered pass."""
+    periods = []
+    for entity in adds:
+        key = ENTITIES[entity].interval_key
+        if key:
+            everything = universe(entity, adds, existing, [*key, "start_timestamp_utc", "end_timestamp_utc"])
+            identity = F.to_json(F.array(*[F.col(c).cast("string") for c in key]))
+            periods.append(
+                everything.select(
+                    F.lit(entity).alias("entity"), _key(ENTITIES[entity].key).alias("key"), identity.alias("_identity"),
+                    "start_timestamp_utc", "end_timestamp_utc",
+                )
+            )
+    if not periods:
+        return None
+    found = overlapping_intervals(_union(periods), ["entity", "_identity"])
+    return found.select("entity", "key", F.lit("overlaps or touches").alias("violation"))
+
+
 def validate_manifest(adds: Frames, existing: Frames) -> DataFrame:
-    """All violations of a manifest."""
-    found = []
-    for entity in ENTITIES:
-        if entity not in adds:
-            continue
-        found += [
-            scalar_faults(entity, adds),
-            missing_parents(entity, adds, existing),
-            ambiguous_names(entity, adds, existing),
-            duplicates(entity, adds, existing),
-            interval_conflicts(entity, adds, existing),
-        ]
-    result = _union([f for f in found if f is not None])
-    if result is None:
+    """All violations of a manifest: one plan for all entities, however many it has."""
+    adds = {entity: adds[entity] for entity in ENTITIES if entity in adds}
+    if not adds:
         frame = next(iter(existing.values()))
         return frame.sparkSession.createDataFrame([], VIOLATION_SCHEMA)
-    return result
+    found = [scalar_faults(entity, adds) for entity in adds]
+    found += [key_violations(adds, existing), period_violations(adds, existing)]
+    return _union([f for f in found if f is not None])
 
 
 def metadata_summary(adds: Frames) -> DataFrame:

@@ -13,6 +13,14 @@ TOP_OVERRIDES = 3
 SOURCE_PREFIX = "parameter_source_"
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row frames as one row; they meet on a constant key."""
+    joined = rows[0].withColumn("_one", F.lit(1))
+    for row in rows[1:]:
+        joined = joined.join(row.withColumn("_one", F.lit(1)), "_one")
+    return joined.drop("_one")
+
+
 def split_by_deployment(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with a deployment, one-row count of the others)."""
     kept = df.where(F.col("deployment_id").isNotNull())

@@ -22,6 +22,7 @@ from xylemflow.functions.times import (
 NO_ACTIVE_DEPLOYMENT = "no_active_deployment"
 SIGNATURE_SEPARATOR = "+"
 PREVIOUS_UTC = "_previous_utc"
+ROWS = "_rows"
 
 
 class CorrectedTime(NamedTuple):
@@ -36,7 +37,8 @@ def _required(name: str) -> Column:
 def record_map(observations: DataFrame, with_head: bool = False) -> DataFrame:
     """One row per (logger, record): earliest timestamp and the sorted set of its files.
 
-    A plain aggregate, so copies of a hot record are combined before the shuffle.
+    A plain aggregate, so copies of a hot record are combined before the shuffle. ``with_head``
+    also keeps the first row's rank and the number of rows.
     """
     keyed = observations.select(
         _required("logger_id").alias("logger_id"),
@@ -51,7 +53,7 @@ def record_map(observations: DataFrame, with_head: bool = False) -> DataFrame:
         F.array_join(files, SIGNATURE_SEPARATOR).alias("file_set_signature"),
     ]
     if with_head:
-        measures.append(F.min(row_rank()).alias("_head"))
+        measures += [F.min(row_rank()).alias("_head"), F.count(F.lit(1)).alias(ROWS)]
     # The number comes first: sorts compare it by prefix before they look at the text.
     return keyed.groupBy("record", "logger_id").agg(*measures)
 
@@ -175,6 +177,13 @@ def utc_records(records: DataFrame, offsets: DataFrame) -> DataFrame:
     )
 
 
+def timed_rows(records: DataFrame, offsets: DataFrame) -> DataFrame:
+    """One row: how many observations have a UTC time, summed over the thin record map."""
+    counted = records.groupBy("logger_id", "file_set_signature").agg(F.sum(ROWS).alias(ROWS))
+    known = offsets.where(F.col("utc_offset_seconds").isNotNull()).select("logger_id", "file_set_signature")
+    return counted.join(known, ["logger_id", "file_set_signature"]).agg(F.coalesce(F.sum(ROWS), F.lit(0)).alias("timed_rows"))
+
+
 def correct_timestamps(
     observations: DataFrame,
     sites: DataFrame,
@@ -200,7 +209,7 @@ def attach_utc(
     observations: DataFrame, records: DataFrame, offsets: DataFrame, with_previous: bool = False
 ) -> DataFrame:
     """Join the observations to the UTC time and signature of their record."""
-    known = utc_records(records, offsets).drop("timestamp")
+    known = utc_records(records, offsets).drop("timestamp", ROWS)
     if with_previous:
         known = previous_value(
             known, ["logger_id"], F.col("record"), ["record"], "timestamp_utc", PREVIOUS_UTC

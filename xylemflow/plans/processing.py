@@ -20,6 +20,7 @@ from xylemflow.operators.enrich import (
 )
 from xylemflow.operators.parameters import parameter_columns, resolve_scopes
 from xylemflow.operators.quality import apply_quality_filters
+from xylemflow.operators.summaries import side_by_side
 from xylemflow.operators.timestamps import (
     PREVIOUS_UTC,
     attach_utc,
@@ -28,6 +29,7 @@ from xylemflow.operators.timestamps import (
     local_deployments,
     record_map,
     skipped_chunks,
+    timed_rows,
 )
 from xylemflow.schema import (
     CALCULATED_COLUMNS,
@@ -75,6 +77,13 @@ class Context:
             **optional,
         )
 
+    def staged(self) -> Context:
+        """The same metadata, written to the checkpoint folder and read back."""
+        optional = {
+            name: None if frame is None else stage(frame, name) for name, frame in (("overrides", self.overrides), ("aliases", self.aliases))
+        }
+        return Context(stage(self.sites, "sites"), stage(self.deployments, "deployments"), definitions=self.definitions, **optional)
+
     def hold(self, df: DataFrame) -> DataFrame:
         cached = measured(df)
         self._held.append(cached)
@@ -89,6 +98,16 @@ class Context:
 class BatchResult(NamedTuple):
     observations: DataFrame
     skipped_chunks: DataFrame
+    timed_rows: DataFrame
+
+    def excluded_rows(self, finished: DataFrame) -> DataFrame:
+        """One row: the rows with a time but no deployment, given the written ``matched_only`` result.
+
+        Each timed row of a valid run is in at most one deployment, so this is a difference of two
+        counts and needs no second pass over the observations.
+        """
+        kept = finished.agg(F.count(F.lit(1)).alias("_kept"))
+        return side_by_side(self.timed_rows, kept).select((F.col("timed_rows") - F.col("_kept")).alias("excluded_rows_no_deployment"))
 
 
 NO_DEPLOYMENT = ""
@@ -164,7 +183,7 @@ def run_batch(
     dimension = resolved_deployments(context)
     if not context.definitions:
         finished = matched.join(dimension, "_deployment").drop("_deployment", PREVIOUS_UTC)
-        return BatchResult(finished, skipped_chunks(offsets))
+        return BatchResult(finished, skipped_chunks(offsets), timed_rows(records, offsets))
     # Numbers first, so that the formulas run over narrow rows; then the descriptive columns.
     used = [p.code for p in context.definitions] + BOUNDS
     described = [c for c in dimension.columns if c not in used]
@@ -174,7 +193,7 @@ def run_batch(
         *timed_columns(timed), *dimension.drop("_deployment").columns, *CALCULATED_COLUMNS,
         "quality", "quality_explanation",
     )
-    return BatchResult(finished, skipped_chunks(offsets))
+    return BatchResult(finished, skipped_chunks(offsets), timed_rows(records, offsets))
 
 
 def unmatched_rows(observations: DataFrame, context: Context) -> DataFrame:

@@ -68,9 +68,9 @@ def write_observations(
     writer.parquet(path)
 
 
-def write_sidecar(summary: DataFrame, path: str) -> None:
+def write_sidecar(summary: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The one-row run summary as JSON."""
-    summary.coalesce(1).write.mode("errorifexists").json(path)
+    summary.coalesce(1).write.mode(mode).json(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
