@@ -8,6 +8,7 @@ text of any length.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WINDOW = 1 << 20
+#: Bytes of the longest word that the polynomial hashes.
+LONG_WORD = 64
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -85,7 +88,12 @@ def _words_of_window(b: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray,
     ends = np.flatnonzero(~space & after) + 1
     total = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(_WORD_BYTE[b] * power[: len(b)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)), starts
+    hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    # Different long words can be made to agree modulo 2**64, so those are hashed by a digest.
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        digest = hashlib.blake2b(b[starts[i] : ends[i]].tobytes().lower(), digest_size=8).digest()
+        hashes[i] = np.frombuffer(digest, np.uint64)[0]
+    return hashes, starts
 
 
 def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

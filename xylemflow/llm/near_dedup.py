@@ -7,13 +7,22 @@ similarity is at least 0.8. The join is complete:
 2. The number of classes that hold each shingle gives a global order, rarest first. Linked sets
    share a shingle in their prefixes of ``n - ceil(0.8 n) + 1`` shingles. Shingles of one class
    only are at the front, so a class whose prefix holds nothing else has no link and is done.
-3. Answers are first derived through highly similar sets: each set is compared with the set it
-   shares most index lists with, and what that joins is one component from then on. Within a
-   component no pairs are formed.
-4. The index lists of the remaining prefix shingles are cut into blocks of sets of like size,
-   ordered by position. A probe skips a whole block when its smallest position and size already
+3. Each class is compared with its leader: of the sets it meets in the index lists the one that
+   has the fewest shingles of its own, which is the common origin where there is one. Classes that
+   share at least half of the smaller set with their leader are one group.
+4. The answers of a group's members are derived from their leader's. With ``d`` shingles of the
+   leader missing and ``s`` shared ones besides it, two members have at most
+   ``n_leader - max(d, d') + min(s, s')`` shingles in common. Members linked to the leader are one
+   component; another member is *open* only if this bound still admits a partner in its group.
+   The others are done without a pair being formed, however large the group is.
+5. The index lists of the remaining prefix shingles are cut into blocks of sets of one group, of
+   like size and position. A probe skips a whole block when its position, size or group already
    rule out the needed overlap; pairs of different components in the other blocks are compared.
 
+Shingles count as equal by 64-bit hashes; words above 64 bytes go into them by a digest. Linked sets
+are told apart from others by counts of equal hashes, so a chance agreement of two different
+shingles (below 1e-6 for 10^7 distinct ones) could shift a count by one.
+
 Defined results: null or blank texts have an empty set, link with nothing and form their own
 component; repeated rows with one ``doc_id`` have equal components; a null ``doc_id`` ranks last,
 and is a component's id only if all its ids are null. Extra columns play no part.
@@ -27,17 +36,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from xylemflow.llm import postings as P
 from xylemflow.llm.components import connected_components
 from xylemflow.llm.hashing import binary_values, row_slices, set_keys, shingle_sets, text_bytes
-from xylemflow.llm.staging import Staging
+from xylemflow.llm.staging import Staging, unique_names
 
 WIDTH, PERCENT = 5, 80
 #: Members of one block of an index list.
 BLOCK = 64
-LEADER_ROUNDS = 2
+#: The share of the smaller set, in percent, that a class has in common with the leader of its group.
+GROUP_PERCENT = 50
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -50,9 +59,11 @@ def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, int, list[np.ndar
 def _set_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, keys = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-        for low, high, sets in _sets(batch.column(1), width):
+        for low, high, sets in _sets(batch.column(2), width):
             sizes[low:high], keys[low:high] = [len(s) for s in sets], set_keys(sets)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(keys)], names=["doc_id", "n_shingles", "set_key"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(sizes), pa.array(keys)], names=["row_nr", "doc_id", "n_shingles", "set_key"]
+        )
 
 
 def _sampled_hashes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -128,60 +139,84 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             np.int64,
         )
         ok = pa.array(100 * common >= percent * (sizes[0] + sizes[1] - common)) if len(common) else pa.array([], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), ok], names=["a", "b", "linked"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(common), ok], names=["a", "b", "common", "linked"])
 
 
 def _verified(pairs: DataFrame, index: DataFrame, percent: int) -> DataFrame:
-    """``a, b, linked`` for distinct pairs of classes; a class's shingles are sent once per pair."""
+    """``a, b, common, linked`` for distinct pairs of classes; a class's shingles are sent once per pair."""
     side = lambda name: index.select(F.col("set_key").alias(name), F.col("n").alias(f"n_{name}"), F.col("tokens").alias(f"tokens_{name}"))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "n_a", "tokens_a", "b", "n_b", "tokens_b").mapInArrow(P.mapper(_linked, percent), "a long, b long, linked boolean")
-
-
-def _mixed_lists(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Index entries with their component, of lists that hold more than one component."""
-    if labels is None:
-        known = entries.withColumn("component", F.col("set_key"))
-    else:
-        known = entries.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn(
-            "component", F.coalesce("component", "set_key")
-        )
-    mixed = known.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high")
-    return known.join(mixed.select("token"), "token", "left_semi")
+    return both.select("a", "n_a", "tokens_a", "b", "n_b", "tokens_b").mapInArrow(P.mapper(_linked, percent), "a long, b long, common long, linked boolean")
 
 
-def _leader_pairs(lists: DataFrame, seed: int) -> DataFrame:
-    """Each class with the list leader it meets in most of its lists."""
-    rank = F.struct(F.xxhash64("component", F.lit(seed)).alias("r"), F.col("set_key").alias("k"), F.col("component").alias("c"))
-    leaders = lists.groupBy("token").agg(F.min(rank).alias("_leader"))
+def _leader_pairs(entries: DataFrame) -> DataFrame:
+    """``a, b``: each class with the leader it meets in most of its lists."""
+    leaders = entries.groupBy("token").agg(F.min(F.struct("alone", F.xxhash64("set_key").alias("h"), F.col("set_key").alias("k"))).alias("_leader"))
     votes = (
-        lists.join(leaders, "token")
-        .where(F.col("component") != F.col("_leader.c"))
-        .groupBy("set_key", F.col("_leader.k").alias("leader"))
-        .agg(F.count(F.lit(1)).alias("votes"))
+        entries.join(leaders, "token").where(F.col("set_key") != F.col("_leader.k"))
+        .groupBy("set_key", F.col("_leader.k").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
     )
-    best = votes.groupBy("set_key").agg(F.max_by("leader", F.struct("votes", "leader")).alias("leader"))
-    return best.select(F.greatest("set_key", "leader").alias("a"), F.least("set_key", "leader").alias("b")).distinct()
+    return votes.groupBy("set_key").agg(F.max_by("leader", F.struct("votes", "leader")).alias("b")).select(F.col("set_key").alias("a"), "b")
+
 
+def _grouped(index: DataFrame, met: DataFrame, percent: int) -> DataFrame:
+    """``set_key, grp, open`` of the classes whose group is known: of leaders and of their members.
 
-def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes of different components that pass the size and position filters."""
-    sized = lists.withColumn("level", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int"))
-    in_list = Window.partitionBy("token", "level").orderBy("position", "n", "set_key")
+    A class that leads and has a leader itself stays with its own group. A member is open if it is
+    not linked to its leader and some other member could still be linked to it.
+    """
+    sizes = index.select("set_key", "n", F.col("first").alias("alone"))
+    close = (
+        met.join(sizes.select(F.col("set_key").alias("a"), "n", "alone"), "a")
+        .join(sizes.select(F.col("set_key").alias("b"), F.col("n").alias("n_leader")), "b")
+        .where(F.col("common") * 100 >= GROUP_PERCENT * F.least("n", "n_leader"))
+    )
+    leaders = close.select(F.col("b").alias("set_key")).distinct()
+    members = close.join(leaders, F.col("a") == F.col("set_key"), "left_anti").select(
+        F.col("a").alias("set_key"), F.col("b").alias("grp"), "linked", "n", "n_leader",
+        (F.col("n_leader") - F.col("common")).alias("missing"), (F.col("n") - F.col("alone") - F.col("common")).alias("besides"),
+    )
+    bounds = members.groupBy("grp").agg(F.max("besides").alias("most_besides"), F.min("n").alias("least_n"))
+    # A smaller partner misses at least what it is smaller by, so its size need not be below that.
+    partner = F.greatest(F.col("least_n"), F.col("n_leader") - F.col("missing"))
+    reach = F.col("n_leader") - F.col("missing") + F.least("besides", "most_besides")
+    admits = (100 + percent) * reach >= percent * (F.col("n") + F.least(partner, F.col("n")))
+    told = members.join(bounds, "grp").select("set_key", "grp", (~F.col("linked") & admits).alias("open"))
+    return told.unionByName(leaders.select("set_key", F.col("set_key").alias("grp"), F.lit(False).alias("open")))
+
+
+def _block_pairs(entries: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """All pairs of classes of different components that pass the group, size and position filters."""
+    known = (
+        entries.join(groups, "set_key", "left").join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
+        .withColumns({"grp": F.coalesce("grp", "set_key"), "open": F.coalesce("open", F.lit(False)), "component": F.coalesce("component", "set_key")})
+    )
+    # Lists of one component, and those of one group without an open member, can bring no new pair.
+    mixed = known.groupBy("token").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.min("grp").alias("_first"), F.max("grp").alias("_last"), F.max("open").alias("_open")
+    ).where("_low < _high AND (_first < _last OR _open)")
+    sized = known.join(mixed.select("token"), "token", "left_semi").withColumns(
+        {
+            "level": F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int"),
+            "depth": F.floor(F.log2(F.col("position") + 1.0)).cast("int"),
+        }
+    )
+    cell = ["token", "level", "depth", "grp", "open"]
+    counts = sized.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
     member = F.struct("set_key", "n", "position", "component")
     blocks = (
-        sized.withColumn("block", F.floor((F.row_number().over(in_list) - 1) / BLOCK))
-        .groupBy("token", "level", "block")
+        sized.join(counts, cell).withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("_blocks")))
+        .groupBy(*cell, "block")
         .agg(F.min("position").alias("low_position"), F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.collect_list(member).alias("members"))
     )
     # Floating-point levels may be off by one at a border, so a probe looks one level further down.
     probes = sized.select(
-        F.col("token"), F.explode(F.sequence(F.col("level") - 2, F.col("level"))).alias("level"),
+        F.col("token"), F.explode(F.sequence(F.col("level") - 2, F.col("level"))).alias("level"), F.col("grp").alias("grp_b"), F.col("open").alias("open_b"),
         F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("position").alias("position_b"), F.col("component").alias("component_b"),
     )
     needed = lambda n: f"{percent} * (n_b + {n}) <= {100 + percent} * (1 + least(n_b - position_b, {n} - position) - 1)"
     reachable = (
-        f"100 * high_n >= {percent} * n_b AND low_n <= n_b"
+        f"(grp <> grp_b OR open OR open_b) AND 100 * high_n >= {percent} * n_b AND low_n <= n_b"
         f" AND {percent} * (n_b + low_n) <= {100 + percent} * least(n_b - position_b, high_n - low_position)"
     )
     hits = probes.join(blocks, ["token", "level"]).where(reachable)
@@ -191,16 +226,13 @@ def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.greatest("b", "set_key").alias("a"), F.least("b", "set_key").alias("b")).distinct()
 
 
-def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
+def _components(docs: DataFrame, staging: Staging, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``row_nr, doc_id, n_shingles, set_key`` of every row, and ``set_key, n_shingles, component``."""
     spark = docs.sparkSession
-    staging = Staging(spark, "near-dedup")
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select(F.monotonically_increasing_id().alias("row_nr"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = source.select("text")
-    thin = staging.table(source.mapInArrow(P.mapper(_set_rows, width), "doc_id long, n_shingles long, set_key long"), "sets")
-    classes = staging.table(
-        thin.where("n_shingles > 0").groupBy("set_key", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("least_id")), "classes"
-    )
+    thin = staging.table(source.mapInArrow(P.mapper(_set_rows, width), "row_nr long, doc_id long, n_shingles long, set_key long"), "sets")
+    classes = staging.table(thin.where("n_shingles > 0").select("set_key", F.col("n_shingles").alias("n")).distinct(), "classes")
     postings = thin.agg(F.sum("n_shingles")).first()[0] or 0
     parts = P.range_count(postings, int(spark.conf.get("spark.sql.shuffle.partitions")))
     frequent = P.frequent_hashes(P.bounded_sample(source, P.SAMPLE_DOCUMENTS).select("text").mapInArrow(P.mapper(_sampled_hashes, width), "hash long"))
@@ -214,30 +246,42 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         "index",
     )
     staging.drop(returned)
-    entries = staging.table(index.mapInArrow(_prefixes, "token long, set_key long, n long, position long"), "entries")
-
-    checked = None
-    labels = None
-    for seed in range(LEADER_ROUNDS + 1):
-        lists = _mixed_lists(entries, labels)
-        pairs = _leader_pairs(lists, seed) if seed < LEADER_ROUNDS else _block_pairs(lists, percent)
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        found = staging.table(_verified(staging.table(pairs, "pairs"), index, percent), "verified")
-        checked = found if checked is None else checked.unionByName(found)
-        labels = connected_components(checked.where("linked").select("a", "b"), staging)
-
-    named = classes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn(
-        "component", F.coalesce("component", "set_key")
+    sizes = index.select("set_key", F.col("first").alias("alone"))
+    entries = staging.table(index.mapInArrow(_prefixes, "token long, set_key long, n long, position long").join(sizes, "set_key"), "entries")
+
+    led = staging.table(_verified(staging.table(_leader_pairs(entries), "leader-pairs"), index, percent), "led")
+    labels = connected_components(led.where("linked").select("a", "b"), staging)
+    groups = staging.table(_grouped(index, led, percent), "groups")
+    pairs = _block_pairs(entries, groups, labels, percent)
+    checked = led.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    others = staging.table(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+    linked = staging.table(_verified(others, index, percent).where("linked").select("a", "b"), "linked")
+    labels = connected_components(led.where("linked").select("a", "b").unionByName(linked), staging)
+    return thin, classes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").select(
+        "set_key", F.col("n").alias("n_shingles"), F.coalesce("component", "set_key").alias("component")
     )
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = staging.table(named.join(least, "component").select("set_key", "n", "component_id"), "class-components")
-    return thin.join(of_class.withColumnRenamed("n", "n_shingles"), ["set_key", "n_shingles"], "left").select(
+
+
+def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
+    staging = Staging(docs.sparkSession, "near-dedup")
+    thin, named = _components(docs, staging, width, percent)
+    of_class = thin.where("n_shingles > 0").groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("least_id"))
+    found = staging.table(named.join(of_class, ["set_key", "n_shingles"]), "class-components")
+    least = found.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    results = staging.table(found.join(least, "component").select("set_key", "n_shingles", "component_id"), "class-results")
+    return thin.join(results, ["set_key", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document, that of the smallest id, of each component; ids are unique."""
-    kept = near_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """``docs`` with one row of each component: that of the smallest id, the first one of equal ids."""
+    (number,) = unique_names(docs.columns, "_near_row")
+    staging = Staging(docs.sparkSession, "near-copies")
+    thin, named = _components(docs, staging, WIDTH, PERCENT)
+    order = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("i"), F.col("row_nr").alias("r"))
+    of_class = thin.where("n_shingles > 0").groupBy("set_key", "n_shingles").agg(F.min(order).alias("first"))
+    kept = named.join(of_class, ["set_key", "n_shingles"]).groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.r").alias(number))
+    kept = staging.table(kept.unionByName(thin.where("n_shingles = 0").select(F.col("row_nr").alias(number))), "kept")
+    return docs.withColumn(number, F.monotonically_increasing_id()).join(kept, number, "left_semi").select(*docs.columns)
