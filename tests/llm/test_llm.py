@@ -97,10 +97,10 @@ def brute_components(texts):
     return {i: (len(sets[i]), root(i)) for i in sets}
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_near_copies(spark, tmp_path, monkeypatch, rounds):
-    """Chains of edited texts with and without leader rounds: the block join alone is complete too."""
-    monkeypatch.setattr(near_dedup, "LEADER_ROUNDS", rounds)
+@pytest.mark.parametrize("share", [101, 50])
+def test_near_copies(spark, tmp_path, monkeypatch, share):
+    """Chains of edited texts with and without groups: the block join alone is complete too."""
+    monkeypatch.setattr(near_dedup, "GROUP_PERCENT", share)
     random = np.random.default_rng(1)
     texts = list(EDGES)
     for _ in range(6):
@@ -113,6 +113,54 @@ def test_near_copies(spark, tmp_path, monkeypatch, rounds):
     assert got == brute_components(texts)
 
 
+def test_large_group_of_near_copies(spark, tmp_path):
+    """Copies of a text and copies of its copies, at, above and below the limit, with shorter ones."""
+    random = np.random.default_rng(4)
+    base = [f"b{i}" for i in range(60)]
+
+    def edited(words, edits):
+        words = list(words)
+        for at in random.integers(0, len(words), edits):
+            words[at] = f"e{random.integers(0, 40)}"
+        return words
+
+    made = [base]
+    made += [edited(base, n) for n in random.integers(1, 6, 60)]
+    made += [edited(made[int(random.integers(1, 60))], n) for n in random.integers(0, 3, 60)]
+    made += [base[:n] for n in range(44, 60, 3)] + [base[6:], base[3:50] + ["tail"] * 3, ["head"] * 8 + base]
+    texts = [" ".join(words) for words in made]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_components(docs_of(spark, texts, tmp_path)).collect()}
+    assert got == brute_components(texts)
+
+
+def test_one_row_of_near_copies_stays(spark):
+    """Rows of one id, null ids and a column named like a helper."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, 7), (1, text + " end", 7), (4, text, 7), (None, text, 7), (None, "alone " * 3, 7), (5, None, 7), (5, "", 7), (1, "other " * 9, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _near_row int")
+    kept = [tuple(r) for r in near_dedup.drop_near_copies(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [rows[0], rows[4], rows[5], rows[6], rows[7]]))
+
+
+def test_long_words_that_agree_modulo_a_power_of_two(spark, tmp_path):
+    """Two different words of 1024 letters whose polynomial hashes agree are still different."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    texts = [one, other, one.upper()]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_components(docs_of(spark, texts, tmp_path)).collect()}
+    assert got == {0: 0, 3: 3, 6: 0}
+
+
+def test_substrings_of_rows_that_share_an_id(spark):
+    random = np.random.default_rng(8)
+    noise = lambda n: "".join(random.choice(list("abcdefgh "), n))
+    passage, other = noise(110), noise(200)
+    rows = [(1, passage), (5, noise(70) + passage), (5, other), (9, other[20:140]), (None, passage), (5, other[:90] + "!")]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    removed = {(r.doc_id, r.n_bytes): r.n_removed for r in got}
+    assert removed == {(1, 110): 0, (5, 180): 110, (5, 200): 0, (9, 120): 120, (None, 110): 0, (5, 91): 0}
+
+
 def test_substrings(spark, tmp_path):
     random = np.random.default_rng(2)
     passage = "".join(random.choice(list("abcdé "), 120))

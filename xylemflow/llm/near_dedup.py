@@ -73,12 +73,12 @@ def _sampled_hashes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[p
 
 
 def _packed(batches: Iterator[pa.RecordBatch], width: int, parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    def documents() -> Iterator[tuple[int, np.ndarray, None]]:
+    def documents() -> Iterator[tuple[int, np.ndarray, None, None]]:
         for batch in batches:
             for _, _, sets in _sets(batch.column(0), width):
                 for key, s in zip(set_keys(sets).tolist(), sets):
                     if len(s):
-                        yield key, s, None
+                        yield key, s, None, None
 
     return P.pack(documents(), parts, frequent)
 
@@ -235,9 +235,9 @@ def _components(docs: DataFrame, staging: Staging, width: int, percent: int) ->
     classes = staging.table(thin.where("n_shingles > 0").select("set_key", F.col("n_shingles").alias("n")).distinct(), "classes")
     postings = thin.agg(F.sum("n_shingles")).first()[0] or 0
     parts = P.range_count(postings, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    frequent = P.frequent_hashes(P.bounded_sample(source, P.SAMPLE_DOCUMENTS).select("text").mapInArrow(P.mapper(_sampled_hashes, width), "hash long"))
+    frequent = P.frequent_hashes(P.sampled_texts(texts, P.SAMPLE_DOCUMENTS).mapInArrow(P.mapper(_sampled_hashes, width), "hash long"))
     packed = texts.mapInArrow(P.mapper(_packed, width, parts, frequent), P.PACKED)
-    returned = staging.table(P.shared_hashes(packed, parts), "shared")
+    returned = staging.table(P.shared_hashes(packed, P.bucket_count(postings)), "shared")
     index = staging.table(
         P.by_document(returned)
         .join(classes.select(F.col("set_key").alias("doc_key"), "n"), "doc_key")

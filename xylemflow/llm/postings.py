@@ -21,9 +21,9 @@ from xylemflow.llm.hashing import binary_column, binary_values, mix
 #: Postings that one range holds on average, and those that a task packs together.
 RANGE_POSTINGS, PACK_POSTINGS = 1 << 20, 1 << 21
 
-PACKED = "part int, doc_keys binary, counts binary, hashes binary, positions binary"
+PACKED = "part int, doc_keys binary, ranks binary, counts binary, hashes binary, positions binary"
 #: What a range sends back: one row per bucket of documents, with the values of many of them.
-RETURNED = "bucket int, doc_keys binary, counts binary, hashes binary, weights binary"
+RETURNED = "bucket int, doc_keys binary, ranks binary, counts binary, hashes binary, weights binary"
 BY_DOCUMENT = "doc_key long, hashes binary, weights binary"
 #: The bits of a hash that coarse postings keep, in six bytes.
 COARSE = np.uint64(0xFFFFFFFFFFFF0000)
@@ -33,6 +33,15 @@ def range_count(postings: int, least: int = 1) -> int:
     return max(least, -(-postings // RANGE_POSTINGS), 1)
 
 
+def bucket_count(postings: int) -> int:
+    """Buckets of documents that ranges answer to.
+
+    They follow the data alone, not the number of partitions: a range's answer then fills rows of
+    hundreds of values for as long as there are no more ranges than that, however many tasks run.
+    """
+    return max(1, -(-postings // (RANGE_POSTINGS // 2)))
+
+
 #: Documents of the sample that looks for frequent hashes, and in how many of them such a hash is.
 SAMPLE_DOCUMENTS, SAMPLE_HITS = 2048, 16
 #: Document keys that a task remembers, to pack copies once.
@@ -47,6 +56,21 @@ def bounded_sample(docs: DataFrame, rows: int, salt: int = 0) -> DataFrame:
     return docs.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
+#: Bytes of text that a sample of rows holds on average, whatever the length of texts.
+SAMPLE_BYTES = 1 << 27
+
+
+def sampled_texts(docs: DataFrame, rows: int) -> DataFrame:
+    """``text`` of about ``rows`` rows with at most about :data:`SAMPLE_BYTES`, chosen row by row.
+
+    Rows of one id, or without any, are chosen one by one, by text and place in the table.
+    """
+    total = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()
+    share = min(1.0, rows / max(1, total.n), SAMPLE_BYTES / max(1, total.b))
+    draw = F.xxhash64("text", F.monotonically_increasing_id())
+    return docs.where(F.pmod(draw, F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
+
+
 def frequent_hashes(sampled: DataFrame) -> np.ndarray:
     """Sorted hashes that at least :data:`SAMPLE_HITS` documents of a sample have.
 
@@ -68,14 +92,14 @@ def _coarse_column(hashes: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def pack(
-    documents: Iterator[tuple[int, np.ndarray, np.ndarray | None]], parts: int, frequent: np.ndarray, coarse: bool = False
+    documents: Iterator[tuple[int, np.ndarray, np.ndarray | None, int | None]], parts: int, frequent: np.ndarray, coarse: bool = False
 ) -> Iterator[pa.RecordBatch]:
-    """``(document key, hashes, their positions or None)`` to rows of :data:`PACKED`.
+    """``(document key, hashes, their positions or None, rank or None)`` to rows of :data:`PACKED`.
 
     Frequent hashes get negative ranges, by a mixture of hash and document. Of documents with
     equal keys a task packs the first. Coarse postings drop the low bits of the hashes.
     """
-    keys, sets, places, size, seen = [], [], [], 0, set()
+    keys, sets, places, ranks, size, seen = [], [], [], [], 0, set()
 
     def flush() -> pa.RecordBatch:
         lengths = np.array([len(s) for s in sets], np.int64)
@@ -98,14 +122,15 @@ def pack(
             [
                 pa.array(run_part[runs].astype(np.int32)),
                 binary_column(np.array(keys, np.int64)[owner[cuts]], run_bounds),
+                binary_column(np.array(ranks, np.int64)[owner[cuts]] if ranks else np.zeros(0, np.int64), run_bounds if ranks else np.zeros(len(runs) + 1, np.int64)),
                 binary_column(counts, run_bounds),
                 _coarse_column(hashes, np.append(cuts[runs], len(hashes))) if coarse else binary_column(hashes, np.append(cuts[runs], len(hashes))),
                 binary_column(positions, np.append(cuts[runs], len(hashes)) if places else np.zeros(len(runs) + 1, np.int64)),
             ],
-            names=["part", "doc_keys", "counts", "hashes", "positions"],
+            names=["part", "doc_keys", "ranks", "counts", "hashes", "positions"],
         )
 
-    for key, hashes, where in documents:
+    for key, hashes, where, rank in documents:
         if key in seen:
             continue
         if len(seen) >= REMEMBERED_KEYS:
@@ -115,18 +140,20 @@ def pack(
             piece = hashes[low : low + PACK_POSTINGS]
             keys.append(key)
             sets.append(piece)
+            if rank is not None:
+                ranks.append(rank)
             if where is not None:
                 places.append(where[low : low + PACK_POSTINGS])
             size += len(piece)
             if size >= PACK_POSTINGS:
                 yield flush()
-                keys, sets, places, size = [], [], [], 0
+                keys, sets, places, ranks, size = [], [], [], [], 0
     if sets:
         yield flush()
 
 
-def _unpacked(table: pa.Table, coarse: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, document keys and positions of a range's postings, sorted by hash, then key."""
+def _unpacked(table: pa.Table, coarse: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, document keys, ranks and positions of a range's postings, sorted by hash, then rank or key."""
     if coarse:
         short, _ = binary_values(table["hashes"], np.uint16)
         wide = np.zeros((len(short) // 3, 4), np.uint16)
@@ -135,16 +162,18 @@ def _unpacked(table: pa.Table, coarse: bool = False) -> tuple[np.ndarray, np.nda
     else:
         hashes, _ = binary_values(table["hashes"], np.uint64)
     keys, _ = binary_values(table["doc_keys"], np.int64)
+    ranks, _ = binary_values(table["ranks"], np.int64)
     counts, _ = binary_values(table["counts"], np.uint32)
     positions, _ = binary_values(table["positions"], np.uint32)
     owner = np.repeat(keys, counts)
-    order = np.argsort(owner, kind="stable")
+    rank = np.repeat(ranks, counts) if len(ranks) else owner
+    order = np.argsort(rank, kind="stable")
     order = order[np.argsort(hashes[order], kind="stable")]
-    return hashes[order], owner[order], positions[order] if len(positions) else positions
+    return hashes[order], owner[order], rank[order], positions[order] if len(positions) else positions
 
 
-def returned_rows(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, buckets: int) -> pa.Table:
-    """Values by document, in rows of :data:`RETURNED`; ``hashes`` may be left out (empty)."""
+def returned_rows(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, buckets: int, ranks: np.ndarray | None = None) -> pa.Table:
+    """Values by document, in rows of :data:`RETURNED`; ``hashes`` may be left out (empty), so may ranks."""
     bucket = (mix(owner.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((owner, bucket))
     bucket, owner, weights = bucket[order], owner[order], weights[order].astype(np.uint32)
@@ -152,16 +181,24 @@ def returned_rows(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, bu
     rows = _run_starts(bucket[cuts])
     row_bounds = np.append(rows, len(cuts))
     value_bounds = np.append(cuts[rows], len(owner))
-    cells = binary_column(hashes[order], value_bounds) if len(hashes) else binary_column(hashes, np.zeros(len(value_bounds), np.int64))
+    none = np.zeros(len(row_bounds), np.int64)
     return pa.Table.from_arrays(
         [
             pa.array(bucket[cuts][rows]), binary_column(owner[cuts], row_bounds),
-            binary_column(np.diff(np.append(cuts, len(owner))).astype(np.uint32), row_bounds), cells, binary_column(weights, value_bounds),
+            binary_column(owner[:0], none) if ranks is None else binary_column(ranks[order][cuts], row_bounds),
+            binary_column(np.diff(np.append(cuts, len(owner))).astype(np.uint32), row_bounds),
+            binary_column(hashes[order], value_bounds) if len(hashes) else binary_column(hashes, none), binary_column(weights, value_bounds),
         ],
-        names=["bucket", "doc_keys", "counts", "hashes", "weights"],
+        names=["bucket", "doc_keys", "ranks", "counts", "hashes", "weights"],
     )
 
 
+def returned_ranks(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """The rank of each value of rows of :data:`RETURNED`."""
+    ranks, _ = binary_values(table.column("ranks"), np.int64)
+    return np.repeat(ranks, binary_values(table.column("counts"), np.uint32)[0])
+
+
 def returned_values(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document keys, hashes and weights of rows of :data:`RETURNED`."""
     keys, _ = binary_values(table.column("doc_keys"), np.int64)
@@ -176,7 +213,7 @@ def _run_starts(hashes: np.ndarray) -> np.ndarray:
 
 
 def _shared(table: pa.Table, buckets: int, coarse: bool) -> pa.Table:
-    hashes, owner, _ = _unpacked(table, coarse)
+    hashes, owner, _, _ = _unpacked(table, coarse)
     if len(hashes):
         fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))
         hashes, owner = hashes[fresh], owner[fresh]
@@ -189,11 +226,11 @@ def _shared(table: pa.Table, buckets: int, coarse: bool) -> pa.Table:
 
 
 def _later(table: pa.Table, buckets: int) -> pa.Table:
-    hashes, owner, positions = _unpacked(table)
+    hashes, owner, rank, positions = _unpacked(table)
     if table.num_rows and table["part"][0].as_py() < 0:
-        return returned_rows(owner, hashes, positions, buckets)
+        return returned_rows(owner, hashes, positions, buckets, rank)
     starts = _run_starts(hashes)
-    later = owner > np.repeat(owner[starts], np.diff(np.append(starts, len(hashes))))
+    later = rank > np.repeat(rank[starts], np.diff(np.append(starts, len(hashes))))
     return returned_rows(owner[later], hashes[:0], positions[later], buckets)
 
 
@@ -206,18 +243,18 @@ def _documents(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(owner[order][cuts]), cells, binary_column(weights[order], bounds)], names=["doc_key", "hashes", "weights"])
 
 
-def shared_hashes(packed: DataFrame, parts: int, coarse: bool = False) -> DataFrame:
+def shared_hashes(packed: DataFrame, buckets: int, coarse: bool = False) -> DataFrame:
     """Of each document, the hashes that another holds too, with the number of their documents."""
-    return packed.groupBy("part").applyInArrow(lambda table: _shared(table, parts, coarse), RETURNED)
+    return packed.groupBy("part").applyInArrow(lambda table: _shared(table, buckets, coarse), RETURNED)
 
 
-def later_positions(packed: DataFrame, parts: int) -> DataFrame:
-    """Of each document, the positions (as weights) whose hash one with a smaller key holds too.
+def later_positions(packed: DataFrame, buckets: int) -> DataFrame:
+    """Of each document, the positions (as weights) whose hash one of a smaller rank holds too.
 
     Rows with ``hashes`` hold all positions of frequent hashes: their ranges are split by document,
-    and the smallest key of each is an aggregate over these rows.
+    and the smallest rank of each is an aggregate over these rows.
     """
-    return packed.groupBy("part").applyInArrow(lambda table: _later(table, parts), RETURNED)
+    return packed.groupBy("part").applyInArrow(lambda table: _later(table, buckets), RETURNED)
 
 
 def by_document(returned: DataFrame) -> DataFrame:

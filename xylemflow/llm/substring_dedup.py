@@ -19,8 +19,11 @@ Sample names drop the low bits of their hashes; a chance agreement there only ad
 A document equal to one of a smaller ``doc_id`` is removed as a whole beforehand (by SHA-256) and
 does not take part. Names are 64-bit hashes.
 
+Strings are kept by text and compared by the smallest ``doc_id`` of that text.
+
 Defined results: a null text is empty; texts below 50 bytes are kept; rows that share a ``doc_id``
-do not remove each other's bytes; a row with a null ``doc_id`` is kept whole and removes nothing.
+do not remove each other's bytes, whatever their texts, but lose those of smaller ids each for itself;
+a row with a null ``doc_id`` is kept whole and removes nothing.
 """
 
 from __future__ import annotations
@@ -72,11 +75,11 @@ def _texts(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
+    def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray | None, None]]:
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
                 if len(text) >= LENGTH:
-                    yield key, np.unique(_at(text, _sample_positions(len(text)), PREFIX) & P.COARSE), None
+                    yield key, np.unique(_at(text, _sample_positions(len(text)), PREFIX) & P.COARSE), None, None
 
     return P.pack(documents(), parts, frequent, coarse=True)
 
@@ -92,15 +95,16 @@ def _candidates(text: np.ndarray, names: np.ndarray) -> np.ndarray:
 
 
 def _merged(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
-    def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
         for batch in batches:
-            names, bounds = binary_values(batch.column(2), np.uint64)
-            for key, text, low, high in zip(batch.column(0).to_pylist(), _texts(batch.column(1)), bounds[:-1], bounds[1:]):
+            names, bounds = binary_values(batch.column(3), np.uint64)
+            keys, ranks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for key, rank, text, low, high in zip(keys, ranks, _texts(batch.column(2)), bounds[:-1], bounds[1:]):
                 at = _candidates(text, np.sort(names[low:high]))
                 found = _at(text, at, LENGTH)
                 now = ((found >> np.uint64(32)) * np.uint64(ROUNDS)) >> np.uint64(32) == turn
                 if now.any():
-                    yield key, found[now], at[now]
+                    yield key, found[now], at[now], rank
 
     return P.pack(documents(), parts, frequent)
 
@@ -116,19 +120,20 @@ def _all_strings(batches: Iterator[pa.RecordBatch], length: int, sampled_only: b
 def _least_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch, the smallest document of each frequent string."""
     for batch in batches:
-        owner, hashes, _ = P.returned_values(batch)
+        _, hashes, _ = P.returned_values(batch)
+        owner = P.returned_ranks(batch)
         order = np.lexsort((owner, hashes))
         hashes, owner = hashes[order].view(np.int64), owner[order]
         first = np.append(True, hashes[1:] != hashes[:-1]) if len(hashes) else np.zeros(0, bool)
         yield pa.RecordBatch.from_arrays([pa.array(hashes[first]), pa.array(owner[first])], names=["hash", "doc_id"])
 
 
-def _frequent_later(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, owners: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+def _frequent_later(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, owners: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Of all positions of frequent strings, those of which a smaller document has the string."""
     for batch in batches:
         owner, hashes, positions = P.returned_values(batch)
-        later = owners[np.searchsorted(frequent, hashes)] < owner
-        yield from P.returned_rows(owner[later], hashes[:0], positions[later], parts).to_batches()
+        later = owners[np.searchsorted(frequent, hashes)] < P.returned_ranks(batch)
+        yield from P.returned_rows(owner[later], hashes[:0], positions[later], buckets).to_batches()
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,27 +185,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     digest = F.sha2("text", 256)
     key = F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")
     thin = staging.table(source.select("doc_id", digest.alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")), "digests")
-    classes = staging.table(thin.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("least_id"), F.max("n_bytes").alias("n_bytes")), "classes")
+    classes = staging.table(
+        thin.where("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("least_id"), F.max("n_bytes").alias("n_bytes"))
+        .withColumn("class_nr", F.monotonically_increasing_id()),
+        "classes",
+    )
     total = classes.agg(F.sum("n_bytes")).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    sample = P.bounded_sample(source, P.SAMPLE_DOCUMENTS).select("text")
+    sample = P.sampled_texts(source.select("text"), P.SAMPLE_DOCUMENTS)
     frequent = np.unique(P.frequent_hashes(sample.mapInArrow(P.mapper(_all_strings, PREFIX, True), "hash long")) & P.COARSE)
     parts = P.range_count(total * len(COVER) // PERIOD, least)
+    buckets = P.bucket_count(total * len(COVER) // PERIOD)
     named = source.where("doc_id IS NOT NULL").select(digest.alias("sha"), "text").select(key.alias("key"), "text")
     packed = named.mapInArrow(P.mapper(_sampled, parts, frequent), P.PACKED)
-    names = staging.table(P.shared_hashes(packed, parts, coarse=True), "names")
+    names = staging.table(P.shared_hashes(packed, buckets, coarse=True), "names")
     of_class = staging.table(
-        classes.select(key.alias("doc_key"), "sha", "least_id").join(P.by_document(names), "doc_key").select("sha", F.col("least_id").alias("doc_id"), F.col("hashes").alias("names")),
+        classes.select(key.alias("doc_key"), "sha", "least_id", "class_nr").join(P.by_document(names), "doc_key")
+        .select("sha", F.col("least_id").alias("doc_id"), "class_nr", F.col("hashes").alias("names")),
         "class-names",
     )
     staging.drop(names)
 
     often = P.frequent_hashes(sample.mapInArrow(P.mapper(_all_strings, LENGTH, False), "hash long"))
     keyed = source.withColumn("sha", digest)
-    with_names = keyed.join(of_class, ["sha", "doc_id"]).select("doc_id", "text", "names")
+    with_names = keyed.join(of_class, ["sha", "doc_id"]).select("class_nr", "doc_id", "text", "names")
     rounds = [
-        staging.table(P.later_positions(with_names.mapInArrow(P.mapper(_merged, parts, often, turn), P.PACKED), parts), "later") for turn in range(ROUNDS)
+        staging.table(P.later_positions(with_names.mapInArrow(P.mapper(_merged, parts, often, turn), P.PACKED), buckets), "later") for turn in range(ROUNDS)
     ]
     staging.drop(of_class)
     later = rounds[0]
@@ -211,15 +222,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     least_owners = hot.mapInArrow(_least_owners, "hash long, doc_id long").groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
     owner_of = {r["hash"]: r["doc_id"] for r in least_owners.collect()}
     owners = np.array([owner_of.get(h, 0) for h in often.view(np.int64).tolist()], np.int64)
-    plain = later.where(F.octet_length("hashes") == 0).unionByName(hot.mapInArrow(P.mapper(_frequent_later, often, owners, parts), P.RETURNED))
+    plain = later.where(F.octet_length("hashes") == 0).unionByName(hot.mapInArrow(P.mapper(_frequent_later, often, owners, buckets), P.RETURNED))
     runs = staging.table(P.by_document(plain).mapInArrow(_runs, "doc_key long, runs binary"), "runs")
     staging.drop(*rounds)
 
     decided = (
         thin.where("doc_id IS NOT NULL").select("sha", "doc_id").distinct()
-        .join(classes.select("sha", "least_id"), "sha")
-        .select("sha", "doc_id", (F.col("doc_id") > F.col("least_id")).alias("copy"))
-        .join(runs, F.col("doc_id") == F.col("doc_key"), "left")
+        .join(classes.select("sha", "least_id", "class_nr"), "sha")
+        .select("sha", "doc_id", (F.col("doc_id") > F.col("least_id")).alias("copy"), "class_nr")
+        .join(runs, F.col("class_nr") == F.col("doc_key"), "left")
         .where("copy OR runs IS NOT NULL")
         .select("sha", "doc_id", "copy", "runs")
     )
