@@ -193,6 +193,39 @@ def test_mixing(edges):
     assert words == sum(r.taken for r in rows)
 
 
+def test_the_schedule_decides_the_mix(spark, monkeypatch):
+    """Slots interleave sources and order the mix; without the low-discrepancy points the targets fail."""
+    rows = [(i, "w " * 50, "abc"[i % 3], 1, 2, "t") for i in range(300)] + [(7, "w " * 50, "a", 1, 2, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _size int, _taken int, _slot string").coalesce(1)
+    found = mixing.mix_documents(docs).collect()
+    first = [r.source for r in sorted((r for r in found if r.slot is not None), key=lambda r: r.slot)]
+    assert all(len(set(first[i : i + 12])) == 3 for i in range(0, 120, 12))
+    assert mixing.mixed_texts(docs).columns == docs.columns
+    by_id = {r.doc_id: r.slot for r in found if r.doc_id != 7}
+    order = [by_id[r.doc_id] for r in mixing.mixed_texts(docs).collect() if r.doc_id != 7]
+    assert order == sorted(order) and len(order) > 100
+
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0)
+    off = mixing.mix_documents(docs).collect()
+    assert any(sum(r.taken for r in off if r.source == s) < 0.5 * next(r.target for r in off if r.source == s) for s in "abc")
+
+
+def test_repeated_ids_and_clashing_names(spark):
+    """Rows of one id, null ids and columns named like helpers, in every stage that returns documents."""
+    rows = [(1, "the same", "x", 3), (1, "the same", "y", 4), (1, "another text", "x", 5), (None, "the same", None, 6), (None, None, "x", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _row int").withColumns(
+        {"_docs_row": F.lit(1), "_docs_row_nr": F.lit("orig"), "_spans": F.lit(2), "_near_row": F.lit(3), "lang": F.lit("en"), "n_chars": F.lit(4)}
+    ).coalesce(1)
+    kept = [(r.doc_id, r.text, r["_row"], r["_docs_row_nr"]) for r in exact_dedup.drop_copies(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, "the same", 4, "orig"), (1, "another text", 5, "orig"), (None, None, 7, "orig")]))
+    clean = private_data.sanitised_texts(docs.withColumn("text", F.concat("text", F.lit(" a@b.example"))))
+    assert clean.columns == docs.columns and clean.where("text LIKE '%[EMAIL]'").count() == 4
+    model = language_id.fit(language_id.training_sample(docs))
+    assert language_id.predict_languages(docs, model).count() == 5 and language_id.keep_known_languages(docs).columns == docs.columns
+    assert mixing.mix_documents(docs).count() == 5
+    assert line_dedup.remove_repeated_chunks(docs).count() == 5 and licenses.scan_licenses(docs).count() == 5
+
+
 def test_packing(edges):
     import public_tokenizers
     from tokenizers import Tokenizer

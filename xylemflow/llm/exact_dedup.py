@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.llm.hashing import row_slices, text_bytes
-from xylemflow.llm.staging import Staging
+from xylemflow.llm.staging import Staging, unique_names
 
 CHUNK = 1 << 16
 PRIME = (1 << 31) - 1
@@ -159,7 +159,7 @@ def copy_groups(docs: DataFrame) -> DataFrame:
         source.mapInArrow(_text_batches, "doc_id long, n_bytes long, fingerprint long, text string")
         .join(suspects, key)
         .withColumn("streams", F.ceil(F.col("copies") / STREAM_ROWS))
-        .withColumn("stream", F.pmod(F.xxhash64("doc_id"), "streams"))
+        .withColumn("stream", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), "streams"))
     )
     first = staging.table(_compare(texts), "compared")
     heads = first.where("NOT differs").withColumns({"streams": F.lit(1).cast("long"), "stream": F.lit(0).cast("long")})
@@ -188,6 +188,6 @@ def copy_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts; ``docs`` must be a plain scan."""
-    kept = copy_groups(docs).where("kept").select(F.col("row_nr").alias("_kept_row_nr"))
-    numbered = docs.withColumn("_docs_row_nr", F.monotonically_increasing_id())
-    return numbered.join(kept, F.col("_docs_row_nr") == F.col("_kept_row_nr"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (row,) = unique_names(docs.columns, "_row")
+    kept = copy_groups(docs).where("kept").select(F.col("row_nr").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

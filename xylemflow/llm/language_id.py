@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.llm.postings import mapper
+from xylemflow.llm.staging import unique_names
 from xylemflow.llm.tokens import spans
 
 UNKNOWN = "und"
@@ -328,6 +329,6 @@ LEAST_SCORE = 0.4
 def keep_known_languages(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose language cannot be told; ``docs`` must be a plain scan."""
     known = predict_languages(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    numbered = docs.withColumn("_docs_row", F.monotonically_increasing_id())
-    kept = known.select(F.col("row_nr").alias("_kept_row"))
-    return numbered.join(kept, F.col("_docs_row") == F.col("_kept_row"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (row,) = unique_names(docs.columns, "_row")
+    kept = known.select(F.col("row_nr").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

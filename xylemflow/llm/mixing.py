@@ -3,9 +3,11 @@
 The mix is a sequence of slots, each for one block of equally many tokens. Slot ``i`` maps the
 golden-ratio point ``frac(i * phi)`` through the cumulative target shares to a source, and is the
 ``k``-th slot of that source; it takes the source's ``k``-th block. A source's blocks are cut from
-its documents in shuffled order, over again for each further epoch. Slots beyond a source's target
-go unused, and blocks that the points have not reached are appended behind the schedule, so that
-each source gives its target, rounded down to whole tokens.
+its documents in shuffled order, over again for each further epoch. The mix is what the slots take:
+slots beyond a source's target go unused, and a block without a slot stays out. There are
+:data:`SPARE` times as many slots as blocks, so that a source gives its target, rounded down to
+whole tokens; one whose target is a few blocks of 1/:data:`LEAST_BLOCKS` of the mix at most may give
+a block less. A document's slot is the first one that takes a part of it.
 
 DataFrame functions only. Prefix sums and ranks inside a source go through buckets, so that no task
 needs a whole source.
@@ -23,16 +25,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from xylemflow.functions.ordered import global_index
-from xylemflow.llm.staging import Staging
+from xylemflow.llm.staging import Staging, unique_names
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, VOLUME_PERCENT, MOST_TIMES = (3, 1, 2), 150, 2
 BLOCK_TOKENS = 4096
 #: At least so many blocks make a mix of little text.
-LEAST_BLOCKS = 1024
+LEAST_BLOCKS = 1 << 16
+#: Slots of the schedule for each block of the mix.
+SPARE = 2
 GOLDEN = 0.6180339887498949
-#: Cells of the unit interval that connect points to shares, and buckets of a source's documents.
-CELLS, BUCKETS, SLOT_BITS = 1024, 1024, 16
+#: Cells of the unit interval that connect points to shares, and rows of a bucket of documents.
+CELLS, SLOT_BITS = 1024, 16
+BUCKET_ROWS, LEAST_BUCKETS = 1 << 16, 1024
 
 
 def word_count(text: Column) -> Column:
@@ -82,7 +87,7 @@ def _running(rows: DataFrame, group: str, bucket: str, order: Sequence[str], val
 def schedule(targets: DataFrame, block: int, staging: Staging) -> DataFrame:
     """``slot, _rank, k``: the source of each slot and the slot's number within its source."""
     volume = targets.agg(F.sum("target")).first()[0] or 0.0
-    slots = int(volume // block) + 1
+    slots = SPARE * (int(volume // block) + 1)
     shares = targets.where("target > 0").select("_rank", (F.col("target") / F.lit(volume or 1.0)).alias("share"))
     upto = global_prefix(shares, staging)
     # A source's interval is found through the cells of the unit interval that it touches.
@@ -109,10 +114,10 @@ def global_prefix(shares: DataFrame, staging: Staging) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int = 1) -> DataFrame:
-    """``doc_id, row_nr, source, size, source_size, target, taken`` of every row of ``docs``.
+    """``doc_id, row_nr, source, size, source_size, target, taken, slot`` of every row of ``docs``.
 
-    ``row_nr`` is the row's ``monotonically_increasing_id`` in ``docs``, and ``taken`` the words
-    that the mix takes of it, repeats counted.
+    ``row_nr`` is the row's ``monotonically_increasing_id`` in ``docs``, ``taken`` the words that
+    the mix takes of it, repeats counted, and ``slot`` where it comes first, null if it is left out.
     """
     staging = Staging(docs.sparkSession, "mixing")
     sized = staging.table(
@@ -128,12 +133,13 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int =
     volume = targets.agg(F.sum("target")).first()[0] or 0.0
     block = max(1, min(BLOCK_TOKENS, int(volume // LEAST_BLOCKS)))
 
+    buckets = max(LEAST_BUCKETS, -(-sized.count() // BUCKET_ROWS))
     shuffled = F.xxhash64("doc_id", F.lit(seed))
     rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(
         "doc_id", "row_nr", "size", "_rank", "source_size", "target"
     )
     placed = _running(
-        rows.where("size > 0").withColumns({"order": shuffled, "bucket": F.pmod(F.shiftright(shuffled, 20), F.lit(BUCKETS))}),
+        rows.where("size > 0").withColumns({"order": shuffled, "bucket": F.pmod(F.shiftright(shuffled, 20), F.lit(buckets))}),
         "_rank", "bucket", ["order", "doc_id", "size", "row_nr"], "size", "start",
     )
     epochs = F.explode(F.sequence(F.lit(0), F.lit(MOST_TIMES - 1))).alias("epoch")
@@ -146,26 +152,29 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, seed: int =
         .select("row_nr", "_rank", "k", (F.least("end", (F.col("k") + 1) * block) - F.greatest("start", F.col("k") * block)).alias("tokens"))
     )
     slots = schedule(targets, block, staging)
-    # A block that no point has reached keeps its place behind the schedule: slot null.
-    mixed = pieces.join(slots, ["_rank", "k"], "left")
-    taken = staging.table(mixed.groupBy("row_nr").agg(F.sum("tokens").alias("taken"), F.min("slot").alias("first_slot")), "taken")
+    mixed = pieces.join(slots, ["_rank", "k"])
+    taken = staging.table(mixed.groupBy("row_nr").agg(F.sum("tokens").alias("taken"), F.min("slot").alias("slot")), "taken")
     named = sized.join(targets.select(F.col("source").alias("_s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     return named.join(taken, "row_nr", "left").select(
-        "doc_id", "row_nr", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot"
+        "doc_id", "row_nr", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "slot"
     )
 
 
 def mixed_texts(docs: DataFrame) -> DataFrame:
-    """``docs`` after mixing: a text once for each whole time it is taken, then its first words.
+    """``docs`` after mixing, in slot order: a text once for each whole time it is taken, then its first words.
 
     Documents that the mix leaves out go; ``n_chars`` follows the text where ``docs`` has it.
     ``docs`` must be a plain scan.
     """
-    taken = mix_documents(docs).where("taken > 0").select(F.col("row_nr").alias("_mix_row"), F.col("taken").alias("_taken"), F.col("size").alias("_size"))
-    numbered = docs.withColumn("_docs_row", F.monotonically_increasing_id())
-    whole, rest = F.floor(F.col("_taken") / F.col("_size")).cast("int"), (F.col("_taken") % F.col("_size")).cast("int")
+    row, taken, size, slot, mixed = unique_names(docs.columns, "_row", "_taken", "_size", "_slot", "_text")
+    told = mix_documents(docs).where("taken > 0").select(F.col("row_nr").alias(row), F.col("taken").alias(taken), F.col("size").alias(size), F.col("slot").alias(slot))
+    whole, rest = F.floor(F.col(taken) / F.col(size)).cast("int"), (F.col(taken) % F.col(size)).cast("int")
     head = F.when(rest > 0, F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), rest), " "))
     text = F.array_join(F.concat(F.array_repeat(F.col("text"), whole), F.array(head)), "\n")
-    joined = numbered.join(taken, F.col("_docs_row") == F.col("_mix_row")).withColumn("_text", text)
-    values = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return joined.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(told, row).withColumn(mixed, text)
+    values = {"text": F.col(mixed), "n_chars": F.length(mixed).cast("long")}
+    columns = [values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
+    # Written once before it is put in order, since finding the ranges reads it twice.
+    staged = Staging(docs.sparkSession, "mixed").table(joined.select(*columns, slot, row), "texts")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged.repartitionByRange(parts, slot, row).sortWithinPartitions(slot, row).drop(slot, row)

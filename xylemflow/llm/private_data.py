@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from xylemflow.llm.staging import Staging
+from xylemflow.llm.staging import Staging, unique_names
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -199,10 +199,11 @@ def digests(found: DataFrame) -> DataFrame:
 
 def sanitised_texts(docs: DataFrame) -> DataFrame:
     """``docs`` with each span's text replaced by its class, terms with digits removed; ``docs`` a plain scan."""
-    found = find_private_data(docs).where("spans IS NOT NULL").select(F.col("row_nr").alias("_span_row"), F.col("spans").alias("_spans"))
+    row, spans = unique_names(docs.columns, "_row", "_spans")
+    found = find_private_data(docs).where("spans IS NOT NULL").select(F.col("row_nr").alias(row), F.col("spans").alias(spans))
     own = F.coalesce("text", F.lit(""))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    by_place = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
 
     def step(done: Column, s: Column) -> Column:
         cut = F.substring(own, done["at"].cast("int") + 1, (s["start"] - done["at"]).cast("int"))
@@ -213,6 +214,6 @@ def sanitised_texts(docs: DataFrame) -> DataFrame:
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     text = F.aggregate(by_place, start, step, lambda d: F.concat(d["out"], F.substring(own, d["at"].cast("int") + 1, F.length(own))))
-    joined = docs.withColumn("_docs_row", F.monotonically_increasing_id()).join(found, F.col("_docs_row") == F.col("_span_row"), "left")
-    values = {"text": F.when(F.col("_spans").isNull(), F.col("text")).otherwise(text)}
+    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(found, row, "left")
+    values = {"text": F.when(F.col(spans).isNull(), F.col("text")).otherwise(text)}
     return joined.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

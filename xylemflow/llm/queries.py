@@ -51,7 +51,7 @@ def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from xylemflow.llm.mixing import mix_documents
 
-    return mix_documents(documents(spark, sf_dir)).drop("row_nr", "first_slot")
+    return mix_documents(documents(spark, sf_dir)).drop("row_nr")
 
 
 @query("op6_packing")

@@ -173,5 +173,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
         asked.join(scored, "query_class").join(classes.select("class_id", "members"), "class_id")
         .select("query_id", "query_row", "score", F.inline("members")).where("row_nr <> query_row")
     )
-    order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "row_nr")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = [F.desc("score"), F.col("vec_id").asc_nulls_last(), F.col("row_nr")]
+    order = Window.partitionBy("query_row").orderBy(*best)
+    # Thinned by salts first, as copies of a common vector lead to very many rows of a query.
+    return _best(found, "query_row", best, k).withColumn("rank", F.row_number().over(order)).select("query_id", "rank", "vec_id", "score")
