@@ -379,3 +379,18 @@ def test_long_words_and_windows_hash_alike(monkeypatch):
     monkeypatch.setattr(hashing, "WINDOW", 1000)
     pieces = hashing.shingle_sets(flat[: offsets[1]], offsets[:2], 5)[0]
     assert np.array_equal(whole, pieces)
+
+
+def test_top_k_keeps_vectors_with_large_components(spark):
+    """Finite vectors take part whatever their size; products beyond exact doubles stay exact."""
+    random = np.random.default_rng(12)
+    rows = [(i, (random.integers(-50, 50, 6) * s).astype(float).tolist()) for i, s in enumerate([1, 9e6, 1e7, 1, 1e7, 1, 9e6] * 9)]
+    rows += [(100, [1e300, 0.0, 0.0, 0.0, 0.0, 0.0]), (101, [float("inf")] * 6)]
+    got = [tuple(r) for r in topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=25).collect()]
+    most = 1 << 61
+    whole = {i: [min(max(int(np.floor(256 * x)) if abs(x) < 1e290 else most * (1 if x > 0 else -1), -most), most) for x in v] for i, v in rows if i != 101}
+    want = []
+    for q in (0, 25, 50, 100):
+        scored = sorted((-min(max(sum(a * b for a, b in zip(whole[q], v)), -(1 << 63)), (1 << 63) - 1), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, rank, i, -score) for rank, (score, i) in enumerate(scored, 1)]
+    assert sorted(got) == sorted(want)

@@ -13,7 +13,8 @@ block is sent once to each block of :data:`QUERY_BLOCK` queries.
 Defined results: vectors that are null, empty, or hold null or non-finite components take no part;
 vectors of different length are not compared; rows that repeat a ``vec_id`` are separate rows, each
 a candidate of the others; a null ``vec_id`` is no query and ranks last among equal scores.
-Components must stay below 2**31 in 256ths.
+Components are cut to :data:`MOST` in 256ths, and scores that do not fit 64 bits are cut to them.
+Where products are too large for doubles to be exact, the bounds are widened by the rounding.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +33,9 @@ from xylemflow.llm.staging import Staging
 
 K, EVERY, SCALE = 5, 50, 256
 CELLS, INDEX_BLOCK, QUERY_BLOCK, SALTS = 256, 4096, 1024, 64
+MOST = 1 << 61
 
-VECTORS = "row_nr long, vec_id long, dim int, least int, most int, vector binary"
+VECTORS = "row_nr long, vec_id long, dim int, least long, most long, vector binary"
 
 
 def _quantised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,20 +45,28 @@ def _quantised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, values in enumerate(lists):
             x = values.values
             if values.is_valid and len(x) and not x.null_count:
-                v = np.floor(SCALE * np.asarray(x.to_numpy(zero_copy_only=False), np.float64))
-                if np.isfinite(v).all() and np.abs(v).max() < 1 << 31:
-                    rows.append((i, len(v), int(v.min()), int(v.max()), v.astype("<i4").tobytes()))
+                with np.errstate(over="ignore"):
+                    v = np.floor(SCALE * np.asarray(x.to_numpy(zero_copy_only=False), np.float64))
+                if np.isfinite(np.asarray(x.to_numpy(zero_copy_only=False), np.float64)).all():
+                    v = np.clip(v, -MOST, MOST)
+                    narrow = np.abs(v).max() < 1 << 31
+                    rows.append((i, len(v), int(v.min()), int(v.max()), v.astype("<i4" if narrow else "<i8").tobytes()))
         at, dims, least, most, cells = zip(*rows) if rows else ([],) * 5
         at = pa.array(at, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c, pa.int32()) for c in (dims, least, most)), pa.array(cells, pa.binary())],
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(dims, pa.int32()), pa.array(least, pa.int64()), pa.array(most, pa.int64()), pa.array(cells, pa.binary())],
             names=["row_nr", "vec_id", "dim", "least", "most", "vector"],
         )
 
 
-def _matrix(column: pa.Array, dim: int, dtype) -> np.ndarray:
-    values, _ = binary_values(column, dtype)
-    return values.reshape(-1, dim)
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """The vectors of one dimension; those with large components have eight bytes each."""
+    lengths = pc.binary_length(column).to_numpy()
+    out = np.zeros((len(column), dim), np.int64)
+    for size, dtype in ((4, "<i4"), (8, "<i8")):
+        at = np.flatnonzero(lengths == size * dim)
+        out[at] = binary_values(column.take(pa.array(at)), dtype)[0].reshape(-1, dim)
+    return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int, low: int, width: int, cells: bool) -> Iterator[pa.RecordBatch]:
@@ -67,8 +78,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, low: int, width: int,
             at = np.flatnonzero(dims == dim)
             for start in range(0, len(at), size):
                 part = pa.array(at[start : start + size])
-                matrix = _matrix(batch.column(2).take(part), int(dim), "<i4")
-                body = ((matrix.astype(np.int64) - low) // width).astype(np.uint8) if cells else matrix
+                matrix = _matrix(batch.column(2).take(part), int(dim))
+                body = ((matrix - low) // width).astype(np.uint8) if cells else matrix
                 rows.append((int(dim), batch.column(1).take(part).to_numpy().tobytes(), np.ascontiguousarray(body).tobytes()))
         columns = list(zip(*rows)) if rows else [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["dim", "ids", "body"])
@@ -78,11 +89,15 @@ def _scan(batches: Iterator[pa.RecordBatch], low: int, width: int, keep: int) ->
     """Score bounds of a query block against an index block's cells, where they may matter."""
     for batch in batches:
         for dim, q_ids, q_body, ids, cells in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            queries = np.frombuffer(q_body, "<i4").reshape(-1, dim).astype(np.float64)
+            queries = np.frombuffer(q_body, "<i8").reshape(-1, dim).astype(np.float64)
             floor = low + width * np.frombuffer(cells, np.uint8).reshape(-1, dim).astype(np.float64)
             base = queries @ floor.T
             lower = base + (width - 1) * np.minimum(queries, 0).sum(1)[:, None]
             upper = base + (width - 1) * np.maximum(queries, 0).sum(1)[:, None]
+            reach = np.abs(queries).sum(1)[:, None] * float(max(abs(low), abs(low + CELLS * width)))
+            if reach.max(initial=0) >= 1 << 53:
+                slack = reach * (4 * dim + 16) * np.finfo(float).eps
+                lower, upper = lower - slack, upper + slack
             if lower.shape[1] > keep:
                 reach = np.partition(lower, lower.shape[1] - keep, axis=1)[:, lower.shape[1] - keep]
                 q, v = np.nonzero(upper >= reach[:, None])
@@ -91,7 +106,7 @@ def _scan(batches: Iterator[pa.RecordBatch], low: int, width: int, keep: int) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.frombuffer(q_ids, np.int64)[q]), pa.array(np.frombuffer(ids, np.int64)[v]),
-                    pa.array(lower[q, v].astype(np.int64)), pa.array(upper[q, v].astype(np.int64)),
+                    pa.array(lower[q, v]), pa.array(upper[q, v]),
                 ],
                 names=["query_class", "class_id", "lower", "upper"],
             )
@@ -99,10 +114,17 @@ def _scan(batches: Iterator[pa.RecordBatch], low: int, width: int, keep: int) ->
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        left, bounds = binary_values(batch.column(2), "<i4")
-        right, _ = binary_values(batch.column(3), "<i4")
-        products = np.append(0, np.cumsum(left.astype(np.int64) * right.astype(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(products[bounds[1:]] - products[bounds[:-1]])], names=["query_class", "class_id", "score"])
+        dims = batch.column(4).to_numpy()
+        scores = np.zeros(len(dims), np.int64)
+        for dim in np.unique(dims).tolist():
+            at = np.flatnonzero(dims == dim)
+            left, right = (_matrix(batch.column(i).take(pa.array(at)), dim) for i in (2, 3))
+            if float(np.abs(left).max()) * float(np.abs(right).max()) * dim < 1 << 62:
+                scores[at] = (left * right).sum(axis=1)
+            else:
+                exact = (left.astype(object) * right.astype(object)).sum(axis=1)
+                scores[at] = [min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in exact]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores)], names=["query_class", "class_id", "score"])
 
 
 def _best(rows: DataFrame, group: str, order: list, keep: int) -> DataFrame:
@@ -114,9 +136,9 @@ def _best(rows: DataFrame, group: str, order: list, keep: int) -> DataFrame:
 
 
 def _exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    vector = lambda name, out: classes.select(F.col("class_id").alias(name), F.col("vector").alias(out))
-    both = pairs.select("query_class", "class_id").join(vector("class_id", "v"), "class_id").join(vector("query_class", "q"), "query_class")
-    return both.select("query_class", "class_id", "q", "v").mapInArrow(_scores, "query_class long, class_id long, score long")
+    both = pairs.select("query_class", "class_id").join(classes.select("class_id", "dim", F.col("vector").alias("v")), "class_id")
+    both = both.join(classes.select(F.col("class_id").alias("query_class"), F.col("vector").alias("q")), "query_class")
+    return both.select("query_class", "class_id", "q", "v", "dim").mapInArrow(_scores, "query_class long, class_id long, score long")
 
 
 def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
@@ -155,7 +177,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     grid = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(0, packed.count() - 1)))))
     met = grid.join(query_blocks, "block").where("dim = q_dim").select("dim", "q_ids", "q_body", "ids", "body")
     spread = met.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = staging.table(spread.mapInArrow(mapper(_scan, low, width, keep), "query_class long, class_id long, lower long, upper long"), "bounds")
+    bounds = staging.table(spread.mapInArrow(mapper(_scan, low, width, keep), "query_class long, class_id long, lower double, upper double"), "bounds")
 
     reach = _best(bounds.select("query_class", "lower", "class_id"), "query_class", [F.desc("lower"), F.col("class_id")], keep)
     reach = reach.groupBy("query_class").agg(F.min("lower").alias("reach"), F.count(F.lit(1)).alias("n"))
