@@ -160,7 +160,7 @@ def _leader_pairs(entries: DataFrame) -> DataFrame:
 
 
 def _grouped(index: DataFrame, met: DataFrame, percent: int) -> DataFrame:
-    """``set_key, grp, open`` of the classes whose group is known: of leaders and of their members.
+    """``set_key, grp, open, n_leader, missing, besides`` of leaders and of their groups' members.
 
     A class that leads and has a leader itself stays with its own group. A member is open if it is
     not linked to its leader and some other member could still be linked to it.
@@ -181,15 +181,22 @@ def _grouped(index: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     partner = F.greatest(F.col("least_n"), F.col("n_leader") - F.col("missing"))
     reach = F.col("n_leader") - F.col("missing") + F.least("besides", "most_besides")
     admits = (100 + percent) * reach >= percent * (F.col("n") + F.least(partner, F.col("n")))
-    told = members.join(bounds, "grp").select("set_key", "grp", (~F.col("linked") & admits).alias("open"))
-    return told.unionByName(leaders.select("set_key", F.col("set_key").alias("grp"), F.lit(False).alias("open")))
+    told = members.join(bounds, "grp").select("set_key", "grp", (~F.col("linked") & admits).alias("open"), "n_leader", "missing", "besides")
+    none = [F.lit(0).cast("long").alias(c) for c in ("missing", "besides")]
+    own = leaders.join(sizes, "set_key").select("set_key", F.col("set_key").alias("grp"), F.lit(False).alias("open"), F.col("n").alias("n_leader"), *none)
+    return told.unionByName(own)
 
 
 def _block_pairs(entries: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """All pairs of classes of different components that pass the group, size and position filters."""
     known = (
         entries.join(groups, "set_key", "left").join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
-        .withColumns({"grp": F.coalesce("grp", "set_key"), "open": F.coalesce("open", F.lit(False)), "component": F.coalesce("component", "set_key")})
+        .withColumns(
+            {
+                "grp": F.coalesce("grp", "set_key"), "open": F.coalesce("open", F.lit(False)), "component": F.coalesce("component", "set_key"),
+                **{c: F.coalesce(c, F.lit(0)) for c in ("n_leader", "missing", "besides")},
+            }
+        )
     )
     # Lists of one component, and those of one group without an open member, can bring no new pair.
     mixed = known.groupBy("token").agg(
@@ -203,26 +210,38 @@ def _block_pairs(entries: DataFrame, groups: DataFrame, labels: DataFrame, perce
     )
     cell = ["token", "level", "depth", "grp", "open"]
     counts = sized.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
-    member = F.struct("set_key", "n", "position", "component")
+    member = F.struct("set_key", "n", "position", "component", "missing", "besides")
     blocks = (
         sized.join(counts, cell).withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("_blocks")))
         .groupBy(*cell, "block")
-        .agg(F.min("position").alias("low_position"), F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.collect_list(member).alias("members"))
+        .agg(
+            F.min("position").alias("low_position"), F.min("n").alias("low_n"), F.max("n").alias("high_n"),
+            F.min("missing").alias("low_missing"), F.max("besides").alias("high_besides"), F.collect_list(member).alias("members"),
+        )
     )
     # Floating-point levels may be off by one at a border, so a probe looks one level further down.
     probes = sized.select(
         F.col("token"), F.explode(F.sequence(F.col("level") - 2, F.col("level"))).alias("level"), F.col("grp").alias("grp_b"), F.col("open").alias("open_b"),
         F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("position").alias("position_b"), F.col("component").alias("component_b"),
+        "n_leader", F.col("missing").alias("missing_b"), F.col("besides").alias("besides_b"),
     )
-    needed = lambda n: f"{percent} * (n_b + {n}) <= {100 + percent} * (1 + least(n_b - position_b, {n} - position) - 1)"
+
+    def derived(missing: str, besides: str, n: str) -> str:
+        """Another group, or what the leader's answers admit within the group."""
+        most = f"n_leader - greatest(missing_b, {missing}) + least(besides_b, {besides})"
+        return f"(grp <> grp_b OR ((open OR open_b) AND {100 + percent} * ({most}) >= {percent} * (n_b + {n})))"
+
     reachable = (
-        f"(grp <> grp_b OR open OR open_b) AND 100 * high_n >= {percent} * n_b AND low_n <= n_b"
+        f"{derived('low_missing', 'high_besides', 'low_n')} AND 100 * high_n >= {percent} * n_b AND low_n <= n_b"
         f" AND {percent} * (n_b + low_n) <= {100 + percent} * least(n_b - position_b, high_n - low_position)"
     )
-    hits = probes.join(blocks, ["token", "level"]).where(reachable)
-    pairs = hits.select("b", "n_b", "position_b", "component_b", F.inline("members")).where(
-        f"component <> component_b AND n <= n_b AND 100 * n >= {percent} * n_b AND {needed('n')}"
+    partner = (
+        f"m.component <> component_b AND m.n <= n_b AND 100 * m.n >= {percent} * n_b"
+        f" AND {percent} * (n_b + m.n) <= {100 + percent} * least(n_b - position_b, m.n - m.position)"
+        f" AND {derived('m.missing', 'm.besides', 'm.n')}"
     )
+    hits = probes.join(blocks, ["token", "level"]).where(reachable)
+    pairs = hits.select("b", F.expr(f"inline(transform(filter(members, m -> {partner}), m -> named_struct('set_key', m.set_key)))"))
     return pairs.select(F.greatest("b", "set_key").alias("a"), F.least("b", "set_key").alias("b")).distinct()
 
 
