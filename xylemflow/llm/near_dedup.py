@@ -181,7 +181,18 @@ def _grouped(index: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     partner = F.greatest(F.col("least_n"), F.col("n_leader") - F.col("missing"))
     reach = F.col("n_leader") - F.col("missing") + F.least("besides", "most_besides")
     admits = (100 + percent) * reach >= percent * (F.col("n") + F.least(partner, F.col("n")))
-    told = members.join(bounds, "grp").select("set_key", "grp", (~F.col("linked") & admits).alias("open"), "n_leader", "missing", "besides")
+    # Then the same bound between the distinct shapes of a group's members: few, whatever their number.
+    shape = ["grp", "n", "missing", "besides"]
+    shapes = members.groupBy(*shape).agg(F.count(F.lit(1)).alias("count"))
+    asking = members.join(bounds, "grp").where(~F.col("linked") & admits).select(*shape, "n_leader").distinct()
+    met = asking.join(shapes.select("grp", *(F.col(c).alias(f"{c}_b") for c in ("n", "missing", "besides", "count"))), "grp").where(
+        f"{100 + percent} * (n_leader - greatest(missing, missing_b) + least(besides, besides_b)) >= {percent} * (n + n_b)"
+        " AND (count_b > 1 OR n <> n_b OR missing <> missing_b OR besides <> besides_b)"
+    )
+    admitted = met.select(*shape).distinct().withColumn("open", F.lit(True))
+    told = members.join(admitted, shape, "left").select(
+        "set_key", "grp", (~F.col("linked") & F.coalesce("open", F.lit(False))).alias("open"), "n_leader", "missing", "besides"
+    )
     none = [F.lit(0).cast("long").alias(c) for c in ("missing", "besides")]
     own = leaders.join(sizes, "set_key").select("set_key", F.col("set_key").alias("grp"), F.lit(False).alias("open"), F.col("n").alias("n_leader"), *none)
     return told.unionByName(own)
