@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_files import context, sensor_file, write
 
 from xylemflow.operators.receipts import receipt_categories, receipt_chunks, receipt_files, receipt_summaries
-from xylemflow.plans.transaction import Store, published_outputs, run_transaction, stored_receipts
+from xylemflow.plans.transaction import Store, published_outputs, run_transaction, stored_raw_files, stored_receipts
 from xylemflow.sources import metadata, rawfiles, tables
 from xylemflow.sources.commits import CommitLog, ConcurrentRun
 
@@ -164,3 +164,20 @@ def test_override_of_a_later_transaction_wins(spark):
     for name in ("stems_id", "plants_id", "plots_id", "zones_id", "species_id"):
         rows = rows.withColumn(name, F.lit(None).cast("string"))
     assert sorted((r.site_id or "", r.value, r.seq) for r in metadata.overrides_of(rows).collect()) == [("", "3", 1), ("s", "2", 2)]
+
+
+def test_files_opened_by_path_are_never_shuffled(spark, tmp_path):
+    """The same run from keys alone; the plan that parses has no exchange above the opened bytes."""
+    write(tmp_path / "in", a=sensor_file(), copy=sensor_file(), bad="nope")
+    keys = rawfiles.scan_file_keys(spark, str(tmp_path / "in"))
+    opened = rawfiles.open_files(keys)
+    assert {r.path.rsplit("/", 1)[1]: bytes(r.content) for r in opened.collect()}["bad.dat"] == b"nope"
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+    store = Store(str(tmp_path / "store"))
+    done = run_transaction(spark, keys, context(spark), store, NOW, run_id="r1")
+    assert (done.outcome, done.status) == ("ACCEPTED", "Success") and done.error is None
+    assert sorted(r.status for r in done.reports.collect()) == ["Duplicate", "Failed", "Parsed"]
+    assert spark.read.parquet(done.output_path).count() == 3 * 2
+    assert [bytes(r.content) for r in stored_raw_files(spark, store).collect()] == [sensor_file().encode()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -31,18 +32,22 @@ def first_copies(files: DataFrame, order: str = "path") -> DataFrame:
     return files.groupBy("file_hash").agg(F.min(order).alias(order))
 
 
-def ingest_files(files: DataFrame, history: DataFrame) -> IngestBatch:
+def ingest_files(files: DataFrame, history: DataFrame, read: Callable[[DataFrame], DataFrame] | None = None) -> IngestBatch:
     """Parse the new files of a batch and report on all of them.
 
     ``files`` has ``path, file_hash, content``. Each distinct new content is parsed once, from
     its first path; a later copy is a Duplicate if that parse succeeded and Failed, with the
     same attempts, if it did not. Only hashes and paths are shuffled to find the copies; the
     bytes stay in the narrow parse unless the list of first paths is too large to broadcast.
+
+    With ``read``, ``files`` needs no ``content``: ``read`` gives the contents of the first paths
+    (``path, file_hash``), and bytes are never joined. See :func:`xylemflow.sources.rawfiles.open_files`.
     """
     keys = files.select("path", "file_hash")
     fresh_keys, known_keys = split_by_history(keys, history)
     firsts = first_copies(fresh_keys)
-    parsed = parse_toa5(files.join(firsts, ["path", "file_hash"], "left_semi"))
+    contents = files.join(firsts, ["path", "file_hash"], "left_semi") if read is None else read(firsts)
+    parsed = parse_toa5(contents)
     return IngestBatch(parsed, batch_reports(fresh_keys, known_keys, parsed))
 
 

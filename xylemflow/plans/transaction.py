@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from xylemflow.functions.text import cartridge_key, output_key
+from xylemflow.functions.text import cartridge_key, output_key, raw_file_key
 from xylemflow.operators import summaries
 from xylemflow.operators.flatten import flatten_parsed_files
 from xylemflow.operators.manifest import ENTITIES, Frames, metadata_summary, validate_manifest
@@ -28,6 +28,7 @@ from xylemflow.plans.ingest import (
 from xylemflow.plans.processing import STANDARD, Context, run_batch
 from xylemflow.sources import metadata, tables
 from xylemflow.sources.commits import ACCEPTED, REJECTED, CommitLog
+from xylemflow.sources.rawfiles import open_files
 
 SUCCESS, SKIPPED, FAILED = "Success", "Skipped", "Failed"
 
@@ -150,6 +151,10 @@ def run_transaction(
 ) -> Outcome:
     """Process the never-seen files of a batch and publish one output table.
 
+    ``files`` has ``path, file_hash`` and either ``content``, or ``length`` for files that are then
+    opened by path (:func:`xylemflow.sources.rawfiles.scan_file_keys`): their bytes are read once to
+    hash them, once to copy them, and are never shuffled.
+
     Without a ``context`` the run takes its metadata from the store, with what its own
     ``manifest`` adds; so does the check of the manifest without ``existing``. A dry run writes
     nothing below the store. A run that stops, wherever it does, has published nothing, and can be
@@ -188,7 +193,21 @@ def run_transaction(
         context = metadata.context_of(own).staged()
 
     history = log.read(store.HASHES, tables.REGISTRY_SCHEMA, log.visible(snapshot)).drop("commit_version")
-    batch = ingest_files(files, history)
+    by_path = "content" not in files.columns
+    if by_path:
+        # Hashed here, once; from now on only these keys move.
+        files = tables.stage(files.select("path", "file_hash", "length"), "keys")
+
+    def read(firsts: DataFrame) -> DataFrame:
+        """The new files, opened once: the run's raw copies, from which they are parsed."""
+        opened = open_files(firsts.join(files, ["path", "file_hash"]))
+        copies = opened.select(raw_file_key(F.col("file_hash")).alias("object_key"), "path", "file_hash", "content")
+        if dry_run:
+            return tables.stage(copies, "opened")
+        log.write(store.RAW, run_id, copies)
+        return spark.read.schema(copies.schema).parquet(log.folder(store.RAW, run_id))
+
+    batch = ingest_files(files, history, read if by_path else None)
     # Parsing is the costly step and feeds reports and observations: keep its result.
     parsed = tables.stage(batch.parsed, "parsed")
     fresh, known = split_by_history(files.select("path", "file_hash"), history)
@@ -197,7 +216,8 @@ def run_transaction(
 
     def remember() -> None:
         # The bytes are kept with the hashes that make them duplicates for ever.
-        log.write(store.RAW, run_id, tables.raw_copies(files, reports))
+        if not by_path:
+            log.write(store.RAW, run_id, tables.raw_copies(files, reports))
         log.write(store.HASHES, run_id, good.select("file_hash", F.lit(run_id).alias("run_id")).distinct())
 
     if good.isEmpty() or context.is_empty():
@@ -249,6 +269,17 @@ def published_outputs(spark: SparkSession, store: Store) -> DataFrame:
     return tables.registered_outputs(store.log(spark).read(store.OUTPUTS, tables.OUTPUTS_SCHEMA).drop("commit_version"))
 
 
+def stored_raw_files(spark: SparkSession, store: Store) -> DataFrame:
+    """``object_key, file_hash, content`` of the files whose hash is remembered.
+
+    A run that opens its files by path copies them before it knows which can be parsed; copies of
+    the others are not listed.
+    """
+    log = store.log(spark)
+    copies = log.read(store.RAW, "object_key string, file_hash string, content binary").drop("commit_version")
+    return copies.join(log.read(store.HASHES, tables.REGISTRY_SCHEMA).select("file_hash"), "file_hash", "left_semi")
+
+
 def stored_receipts(spark: SparkSession, store: Store) -> DataFrame:
     """The receipt documents of accepted runs: ``run_id, part, receipt``."""
     return store.log(spark).read(store.RECEIPTS, "run_id string, part int, receipt variant").drop("commit_version")
