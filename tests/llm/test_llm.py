@@ -133,6 +133,24 @@ def test_large_group_of_near_copies(spark, tmp_path):
     assert got == brute_components(texts)
 
 
+@pytest.mark.parametrize("jumps", [1, 4])
+def test_chains_of_leaders(spark, tmp_path, monkeypatch, jumps):
+    """Texts that drift step by step, with copies beside each step: leaders have leaders themselves."""
+    monkeypatch.setattr(near_dedup, "JUMPS", jumps)
+    rng = np.random.default_rng(29)
+    words, texts = [f"w{i}" for i in range(80)], []
+    for step in range(24):
+        words[int(rng.integers(80))] = f"s{step}"
+        for copy in range(3):
+            own = list(words)
+            for at in rng.integers(0, 80, int(rng.integers(0, 4))):
+                own[at] = f"c{int(rng.integers(12))}"
+            texts.append(" ".join(own))
+    rng.shuffle(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_components(docs_of(spark, texts, tmp_path)).collect()}
+    assert got == brute_components(texts)
+
+
 def test_one_row_of_near_copies_stays(spark):
     """Rows of one id, null ids and a column named like a helper."""
     text = " ".join(f"w{i}" for i in range(60))

@@ -8,8 +8,9 @@ similarity is at least 0.8. The join is complete:
    share a shingle in their prefixes of ``n - ceil(0.8 n) + 1`` shingles. Shingles of one class
    only are at the front, so a class whose prefix holds nothing else has no link and is done.
 3. Each class is compared with its leader: of the sets it meets in the index lists the one that
-   has the fewest shingles of its own, which is the common origin where there is one. Classes that
-   share at least half of the smaller set with their leader are one group.
+   has the fewest shingles of its own, which is the common origin where there is one. Where that
+   leader has a leader itself, the class is compared with the last one of the chain too. Classes
+   that share at least half of the smaller set with the last (or else the first) are its group.
 4. The answers of a group's members are derived from their leader's. With ``d`` shingles of the
    leader missing and ``s`` shared ones besides it, two members have at most
    ``n_leader - max(d, d') + min(s, s')`` shingles in common. Members linked to the leader are one
@@ -47,6 +48,8 @@ WIDTH, PERCENT = 5, 80
 BLOCK = 64
 #: The share of the smaller set, in percent, that a class has in common with the leader of its group.
 GROUP_PERCENT = 50
+#: Steps along chains of leaders, each of which doubles the length that is followed.
+JUMPS = 4
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -159,20 +162,36 @@ def _leader_pairs(entries: DataFrame) -> DataFrame:
     return votes.groupBy("set_key").agg(F.max_by("leader", F.struct("votes", "leader")).alias("b")).select(F.col("set_key").alias("a"), "b")
 
 
+def _last_leaders(pairs: DataFrame, staging: Staging) -> DataFrame:
+    """``a, b``: classes whose leader has a leader, with the last leader of that chain.
+
+    A leader comes before its class in one order of all classes, so chains end. Each of the
+    :data:`JUMPS` steps doubles the part of a chain that is followed; where one goes on beyond that,
+    ``b`` is a leader nearer to the class.
+    """
+    last = pairs
+    for _ in range(JUMPS):
+        further = last.select(F.col("a").alias("b"), F.col("b").alias("_next"))
+        last = staging.table(last.join(further, "b", "left").select("a", F.coalesce("_next", "b").alias("b")), "last-leaders")
+    return last.join(pairs, ["a", "b"], "left_anti")
+
+
 def _grouped(index: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     """``set_key, grp, open, n_leader, missing, besides`` of leaders and of their groups' members.
 
-    A class that leads and has a leader itself stays with its own group. A member is open if it is
-    not linked to its leader and some other member could still be linked to it.
+    ``met`` has one or two leaders of a class: the ``last`` one counts if it is close enough. A
+    class that leads others and is a member itself belongs to its leader's group. A member is open
+    if it is not linked to its leader and some other member could still be linked to it.
     """
     sizes = index.select("set_key", "n", F.col("first").alias("alone"))
-    close = (
+    near = (
         met.join(sizes.select(F.col("set_key").alias("a"), "n", "alone"), "a")
         .join(sizes.select(F.col("set_key").alias("b"), F.col("n").alias("n_leader")), "b")
         .where(F.col("common") * 100 >= GROUP_PERCENT * F.least("n", "n_leader"))
     )
-    leaders = close.select(F.col("b").alias("set_key")).distinct()
-    members = close.join(leaders, F.col("a") == F.col("set_key"), "left_anti").select(
+    close = near.groupBy("a").agg(F.max_by(F.struct(*(c for c in near.columns if c != "a")), "last").alias("_of")).select("a", "_of.*")
+    leaders = close.select(F.col("b").alias("set_key")).distinct().join(close.select(F.col("a").alias("set_key")), "set_key", "left_anti")
+    members = close.select(
         F.col("a").alias("set_key"), F.col("b").alias("grp"), "linked", "n", "n_leader",
         (F.col("n_leader") - F.col("common")).alias("missing"), (F.col("n") - F.col("alone") - F.col("common")).alias("besides"),
     )
@@ -279,7 +298,9 @@ def _components(docs: DataFrame, staging: Staging, width: int, percent: int) ->
     sizes = index.select("set_key", F.col("first").alias("alone"))
     entries = staging.table(index.mapInArrow(_prefixes, "token long, set_key long, n long, position long").join(sizes, "set_key"), "entries")
 
-    led = staging.table(_verified(staging.table(_leader_pairs(entries), "leader-pairs"), index, percent), "led")
+    first = staging.table(_leader_pairs(entries), "leader-pairs")
+    last = _verified(staging.table(_last_leaders(first, staging), "last-pairs"), index, percent).withColumn("last", F.lit(True))
+    led = staging.table(_verified(first, index, percent).withColumn("last", F.lit(False)).unionByName(last), "led")
     labels = connected_components(led.where("linked").select("a", "b"), staging)
     groups = staging.table(_grouped(index, led, percent), "groups")
     pairs = _block_pairs(entries, groups, labels, percent)
