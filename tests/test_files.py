@@ -1,5 +1,8 @@
 """Parsing, ingestion and a whole transaction on files written by the tests."""
 
+import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
@@ -228,3 +231,26 @@ def test_a_new_checkpoint_keeps_what_an_earlier_one_wrote(spark, tmp_path):
     assert sorted(r.record for r in found) == [0, 1, 2, 3, 4]
     statuses = spark.read.parquet(reports).where("stream = 's1'").groupBy("status").count().collect()
     assert {r["status"]: r["count"] for r in statuses} == {"Parsed": 1, "Duplicate": 1}
+
+
+WORKER = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from check_queries import session
+sys.path.insert(0, sys.argv[2])
+from xylemflow.session import prepare
+from xylemflow.sources.rawfiles import open_files
+spark = prepare(session("1"))
+keys = spark.createDataFrame([(sys.argv[3], "h", 3)], "path string, file_hash string, length long")
+assert open_files(keys).first().content == b"abc"
+"""
+
+
+def test_workers_find_the_package(tmp_path):
+    """A driver that has the package on its own path only, in another folder, as a cluster sees it."""
+    (tmp_path / "data").write_bytes(b"abc")
+    tests = os.path.dirname(os.path.abspath(__file__))
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run(
+        [sys.executable, "-c", WORKER, tests, os.path.dirname(tests), str(tmp_path / "data")], cwd=tmp_path, env=clean, check=True, timeout=200
+    )

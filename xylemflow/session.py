@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +21,28 @@ REQUIRED_CONF = {
 }
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context.
+
+    Functions that run there are pickled by name, so a worker must be able to import them even
+    where the package is neither installed on the executors nor in their working folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_xylemflow_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="xylemflow-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    # Only the driver reads this folder: Spark hands the file to the executors itself.
+    context.addPyFile(str(archive))
+    context._xylemflow_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings every operator assumes to a running session."""
+    ship_package(spark)
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
