@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from xylemflow.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -14,7 +15,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = build
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLES[name] = sql
         return build

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xylemflow.session import checkpoint_dir
+from xylemflow.session import checkpoint_dir, ship_package
 
 #: While a table is written: shuffle files go when it is done, and not when the driver happens to
 #: collect garbage; Arrow batches hold fewer rows, since a row may be a long text.
@@ -24,6 +24,7 @@ class Staging:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship_package(spark)
         self.spark = spark
         self.folder = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._written = 0
