@@ -300,3 +300,27 @@ def test_unknown_site_is_an_error(spark):
     )
     with pytest.raises(Exception, match="site not found: gone"):
         local_deployments(deployments, sites).collect()
+
+
+def test_first_starts_of_sensors_are_read_off_the_record_map(spark):
+    """Without observations at hand, by alias too; records outside every deployment count for nothing."""
+    day = lambda n: datetime(2024, 1, n)
+    deployments = spark.createDataFrame(
+        [("a", "0", day(5), day(10), "d2"), ("a", "0", day(2), day(4), "d1"), ("a", "1", day(1), None, "d3"), ("b", "0", day(20), None, "d4")],
+        "datalogger_id string, sdi_address string, deployment_start_timestamp_utc timestamp_ntz, deployment_end_timestamp_utc timestamp_ntz, deployment_id string",
+    )
+    aliases = spark.createDataFrame(
+        [("old", "a", day(6), None)], "alias string, datalogger_id string, start_timestamp_utc timestamp_ntz, end_timestamp_utc timestamp_ntz"
+    )
+    rows = [(lg, n, day(n), f, s) for lg, n, f, s in [("a", 3, "f", "1"), ("a", 6, "f", "0"), ("a", 6, "g", "1"), ("a", 12, "f", "0"), ("old", 7, "h", "0"), ("b", 9, "f", "0"), ("a", 8, "f", None)]]
+    observations = spark.createDataFrame(rows, "logger_id string, record long, timestamp timestamp_ntz, file_hash string, sdi12_address string").withColumn(
+        "thermistor_depth", F.lit("inner")
+    )
+    records = timestamps.record_map(observations, with_head=True, with_addresses=True)
+    offsets = records.select("logger_id", "file_set_signature", F.lit(0).alias("utc_offset_seconds")).distinct()
+    got = {tuple(r) for r in quality.first_starts(timestamps.sensor_times(records, offsets), deployments, aliases).collect()}
+    assert got == {("a", "1", day(1)), ("a", "0", day(5)), ("old", "0", day(5))}
+    timed = timestamps.attach_utc(observations, records, offsets)
+    assert timestamps.ADDRESSES not in timed.columns
+    full = enrich.enrich_with_metadata(timed, deployments, aliases, ["deployment_start_timestamp_utc"])
+    assert got == {tuple(r) for r in quality.earliest_deployments(full).collect()}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.functions.times import MINUTE_US, YEAR_US
+from xylemflow.operators.enrich import match_deployments
 from xylemflow.operators.timestamps import PREVIOUS_UTC, attach_previous_utc
 
 SUSPECT = "SUSPECT"
@@ -35,6 +36,17 @@ def earliest_deployments(df: DataFrame) -> DataFrame:
     )
 
 
+def first_starts(times: DataFrame, deployments: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`earliest_deployments` from thin sensor times alone.
+
+    ``times`` has one row per record and sensor address, so neither the observations nor their
+    parameters are computed for it. Each sensor and deployment is one row before the starts are joined.
+    """
+    met = match_deployments(times, deployments, aliases, "_deployment").where(F.col("_deployment").isNotNull())
+    sensors = met.select("logger_id", "sdi12_address", "_deployment").distinct()
+    return earliest_deployments(sensors.join(deployments.select(F.col("deployment_id").alias("_deployment"), START), "_deployment"))
+
+
 def record_gap(df: DataFrame) -> DataFrame:
     """Add boolean ``record_gap``: years since the logger's previous record exceed the limit."""
     source = df if PREVIOUS_UTC in df.columns else attach_previous_utc(df)
@@ -61,18 +73,20 @@ GAP = (
 
 
 def apply_quality_filters(
-    df: DataFrame, now: datetime, matched_only: bool = False
+    df: DataFrame, now: datetime, matched_only: bool = False, starts: DataFrame | None = None
 ) -> DataFrame:
     """Add ``quality`` (``SUSPECT`` or null) and ``quality_explanation`` (reasons joined by ``|``).
 
     ``now`` is an argument so that a rerun gives the same result. ``matched_only`` says that
     every row has a deployment; the first-deployment rule, which concerns only rows without
-    one, then needs no second pass.
+    one, then needs no second pass. Neither does it where ``starts`` gives the first start of
+    each sensor (see :func:`first_starts`).
     """
     columns = [c for c in df.columns if c != PREVIOUS_UTC]
     source = df if PREVIOUS_UTC in df.columns else attach_previous_utc(df)
     if not matched_only:
-        source = source.join(earliest_deployments(df), ["logger_id", "sdi12_address"], "left")
+        known = earliest_deployments(df) if starts is None else starts
+        source = source.join(known, ["logger_id", "sdi12_address"], "left")
 
     moment = f"TIMESTAMP_NTZ'{now:%Y-%m-%d %H:%M:%S.%f}'"
     times = source.withColumns(

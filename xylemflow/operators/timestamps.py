@@ -23,6 +23,7 @@ NO_ACTIVE_DEPLOYMENT = "no_active_deployment"
 SIGNATURE_SEPARATOR = "+"
 PREVIOUS_UTC = "_previous_utc"
 ROWS = "_rows"
+ADDRESSES = "_addresses"
 
 
 class CorrectedTime(NamedTuple):
@@ -34,18 +35,19 @@ def _required(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"observation without {name}")))
 
 
-def record_map(observations: DataFrame, with_head: bool = False) -> DataFrame:
+def record_map(observations: DataFrame, with_head: bool = False, with_addresses: bool = False) -> DataFrame:
     """One row per (logger, record): earliest timestamp and the sorted set of its files.
 
     A plain aggregate, so copies of a hot record are combined before the shuffle. ``with_head``
-    also keeps the first row's rank and the number of rows.
+    also keeps the first row's rank and the number of rows, ``with_addresses`` the set of sensor
+    addresses that the record holds values of.
     """
     keyed = observations.select(
         _required("logger_id").alias("logger_id"),
         _required("record").alias("record"),
         _required("timestamp").alias("timestamp"),
         F.coalesce("file_hash", F.lit("")).alias("file_hash"),
-        *(["sdi12_address", "thermistor_depth"] if with_head else []),
+        *(["sdi12_address", "thermistor_depth"] if with_head else ["sdi12_address"] if with_addresses else []),
     )
     files = F.array_sort(F.collect_set("file_hash"))
     measures = [
@@ -54,6 +56,8 @@ def record_map(observations: DataFrame, with_head: bool = False) -> DataFrame:
     ]
     if with_head:
         measures += [F.min(row_rank()).alias("_head"), F.count(F.lit(1)).alias(ROWS)]
+    if with_addresses:
+        measures.append(F.collect_set("sdi12_address").alias(ADDRESSES))
     # The number comes first: sorts compare it by prefix before they look at the text.
     return keyed.groupBy("record", "logger_id").agg(*measures)
 
@@ -177,6 +181,11 @@ def utc_records(records: DataFrame, offsets: DataFrame) -> DataFrame:
     )
 
 
+def sensor_times(records: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``logger_id, sdi12_address, timestamp_utc`` of a record map that holds addresses."""
+    return utc_records(records, offsets).select("logger_id", F.explode(ADDRESSES).alias("sdi12_address"), "timestamp_utc")
+
+
 def timed_rows(records: DataFrame, offsets: DataFrame) -> DataFrame:
     """One row: how many observations have a UTC time, summed over the thin record map."""
     counted = records.groupBy("logger_id", "file_set_signature").agg(F.sum(ROWS).alias(ROWS))
@@ -209,7 +218,7 @@ def attach_utc(
     observations: DataFrame, records: DataFrame, offsets: DataFrame, with_previous: bool = False
 ) -> DataFrame:
     """Join the observations to the UTC time and signature of their record."""
-    known = utc_records(records, offsets).drop("timestamp", ROWS)
+    known = utc_records(records, offsets).drop("timestamp", ROWS, ADDRESSES)
     if with_previous:
         known = previous_value(
             known, ["logger_id"], F.col("record"), ["record"], "timestamp_utc", PREVIOUS_UTC

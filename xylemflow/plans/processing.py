@@ -19,7 +19,7 @@ from xylemflow.operators.enrich import (
     overlapping_intervals,
 )
 from xylemflow.operators.parameters import parameter_columns, resolve_scopes
-from xylemflow.operators.quality import apply_quality_filters
+from xylemflow.operators.quality import apply_quality_filters, first_starts
 from xylemflow.operators.summaries import side_by_side
 from xylemflow.operators.timestamps import (
     PREVIOUS_UTC,
@@ -28,6 +28,7 @@ from xylemflow.operators.timestamps import (
     chunk_offsets,
     local_deployments,
     record_map,
+    sensor_times,
     skipped_chunks,
     timed_rows,
 )
@@ -155,8 +156,8 @@ def run_batch(
 ) -> BatchResult:
     """Observations to the finished table, plus the report of skipped chunks.
 
-    The thin record map is staged first. The observations themselves are shuffled once, to
-    meet their UTC time by (logger, record); chunk offsets and deployments are measured and
+    The thin record map is staged first, and the first start of each sensor is read off it. The
+    observations themselves are shuffled once, to meet their UTC time by (logger, record); chunk offsets and deployments are measured and
     broadcast while they are small. ``matched_only`` leaves out rows without a deployment, as
     a published run does; record gaps are still judged against all records of the logger.
 
@@ -168,7 +169,8 @@ def run_batch(
         raise ValueError("no sites or deployments: nothing to process against")
     bounds = context.hold(local_deployments(context.deployments.drop("timezone"), context.sites))
     # One thin row per record, written once: chunks, offsets and the join all read it back.
-    records = stage(record_map(observations, with_head=True), "records")
+    rated = bool(context.definitions) and not matched_only
+    records = stage(record_map(observations, with_head=True, with_addresses=rated), "records")
     offsets = context.hold(chunk_offsets(chunk_anchors(records), context.sites, bounds))
     timed = attach_utc(observations, records, offsets, with_previous=True)
     if not overlapping_intervals(context.deployments, context.aliases).isEmpty():
@@ -188,7 +190,8 @@ def run_batch(
     used = [p.code for p in context.definitions] + BOUNDS
     described = [c for c in dimension.columns if c not in used]
     numbered = matched.join(dimension.select("_deployment", *used), "_deployment")
-    graded = apply_quality_filters(apply_dma_peclet(numbered), now, matched_only)
+    starts = stage(first_starts(sensor_times(records, offsets), context.deployments, context.aliases), "first-starts") if rated else None
+    graded = apply_quality_filters(apply_dma_peclet(numbered), now, matched_only, starts)
     finished = graded.join(dimension.select(*described), "_deployment").select(
         *timed_columns(timed), *dimension.drop("_deployment").columns, *CALCULATED_COLUMNS,
         "quality", "quality_explanation",
