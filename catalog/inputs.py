@@ -139,7 +139,8 @@ INPUTS = {
     # Dimension tables of the deployment context, one deployment per customer.
     "dim_deployment": """
         SELECT CAST(c_custkey AS STRING) AS deployment_id, CONCAT('DL', CAST(c_nationkey AS STRING)) AS datalogger_id,
-          CONCAT('S', CAST(c_custkey AS STRING)) AS stem_id, CONCAT('N', CAST(c_custkey % 3 AS STRING)) AS project_id,
+          CONCAT('S', CAST(c_custkey AS STRING)) AS stem_id,
+          CONCAT('N', CAST(CAST(floor(c_custkey / 15.0) AS BIGINT) AS STRING)) AS project_id,
           CAST(c_custkey % 10 AS STRING) AS sdi_address, TIMESTAMP '2024-01-01 00:00:00' AS start_timestamp_utc,
           CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE NULL END AS end_timestamp_utc,
           CONCAT('{"height_cm": ', CAST(c_custkey AS STRING), ', "paint": ',
@@ -151,13 +152,16 @@ INPUTS = {
     "dim_stem": """
         SELECT CONCAT('S', CAST(c_custkey AS STRING)) AS stem_id, CONCAT('P', CAST(c_custkey AS STRING)) AS plant_id,
           'S1' AS code FROM customer""",
+    # Four plants a plot; every eighth plant names a plot that does not exist.
     "dim_plant": """
-        SELECT CONCAT('P', CAST(c_custkey AS STRING)) AS plant_id, CONCAT('L', CAST(c_custkey % 100 AS STRING)) AS plot_id,
+        SELECT CONCAT('P', CAST(c_custkey AS STRING)) AS plant_id,
+          CASE WHEN c_custkey % 8 = 3 THEN 'unknown'
+               ELSE CONCAT('L', CAST(c_custkey - c_custkey % 4 AS STRING)) END AS plot_id,
           c_mktsegment AS species_id, c_name AS code FROM customer""",
     "dim_plot": """
         SELECT CONCAT('L', CAST(c_custkey AS STRING)) AS plot_id, CONCAT('Z', CAST(c_nationkey AS STRING)) AS zone_id,
           CONCAT('Plot ', CAST(c_custkey AS STRING)) AS name
-        FROM customer WHERE c_custkey < 100 AND c_custkey % 8 <> 3""",
+        FROM customer""",
     "dim_zone": """
         SELECT CONCAT('Z', CAST(n_nationkey AS STRING)) AS zone_id, CAST(n_regionkey AS STRING) AS site_id,
           n_name AS name FROM nation""",
@@ -168,8 +172,8 @@ INPUTS = {
           CONCAT('{"binomial": "  gENUS   ', c_mktsegment, ' "}') AS latin_name
         FROM customer GROUP BY c_mktsegment""",
     "dim_project": """
-        SELECT CONCAT('N', CAST(r_regionkey AS STRING)) AS project_id, CONCAT('PRJ', CAST(r_regionkey AS STRING)) AS code,
-          r_name AS name FROM region WHERE r_regionkey < 2""",
+        SELECT CONCAT('N', CAST(s_suppkey AS STRING)) AS project_id, CONCAT('PRJ', CAST(s_suppkey AS STRING)) AS code,
+          s_name AS name FROM supplier""",
     "dim_logger": """
         SELECT CONCAT('DL', CAST(n_nationkey AS STRING)) AS datalogger_id, CAST(n_nationkey AS STRING) AS code
         FROM nation""",
@@ -225,7 +229,9 @@ INPUTS = {
           AND (c.deployment_end_timestamp_utc IS NULL OR o.timestamp_utc < c.deployment_end_timestamp_utc)""",
     # Raw files: documents as bytes, some already ingested.
     "raw_doc": """
-        SELECT CONCAT('upload/', source, '/', CAST(doc_id AS STRING), '.dat') AS path, doc_id, text FROM documents""",
+        SELECT CONCAT('upload/', source, '/', CAST(doc_id AS STRING), '.dat') AS path, doc_id,
+          coalesce(text, '') AS text
+        FROM documents""",
     # Readings in download order, as written to logger files of 400 lines.
     "toa5_row": """
         SELECT user_id % 25 AS logger, ts, value,

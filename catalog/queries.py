@@ -90,7 +90,7 @@ def _mixed_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
     copies = logs.where(F.col("path").contains("dl/1")).withColumn(
         "path", F.concat(F.lit("zz/"), F.col("path"))
     )
-    junk = rawfiles.identified(t.sql("SELECT path, encode(text, 'UTF-8') AS content FROM raw_doc WHERE text IS NOT NULL"))
+    junk = rawfiles.identified(t.sql("SELECT path, encode(text, 'UTF-8') AS content FROM raw_doc"))
     files = logs.unionByName(copies).unionByName(junk)
     history = logs.where(F.col("path").startswith("dl/2")).select("file_hash")
     return files, history
