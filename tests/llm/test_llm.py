@@ -348,6 +348,38 @@ def test_licence_notices(spark, tmp_path):
     assert all(got[3 * i].n_notices == 0 for i in range(len(EDGES)))
 
 
+HELD_OUT = ("You may use these files under the {}.", "All examples here are covered by the {}.", "Published under {} terms.", "Source code: {}")
+ONLY_MENTIONED = ("A talk about the {} opened the meeting.", "He never read the {} in full.", "Critics of the {} wrote many letters.")
+
+
+def test_licence_wordings_kept_out_of_the_fit(spark, tmp_path):
+    corpus = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40).collect()]
+    model = licenses.fit(sorted(line for t in corpus for line in t.split("\n") if "icense" not in line))
+    named = [(family, name) for family, names in licenses.NAMES.items() for name in names if "SPDX" not in name]
+    asked = [(family, w.format(name)) for family, name in named for w in HELD_OUT]
+    asked += [("", w.format(name)) for _, name in named for w in ONLY_MENTIONED]
+    known = [("MIT", "MIT license."), ("MIT", "SPDX-License-Identifier: MIT"), ("GPL", "GNU GPL v2 or later"), ("Apache", "Licensed under the Apache License 2.0")]
+    asked += [*known, ("ISC", licenses.TEMPLATES["ISC"][0]), ("unknown", licenses.TEMPLATES["unknown"][1])]
+    got = {r.doc_id: r.families for r in licenses.scan_licenses(docs_of(spark, [t for _, t in asked], tmp_path), model).collect()}
+    right = [got[3 * i] == family for i, (family, _) in enumerate(asked)]
+    held, mentions = len(named) * len(HELD_OUT), len(named) * len(ONLY_MENTIONED)
+    assert all(right[held + mentions :])
+    assert sum(right[:held]) >= 0.7 * held and sum(right[held : held + mentions]) >= 0.5 * mentions
+    assert all(got[3 * i] in ("", "unknown", family) for i, (family, _) in enumerate(asked[:held]))
+
+
+def test_the_classifier_decides_licences(spark, tmp_path):
+    corpus = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40).collect()]
+    model = licenses.fit(sorted(line for t in corpus for line in t.split("\n") if "icense" not in line))
+    prose = " ".join(f"word{i}" for i in range(400))
+    docs = docs_of(spark, ["Released under the MIT License.", f"{prose} Released under the MIT License. {prose}"], tmp_path)
+    none = {**model, "weights": np.zeros_like(model["weights"]), "bias": np.where(np.arange(len(model["bias"])) == 0, 9.0, 0.0).astype(np.float32)}
+    other = {**none, "bias": np.where(np.arange(len(model["bias"])) == licenses.CLASSES.index("GPL"), 9.0, 0.0).astype(np.float32)}
+    assert [r.families for r in licenses.scan_licenses(docs, none).collect()] == ["", ""]
+    assert {r.families for r in licenses.scan_licenses(docs, other).collect()} == {"unknown"}
+    assert {r.families for r in licenses.scan_licenses(docs, model).collect()} == {"MIT"}
+
+
 def test_wrapped_and_enclosed_notices(spark, tmp_path):
     corpus = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40).collect()]
     model = licenses.fit(sorted(line for t in corpus for line in t.split("\n") if "icense" not in line))

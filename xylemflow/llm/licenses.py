@@ -1,15 +1,17 @@
 """Licence notices in documents: a trained paragraph classifier with template confirmation.
 
 Every paragraph (line) is classified by multinomial logistic regression over hashed word one-, two-
-and three-grams. It learns from the notices below, from damaged versions of them, from general legal
-sentences (class ``unknown``) and from a bounded sample of the corpus (no licence). A temperature and
-the least confidence of a family are calibrated on damaged notices and corpus lines kept out of the
-fit. A predicted family is confirmed when the paragraph holds enough of the word three-grams of one of
-its templates; confident predictions without such a template count as ``unknown``.
-
-Notices that are wrapped over lines or stand inside longer ones are found by their templates alone:
-the words of the whole text, without those of punctuation only, are searched for windows that hold
-enough of the three-grams of a template. Such a window takes the place of unconfirmed lines it meets.
+and three-grams. It learns from the notices below, from damaged versions of them, from the names of
+licences in :data:`WORDINGS`, from general legal sentences (class ``unknown``), from :data:`MENTIONS`
+of licences that grant nothing and from a bounded sample of the corpus (both no licence). A temperature
+and the least confidence of a family are calibrated on lines kept out of the fit. The prediction decides
+the family; it is confirmed when the paragraph holds enough of the word three-grams of one of that
+family's templates or one of its names, and counts as ``unknown`` otherwise.
+
+Notices that are wrapped over lines or stand inside longer ones are proposed by their templates: the
+words of the whole text, without those of punctuation only, are searched for windows that hold enough of
+the three-grams of a template. The classifier decides such a window like a line, and drops it or takes
+it in place of the unconfirmed lines it meets.
 
 Defined results: null or empty texts have no notice; words are split at white space, A-Z as a-z;
 repeated rows are scanned one by one; spans are in code points.
@@ -65,6 +67,9 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
     ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
     "LGPL": [
         "This work is licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
@@ -84,10 +89,38 @@ TEMPLATES: dict[str, list[str]] = {
         "Released under a custom license, see the terms of use.",
     ],
 }
+# Names of the licences as they are written in short notices.
+NAMES: dict[str, list[str]] = {
+    "AGPL": ["GNU Affero General Public License", "GNU AGPL", "AGPL v3", "AGPL-3.0", "AGPL-3.0-or-later"],
+    "Apache": ["Apache License", "Apache 2.0", "Apache-2.0"],
+    "BSD": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "BSD-3-Clause", "BSD-2-Clause"],
+    "CC-BY": ["Creative Commons Attribution 4.0", "CC BY 4.0", "CC-BY-4.0"],
+    "CC-BY-NC": ["Creative Commons Attribution-NonCommercial 4.0", "CC BY-NC 4.0", "CC-BY-NC-4.0"],
+    "CC-BY-SA": ["Creative Commons Attribution-ShareAlike 4.0", "CC BY-SA 4.0", "CC-BY-SA-4.0"],
+    "CC0": ["CC0 1.0 Universal", "CC0 1.0", "CC0-1.0"],
+    "GPL": ["GNU General Public License", "GNU GPL", "GPL v2", "GPL v3", "GPL-2.0", "GPL-3.0", "GPL-3.0-or-later"],
+    "ISC": ["ISC License", "SPDX-License-Identifier: ISC"],
+    "LGPL": ["GNU Lesser General Public License", "GNU LGPL", "LGPL v3", "LGPL-2.1", "LGPL-3.0"],
+    "MIT": ["MIT License", "SPDX-License-Identifier: MIT"],
+    "MPL": ["Mozilla Public License", "MPL 2.0", "MPL-2.0"],
+}
+#: Short notices that name a licence, and sentences that only mention one.
+WORDINGS = (
+    "{}", "{}.", "Licensed under the {}.", "Licensed under {}", "This software is released under the {}.", "License: {}", "{} or later",
+    "Distributed under the terms of the {}.", "The code is available under the {}, see the file LICENSE.", "SPDX-License-Identifier: {}",
+    "You can redistribute this work under the {}.", "Made available under {}.", "This file is subject to the {}.",
+)
+MENTIONS = (
+    "The history of the {} is told in the second chapter.", "We compared the {} with other licenses in our survey.",
+    "Many projects moved away from the {} in recent years.", "She explained what the {} asks of companies that use it.",
+    "What is the difference between the {} and its older versions?", "The {} was written by a group of lawyers.",
+    "An article on the {} appeared last year.", "They discussed the {} for hours.", "The judge quoted the {} at length.",
+    "Students learn about the {} in this course.", "Our lawyer does not like the {}.", "Some versions of the {} are listed in a table.",
+)
 NONE, UNKNOWN = "none", "unknown"
 CLASSES = [NONE, *sorted(TEMPLATES)]
 FEATURES, GRAMS = 1 << 18, 3
-DAMAGED, SAMPLE_DOCUMENTS, SAMPLE_LINES, EPOCHS, RATE = 40, 1000, 20_000, 12, 0.5
+DAMAGED, DAMAGED_NAMES, SAMPLE_DOCUMENTS, SAMPLE_LINES, EPOCHS, RATE = 40, 4, 1000, 20_000, 12, 0.5
 #: Share of a template's three-grams that confirms it, and share of kept-out corpus lines that may pass.
 COVER, FALSE_SHARE = 0.6, 0.001
 #: Longest window of a notice, in three-grams of its template.
@@ -145,7 +178,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _training_lines(corpus: list[str], random: np.random.Generator) -> tuple[list[str], np.ndarray]:
-    """Notices, their damaged versions and corpus lines, with their classes."""
+    """Notices, their damaged versions, named and mentioned licences and corpus lines, with their classes."""
     vocabulary = sorted({w for line in corpus[:2000] for w in line.split()}) or ["word"]
     lines, labels = [], []
     for k, name in enumerate(CLASSES[1:], 1):
@@ -156,6 +189,14 @@ def _training_lines(corpus: list[str], random: np.random.Generator) -> tuple[lis
                 before = [str(w) for w in random.choice(vocabulary, random.integers(0, 6) if i % 2 else 0)]
                 lines.append(" ".join(before + kept))
                 labels.append(k)
+        for text in (w.format(licence) for licence in NAMES.get(name, ()) for w in WORDINGS):
+            for i in range(DAMAGED_NAMES):
+                around = [" ".join(str(w) for w in random.choice(vocabulary, random.integers(0, 4) if i else 0)) for _ in range(2)]
+                lines.append(f"{around[0]} {text} {around[1]}".strip())
+                labels.append(k)
+        mentioned = [m.format(licence) for licence in NAMES.get(name, ()) for m in MENTIONS]
+        lines += mentioned
+        labels += [0] * len(mentioned)
     return lines + corpus, np.array(labels + [0] * len(corpus))
 
 
@@ -205,15 +246,24 @@ def _three_grams(line: str) -> np.ndarray:
     return np.unique(mix(padded[:count] * np.uint64(7) + padded[1 : 1 + count] * np.uint64(11) + padded[2 : 2 + count]))
 
 
-def confirm(line: str, family: str, grams: dict[str, list[np.ndarray]]) -> str:
-    """The family whose template the line holds best, of like cover the predicted one, or unknown."""
-    own = _three_grams(line)
-    cover = {name: max(float(contained(t, own).mean()) for t in templates) for name, templates in grams.items()}
-    best = max(cover, key=lambda name: (cover[name], name == family))
-    return best if cover[best] >= COVER else UNKNOWN
+def _plain_words(text: str) -> str:
+    """The words of a text in lower case, without the punctuation around them, each between two blanks."""
+    return f" {' '.join(w for w in (_EDGE.sub('', m) for m in text.translate(_LOW).split()) if w)} "
+
+
+def confirmed(text: str, family: str, grams: dict[str, list[np.ndarray]]) -> str:
+    """The predicted family, where a template or a name of it is found in the text, else unknown."""
+    if family == UNKNOWN:
+        return UNKNOWN
+    words = _plain_words(text)
+    if any(_plain_words(name) in words for name in NAMES[family]):
+        return family
+    own = _three_grams(text)
+    return family if any(float(contained(t, own).mean()) >= COVER for t in grams[family]) else UNKNOWN
 
 
 _WORD, _SIGN = re.compile(r"[^ \t-\r]+"), re.compile(r"[^\W_]")
+_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _LOW = str.maketrans({c: c + 32 for c in range(65, 91)})
 
 
@@ -271,6 +321,17 @@ def windows(text: str) -> list[tuple[int, int, str]]:
     return sorted((words[first].start(), words[end - 1].end(), family) for first, end, family in kept)
 
 
+def judged(text: str, proposed: list[tuple[int, int, str]], model: dict) -> tuple[list[tuple[int, int, str]], float]:
+    """The proposed windows that the classifier takes for notices, with its confirmed families, and the best score."""
+    if not proposed:
+        return [], 0.0
+    ids, bounds = _of_lines([text[a:b] for a, b, _ in proposed])
+    shares = _softmax(class_scores(ids, bounds, model["weights"], model["bias"]) / model["temperature"])
+    kept = [k for k in range(len(proposed)) if 1 - shares[k, 0] >= model["least"]]
+    found = [(*proposed[k][:2], confirmed(text[slice(*proposed[k][:2])], CLASSES[1 + int(shares[k, 1:].argmax())], model["grams"])) for k in kept]
+    return found, max((float(1 - shares[k, 0]) for k in kept), default=0.0)
+
+
 def _merged(lines: list[tuple[int, int, str]], blocks: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Notices of lines and of windows, both in order; a confirmed line holds the windows of its family."""
     kept, low = [], 0
@@ -312,19 +373,15 @@ def _scanned(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.Reco
                 a, b = int(lines[line]), int(lines[line + 1])
                 text = flat[a:b].tobytes().decode().rstrip("\n")
                 start = len(flat[offsets[row] : a].tobytes().decode())
-                family = confirm(text, CLASSES[likely[line]], model["grams"])
+                family = confirmed(text, CLASSES[likely[line]], model["grams"])
                 if family == UNKNOWN and len(text.split()) < LEAST_WORDS:
                     continue
                 score = max(score, float(licensed[line]))
                 found.append((start, start + len(text), family))
             if candidates[row]:
                 text = flat[offsets[row] : offsets[row + 1]].tobytes().decode()
-                blocks = windows(text)
-                found = _merged(found, blocks)
-                if blocks:
-                    ids, bounds = _of_lines([text[a:b] for a, b, _ in blocks])
-                    shares = _softmax(class_scores(ids, bounds, model["weights"], model["bias"]) / model["temperature"])
-                    score = max(score, float(1 - shares[:, 0].min()))
+                blocks, best = judged(text, windows(text), model)
+                found, score = _merged(found, blocks), max(score, best)
             families = {family for _, _, family in found}
             spans = [f"{family}:{a}:{b}" for a, b, family in found]
             rows.append((doc_id, int(firsts[row + 1] - firsts[row]), len(spans), ",".join(sorted(families)), score, ",".join(spans)))
