@@ -179,7 +179,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def _training_lines(corpus: list[str], random: np.random.Generator) -> tuple[list[str], np.ndarray]:
     """Notices, their damaged versions, named and mentioned licences and corpus lines, with their classes."""
-    vocabulary = sorted({w for line in corpus[:2000] for w in line.split()}) or ["word"]
+    vocabulary = np.array(sorted({w for line in corpus[:2000] for w in line.split()}) or ["word"], object)
     lines, labels = [], []
     for k, name in enumerate(CLASSES[1:], 1):
         for notice in TEMPLATES[name]:
