@@ -287,6 +287,8 @@ def test_downsample_keeps_small_frames_whole(spark):
     df = spark.createDataFrame([(at("2024-01-01"), i) for i in range(10)], "timestamp timestamp_ntz, record bigint")
     assert explore.downsampled(df, 10).count() == 10
     assert explore.downsampled(df, 4).count() == 4  # stride 3: rows 0, 3, 6, 9
+    assert explore.downsampled(df, 10, with_index=False) is df
+    assert explore.downsampled(df, 4, with_index=False).count() == 4
 
 
 def test_unknown_site_is_an_error(spark):

@@ -98,13 +98,16 @@ def projected(df: DataFrame) -> DataFrame:
 
 
 def downsampled(
-    df: DataFrame, max_points: int = MAX_POINTS, order: Sequence[str] = FILE_ORDER
+    df: DataFrame, max_points: int = MAX_POINTS, order: Sequence[str] = FILE_ORDER, with_index: bool = True
 ) -> DataFrame:
     """Every n-th row in file order, only if there are more rows than points.
 
-    The result carries ``row_nr``. The row index is global but computed in parallel.
+    The result carries ``row_nr``. The row index is global but computed in parallel. Without
+    ``with_index``, a frame that needs no sampling comes back as it is, neither sorted nor staged.
     """
     total = df.count()
+    if total <= max_points and not with_index:
+        return df
     keys = [c for c in order if c in df.columns]
     indexed = global_index(df, keys)
     if total <= max_points:
@@ -122,7 +125,7 @@ def explore(df: DataFrame, selection: Selection, max_points: int = MAX_POINTS) -
     chosen = filtered(df, selection)
     keys = [c for c in FILE_ORDER if c in df.columns]
     narrow = chosen.select(*dict.fromkeys([c for c in PLOT_COLUMNS if c in df.columns] + keys))
-    points = projected(downsampled(narrow, max_points)).orderBy("timestamp")
+    points = projected(downsampled(narrow, max_points, with_index=False)).orderBy("timestamp")
     return Exploration(points, statistics(chosen))
 
 
