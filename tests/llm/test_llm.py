@@ -444,3 +444,21 @@ def test_top_k_keeps_vectors_with_large_components(spark):
         scored = sorted((-min(max(sum(a * b for a, b in zip(whole[q], v)), -(1 << 63)), (1 << 63) - 1), i) for i, v in whole.items() if i != q)[:5]
         want += [(q, rank, i, -score) for rank, (score, i) in enumerate(scored, 1)]
     assert sorted(got) == sorted(want)
+
+
+def test_short_texts_are_hashed_together(monkeypatch):
+    texts = [b"", b"short", bytes(range(40, 100)) * 2, b"x" * 49, bytes(range(60, 120)) * 3, b"y" * 50]
+    column = pa.array([t.decode() for t in texts])
+    calls, sums = [], substring_dedup.prefix_sums
+    monkeypatch.setattr(substring_dedup, "prefix_sums", lambda b: calls.append(len(b)) or sums(b))
+    rows = list(substring_dedup._slices(column))
+    assert [(low, high) for low, high, _, _ in rows] == [(0, len(texts))]
+    (_, _, flat, offsets), length = rows[0], substring_dedup.LENGTH
+    at, bounds = substring_dedup._samples(offsets)
+    hashes = substring_dedup._at(flat, at, substring_dedup.PREFIX) & substring_dedup.P.COARSE
+    assert calls == [sum(map(len, texts))]
+    # All samples named: every string of a row starts near one; none named: no string is a candidate.
+    own = [np.sort(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    wanted = [o + p for o, t in zip(offsets, texts) for p in range(len(t) - length + 1)]
+    assert substring_dedup._candidates(flat, offsets, own).tolist() == wanted
+    assert not len(substring_dedup._candidates(flat, offsets, [h[:0] for h in own]))

@@ -166,12 +166,16 @@ def set_keys(sets: list[np.ndarray]) -> np.ndarray:
     return (mix(out + sizes * _R) >> np.uint64(1)).astype(np.int64)
 
 
-def range_hashes(b: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of ``b[s : s + length]`` for each start, ``b`` at most a window long."""
-    power, inverse = _powers()
+def prefix_sums(b: np.ndarray) -> np.ndarray:
+    """The prefix sums of ``b``, at most a window long, that :func:`range_hashes` reads."""
     total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_BYTE[b] * power[: len(b)], out=total[1:])
-    return mix((total[starts + length] - total[starts]) * inverse[starts])
+    np.cumsum(_BYTE[b] * _powers()[0][: len(b)], out=total[1:])
+    return total
+
+
+def range_hashes(total: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of ``b[s : s + length]`` for each start, from the prefix sums of ``b``."""
+    return mix((total[starts + length] - total[starts]) * _powers()[1][starts])
 
 
 def binary_column(values: np.ndarray, bounds: np.ndarray) -> pa.Array:

@@ -104,13 +104,12 @@ def pack(
     def flush() -> pa.RecordBatch:
         lengths = np.array([len(s) for s in sets], np.int64)
         hashes = np.concatenate(sets)
-        part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        part = part.astype(np.int64)
-        owner = np.repeat(np.arange(len(sets), dtype=np.int64), lengths)
+        part = (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), lengths)
         hot = np.flatnonzero(contained(hashes, frequent))
         spread = hashes[hot] + np.array(keys, np.int64).view(np.uint64)[owner[hot]]
-        part[hot] = -1 - (spread % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part.astype(np.int16 if parts < 1 << 15 else np.int64), kind="stable")
+        part[hot] = -1 - (spread % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part.astype(np.int16 if parts < 1 << 15 else np.int32), kind="stable")
         part, owner, hashes = part[order], owner[order], hashes[order]
         positions = np.concatenate(places)[order].astype(np.uint32) if places else np.zeros(0, np.uint32)
         cuts = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])))
@@ -153,7 +152,7 @@ def pack(
 
 
 def _unpacked(table: pa.Table, coarse: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, document keys, ranks and positions of a range's postings, sorted by hash, then rank or key."""
+    """Hashes, document keys, ranks (or keys) and positions of a range's postings, sorted by hash alone."""
     if coarse:
         short, _ = binary_values(table["hashes"], np.uint16)
         wide = np.zeros((len(short) // 3, 4), np.uint16)
@@ -167,27 +166,44 @@ def _unpacked(table: pa.Table, coarse: bool = False) -> tuple[np.ndarray, np.nda
     positions, _ = binary_values(table["positions"], np.uint32)
     owner = np.repeat(keys, counts)
     rank = np.repeat(ranks, counts) if len(ranks) else owner
-    order = np.argsort(rank, kind="stable")
-    order = order[np.argsort(hashes[order], kind="stable")]
+    order = np.argsort(hashes)
     return hashes[order], owner[order], rank[order], positions[order] if len(positions) else positions
 
 
+def _distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair of hash and document once, of pairs that are sorted by hash."""
+    lengths = np.diff(np.append(_run_starts(hashes), len(hashes)))
+    # A hash that stands alone is a distinct pair; only the others are compared by document.
+    several = np.flatnonzero(np.repeat(lengths > 1, lengths))
+    order = several[np.lexsort((owner[several], hashes[several]))]
+    owner[several] = owner[order]
+    fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])) if len(hashes) else np.zeros(0, bool)
+    return hashes[fresh], owner[fresh]
+
+
 def returned_rows(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, buckets: int, ranks: np.ndarray | None = None) -> pa.Table:
     """Values by document, in rows of :data:`RETURNED`; ``hashes`` may be left out (empty), so may ranks."""
-    bucket = (mix(owner.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((owner, bucket))
-    bucket, owner, weights = bucket[order], owner[order], weights[order].astype(np.uint32)
-    cuts = _run_starts(owner)
-    rows = _run_starts(bucket[cuts])
-    row_bounds = np.append(rows, len(cuts))
-    value_bounds = np.append(cuts[rows], len(owner))
+    # Values meet by document first; then only the documents are ordered by bucket.
+    order = np.argsort(owner)
+    cuts = _run_starts(owner[order])
+    lengths = np.diff(np.append(cuts, len(owner)))
+    documents = owner[order[cuts]]
+    bucket = (mix(documents.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    by_bucket = np.argsort(bucket, kind="stable")
+    bucket, documents, lengths = bucket[by_bucket], documents[by_bucket], lengths[by_bucket]
+    starts = np.cumsum(lengths) - lengths
+    order = order[np.repeat(cuts[by_bucket] - starts, lengths) + np.arange(len(owner))]
+    rows = _run_starts(bucket)
+    row_bounds = np.append(rows, len(documents))
+    value_bounds = np.append(starts[rows], len(owner))
     none = np.zeros(len(row_bounds), np.int64)
     return pa.Table.from_arrays(
         [
-            pa.array(bucket[cuts][rows]), binary_column(owner[cuts], row_bounds),
-            binary_column(owner[:0], none) if ranks is None else binary_column(ranks[order][cuts], row_bounds),
-            binary_column(np.diff(np.append(cuts, len(owner))).astype(np.uint32), row_bounds),
-            binary_column(hashes[order], value_bounds) if len(hashes) else binary_column(hashes, none), binary_column(weights, value_bounds),
+            pa.array(bucket[rows]), binary_column(documents, row_bounds),
+            binary_column(owner[:0], none) if ranks is None else binary_column(ranks[order][starts], row_bounds),
+            binary_column(lengths.astype(np.uint32), row_bounds),
+            binary_column(hashes[order], value_bounds) if len(hashes) else binary_column(hashes, none),
+            binary_column(weights[order].astype(np.uint32), value_bounds),
         ],
         names=["bucket", "doc_keys", "ranks", "counts", "hashes", "weights"],
     )
@@ -213,10 +229,7 @@ def _run_starts(hashes: np.ndarray) -> np.ndarray:
 
 
 def _shared(table: pa.Table, buckets: int, coarse: bool) -> pa.Table:
-    hashes, owner, _, _ = _unpacked(table, coarse)
-    if len(hashes):
-        fresh = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))
-        hashes, owner = hashes[fresh], owner[fresh]
+    hashes, owner = _distinct(*_unpacked(table, coarse)[:2])
     counts = np.diff(np.append(_run_starts(hashes), len(hashes)))
     frequency = np.repeat(counts, counts)
     if table.num_rows and table["part"][0].as_py() < 0:
@@ -230,7 +243,7 @@ def _later(table: pa.Table, buckets: int) -> pa.Table:
     if table.num_rows and table["part"][0].as_py() < 0:
         return returned_rows(owner, hashes, positions, buckets, rank)
     starts = _run_starts(hashes)
-    later = rank > np.repeat(rank[starts], np.diff(np.append(starts, len(hashes))))
+    later = rank > np.repeat(np.minimum.reduceat(rank, starts) if len(starts) else rank, np.diff(np.append(starts, len(hashes))))
     return returned_rows(owner[later], hashes[:0], positions[later], buckets)
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xylemflow.llm import postings as P
-from xylemflow.llm.hashing import WINDOW, binary_values, range_hashes, text_bytes
+from xylemflow.llm.hashing import WINDOW, binary_values, prefix_sums, range_hashes, row_slices, text_bytes
 from xylemflow.llm.staging import Staging
 
 LENGTH = 50
@@ -45,6 +45,8 @@ LENGTH = 50
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 PREFIX = LENGTH - (PERIOD - 1)
 ROUNDS = 3
+#: Bytes of the rows that are hashed together: enough to outweigh the calls, few enough for the cache.
+SLICE = 1 << 16
 
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -56,18 +58,40 @@ def _sample_positions(n: int) -> np.ndarray:
     return at[at <= n - PREFIX]
 
 
-def _at(text: np.ndarray, positions: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of ``text[p : p + length]`` for ascending positions, window by window."""
+def _at(text: np.ndarray, positions: np.ndarray, length: int, total: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of ``text[p : p + length]`` for ascending positions, window by window.
+
+    ``total`` may hold the prefix sums of a text of one window.
+    """
+    if len(text) <= WINDOW:
+        return range_hashes(prefix_sums(text) if total is None else total, positions, length)
     out = np.zeros(len(positions), np.uint64)
     step = WINDOW - length
     for low in range(0, len(text), step):
         a, b = np.searchsorted(positions, (low, low + step))
         if b > a:
-            part = text[low : low + WINDOW]
-            out[a:b] = range_hashes(part, positions[a:b] - low, length)
+            out[a:b] = range_hashes(prefix_sums(text[low : low + WINDOW]), positions[a:b] - low, length)
     return out
 
 
+def _slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges of about :data:`SLICE` bytes with their bytes and row offsets."""
+    flat, offsets = text_bytes(column)
+    for low, high in row_slices(offsets, SLICE):
+        start, end = int(offsets[low]), int(offsets[high])
+        yield low, high, flat[start:end], offsets[low : high + 1] - start
+
+
+def _samples(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sampled positions of all rows, ascending, and the n+1 bounds of each row's."""
+    lengths = np.diff(offsets)
+    pattern = _sample_positions(int(lengths.max()))
+    counts = np.searchsorted(pattern, lengths - PREFIX, "right")
+    bounds = np.append(0, np.cumsum(counts))
+    at = pattern[np.arange(bounds[-1]) - np.repeat(bounds[:-1], counts)] + np.repeat(offsets[:-1], counts)
+    return at, bounds
+
+
 def _texts(column: pa.Array) -> Iterator[np.ndarray]:
     flat, offsets = text_bytes(column)
     for a, b in zip(offsets[:-1], offsets[1:]):
@@ -77,34 +101,49 @@ def _texts(column: pa.Array) -> Iterator[np.ndarray]:
 def _sampled(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray | None, None]]:
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
-                if len(text) >= LENGTH:
-                    yield key, np.unique(_at(text, _sample_positions(len(text)), PREFIX) & P.COARSE), None, None
+            keys = batch.column(0).to_pylist()
+            for low, high, flat, offsets in _slices(batch.column(1)):
+                at, bounds = _samples(offsets)
+                names = _at(flat, at, PREFIX) & P.COARSE
+                for i in range(high - low):
+                    if offsets[i + 1] - offsets[i] >= LENGTH:
+                        own = np.sort(names[bounds[i] : bounds[i + 1]])
+                        yield keys[low + i], own[np.append(True, own[1:] != own[:-1])], None, None
 
     return P.pack(documents(), parts, frequent, coarse=True)
 
 
-def _candidates(text: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Starts of 50-byte strings that have a sample with one of the sorted names close behind."""
-    positions = _sample_positions(len(text))
-    hits = positions[P.contained(_at(text, positions, PREFIX) & P.COARSE, names)]
-    marks = np.zeros(len(text) + 1, np.int32)
-    np.add.at(marks, np.maximum(hits - (PERIOD - 1), 0), 1)
-    np.add.at(marks, hits + 1, -1)
-    return np.flatnonzero(np.cumsum(marks)[: len(text) - LENGTH + 1] > 0)
+def _candidates(flat: np.ndarray, offsets: np.ndarray, names: list[np.ndarray], total: np.ndarray | None = None) -> np.ndarray:
+    """Starts of 50-byte strings that have a sample with one of their row's sorted names close behind."""
+    at, bounds = _samples(offsets)
+    hashes = _at(flat, at, PREFIX, total) & P.COARSE
+    hit = np.zeros(len(flat) + PERIOD, bool)
+    for low, high, own in zip(bounds[:-1], bounds[1:], names):
+        hit[at[low:high]] = P.contained(hashes[low:high], own)
+    hits = np.append(0, np.cumsum(hit, dtype=np.int32))
+    near = hits[PERIOD : PERIOD + len(flat)] > hits[: len(flat)]
+    # No string begins in a row's last bytes; the samples of the next row are too far for the others.
+    ends = (offsets[1:, None] - np.arange(1, LENGTH)).ravel()
+    near[ends[ends >= 0]] = False
+    return np.flatnonzero(near)
 
 
 def _merged(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
     def documents() -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
         for batch in batches:
-            names, bounds = binary_values(batch.column(3), np.uint64)
+            names, cells = binary_values(batch.column(3), np.uint64)
             keys, ranks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for key, rank, text, low, high in zip(keys, ranks, _texts(batch.column(2)), bounds[:-1], bounds[1:]):
-                at = _candidates(text, np.sort(names[low:high]))
-                found = _at(text, at, LENGTH)
+            for low, high, flat, offsets in _slices(batch.column(2)):
+                total = prefix_sums(flat) if len(flat) <= WINDOW else None
+                own = [np.sort(names[cells[i] : cells[i + 1]]) for i in range(low, high)]
+                at = _candidates(flat, offsets, own, total)
+                found = _at(flat, at, LENGTH, total)
                 now = ((found >> np.uint64(32)) * np.uint64(ROUNDS)) >> np.uint64(32) == turn
-                if now.any():
-                    yield key, found[now], at[now], rank
+                at, found = at[now], found[now]
+                bounds = np.searchsorted(at, offsets)
+                for i in np.flatnonzero(np.diff(bounds)):
+                    a, b = bounds[i], bounds[i + 1]
+                    yield keys[low + i], found[a:b], at[a:b] - offsets[i], ranks[low + i]
 
     return P.pack(documents(), parts, frequent)
 
