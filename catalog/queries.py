@@ -86,7 +86,7 @@ def _toa5_parse(t: Tables) -> DataFrame:
 
 def _mixed_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Logger files, second copies of some, documents as junk, and a history of some hashes."""
-    logs = toa5_files(t)
+    logs = tables.stage(toa5_files(t), "logs")
     copies = logs.where(F.col("path").contains("dl/1")).withColumn(
         "path", F.concat(F.lit("zz/"), F.col("path"))
     )

@@ -181,3 +181,16 @@ def test_files_opened_by_path_are_never_shuffled(spark, tmp_path):
     assert sorted(r.status for r in done.reports.collect()) == ["Duplicate", "Failed", "Parsed"]
     assert spark.read.parquet(done.output_path).count() == 3 * 2
     assert [bytes(r.content) for r in stored_raw_files(spark, store).collect()] == [sensor_file().encode()]
+
+
+def test_the_bytes_of_a_batch_are_read_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(content):
+        reads.add(1)
+        return content
+
+    files = inbox(spark, tmp_path / "in", a=sensor_file(), bad="nope")
+    files = files.withColumn("content", F.udf(counted, "binary")("content"))
+    done = run_transaction(spark, files, None, Store(str(tmp_path / "store")), NOW, manifest=manifest(spark), run_id="r")
+    assert (done.outcome, done.status, reads.value) == ("ACCEPTED", "Success", 2)

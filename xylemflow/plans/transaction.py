@@ -31,6 +31,8 @@ from xylemflow.sources.commits import ACCEPTED, REJECTED, CommitLog
 from xylemflow.sources.rawfiles import open_files
 
 SUCCESS, SKIPPED, FAILED = "Success", "Skipped", "Failed"
+#: Parts per core that the bytes of a batch are dealt into.
+SPREAD = 4
 
 
 @dataclass(frozen=True)
@@ -197,6 +199,11 @@ def run_transaction(
     if by_path:
         # Hashed here, once; from now on only these keys move.
         files = tables.stage(files.select("path", "file_hash", "length"), "keys")
+    else:
+        # Read here, once: the bytes are hashed, parsed and copied, and parsing costs far more than
+        # their number suggests, so they are spread over all cores wherever they came from.
+        spread = SPREAD * spark.sparkContext.defaultParallelism
+        files = tables.stage(files.select("path", "file_hash", "content").repartition(spread, "path"), "files")
 
     def read(firsts: DataFrame) -> DataFrame:
         """The new files, opened once: the run's raw copies, from which they are parsed."""
