@@ -462,3 +462,18 @@ def test_short_texts_are_hashed_together(monkeypatch):
     wanted = [o + p for o, t in zip(offsets, texts) for p in range(len(t) - length + 1)]
     assert substring_dedup._candidates(flat, offsets, own).tolist() == wanted
     assert not len(substring_dedup._candidates(flat, offsets, [h[:0] for h in own]))
+
+
+def test_packing_postings_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    documents = [(i, np.sort(rng.integers(0, 1 << 63, 1 << 16).astype(np.uint64)), None, None) for i in range(32)]
+    tracemalloc.start()
+    try:
+        packed = near_dedup.P.pack(iter(documents), 64, np.zeros(0, np.uint64))
+        found = sum(len(cell.as_py()) // 8 for batch in packed for cell in batch.column(4))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 32 << 16 and peak < 64 << 20

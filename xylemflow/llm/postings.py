@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from xylemflow.llm.hashing import binary_column, binary_values, mix
 
 #: Postings that one range holds on average, and those that a task packs together.
-RANGE_POSTINGS, PACK_POSTINGS = 1 << 20, 1 << 21
+RANGE_POSTINGS, PACK_POSTINGS = 1 << 20, 1 << 19
 
 PACKED = "part int, doc_keys binary, ranks binary, counts binary, hashes binary, positions binary"
 #: What a range sends back: one row per bucket of documents, with the values of many of them.
